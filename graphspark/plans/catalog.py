@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import corpus, subgraph
+from ..functions import display_name
+from ..operators import classify, corpus, graph, knn, prompts, subgraph
 from . import kg_testdata as kg
+from . import rag
 from .kg_testdata import sql_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +135,235 @@ def q_text_coverage(spark, sf):
     return corpus.text_coverage(kg.edges(spark, sf), kg.nodes(spark, sf))
 
 
+# ---------------------------------------------------- vectors, classifier ----
+
+_Q = "question_id"
+_SCORES_SQL = """
+    SELECT question_id, pos, predicate, score,
+           row_number() OVER (PARTITION BY question_id ORDER BY score DESC, pos) - 1 AS rank
+    FROM (SELECT q.question_id, p.pos, p.predicate,
+                 round(list_cosine_similarity(q.embedding, p.embedding), 6) AS score
+          FROM kg_questions q CROSS JOIN kg_predicates p)"""
+_PICKED_SQL = f"SELECT * FROM scores WHERE score >= {kg.CUTOFF}"
+
+
+def _cands_sql(k: int) -> str:
+    return f"""
+    SELECT question_id, rank, id, category, text, sim FROM (
+      SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY sim DESC, id) - 1 AS rank
+      FROM (SELECT q.question_id, n.id, n.category, n.text,
+                   round(list_cosine_similarity(q.embedding, n.embedding), 6) AS sim
+            FROM kg_questions q CROSS JOIN kg_node_vectors n))
+    WHERE rank < {k}"""
+
+
+def _questions(spark, sf):
+    return kg.questions(spark, sf)
+
+
+def _node_vectors(spark, sf):
+    return kg.node_vectors(spark, sf)
+
+
+@register("vector_top_k", sql_with("kg_questions", "kg_node_vectors",
+                                   extra=[("c", _cands_sql(kg.VECTOR_K))])
+          + "SELECT question_id, rank, id, sim FROM c")
+def q_vector_top_k(spark, sf):
+    return knn.top_k(_questions(spark, sf), _node_vectors(spark, sf), kg.VECTOR_K).select(
+        _Q, "rank", "id", "sim")
+
+
+@register("anchor_candidates", sql_with("kg_questions", "kg_node_vectors",
+                                        extra=[("c", _cands_sql(kg.RECALL_K))])
+          + "SELECT question_id, rank, id, category, sim FROM c")
+def q_anchor_candidates(spark, sf):
+    return knn.top_k(_questions(spark, sf), _node_vectors(spark, sf), kg.RECALL_K,
+                     item_cols=["category"]).select(_Q, "rank", "id", "category", "sim")
+
+
+@register("predicate_scores", sql_with("kg_questions", "kg_predicates",
+                                       extra=[("scores", _SCORES_SQL)]) + f"""
+    SELECT question_id, rank, predicate, score,
+           CASE WHEN score >= {kg.CUTOFF} THEN '*' ELSE ' ' END AS mark FROM scores""")
+def q_predicate_scores(spark, sf):
+    ranked = classify.rank_predicates(_questions(spark, sf), kg.predicates(spark, sf))
+    return classify.calibration(ranked, kg.CUTOFF).select(_Q, "rank", "predicate", "score", "mark")
+
+
+@register("picked_predicates", sql_with("kg_questions", "kg_predicates",
+                                        extra=[("scores", _SCORES_SQL)])
+          + f"SELECT question_id, rank, predicate, score FROM scores WHERE score >= {kg.CUTOFF}")
+def q_picked_predicates(spark, sf):
+    ranked = classify.rank_predicates(_questions(spark, sf), kg.predicates(spark, sf))
+    return classify.pick_predicates(ranked, kg.CUTOFF).select(_Q, "rank", "predicate", "score")
+
+
+# --------------------------------------------------------------- graph ----
+
+_INC_SQL = """
+    SELECT subject AS node, predicate, object AS other, 'out' AS dir FROM kg_edges
+    UNION ALL
+    SELECT object AS node, predicate, subject AS other, 'in' AS dir FROM kg_edges
+    WHERE NOT coalesce(subject = object, false)"""
+
+
+@register("predicate_degree", sql_with("kg_edges", extra=[("inc", _INC_SQL)]) + """
+    SELECT node, predicate, count(*) AS n FROM inc GROUP BY 1, 2""")
+def q_predicate_degree(spark, sf):
+    return graph.degree(graph.incidence(kg.edges(spark, sf)))
+
+
+_HUB_SQL = """
+    SELECT question_id, id, rank, n_edges FROM (
+      SELECT c.question_id, c.id, c.rank, sum(d.n) AS n_edges,
+             row_number() OVER (PARTITION BY c.question_id ORDER BY sum(d.n) DESC, c.rank) AS rn
+      FROM cands c JOIN picked p ON p.question_id = c.question_id
+      JOIN (SELECT node, predicate, count(*) AS n FROM inc GROUP BY 1, 2) d
+        ON d.node = c.id AND d.predicate = p.predicate
+      GROUP BY c.question_id, c.id, c.rank)
+    WHERE rn = 1 AND n_edges > 0"""
+
+_DISPLAY = ("regexp_replace(regexp_replace(split_part({t}, '[', 1), '^\\s+|\\s+$', '', 'g'), "
+            "'\\.+$', '')")
+_ANCHORS_SQL = f"""
+    SELECT h.question_id, h.id AS anchor, p.predicate,
+           {_DISPLAY.format(t="c.text")} AS anchor_name
+    FROM hub h JOIN cands c ON c.question_id = h.question_id AND c.rank = h.rank
+    JOIN picked p ON p.question_id = h.question_id AND p.rank = 0"""
+_NODE_TXT_SQL = """
+    SELECT id AS other_id, category, concat_ws('. ', name, synonym, description) AS text
+    FROM kg_nodes"""
+_FACTS_SQL = """
+    SELECT a.question_id, i.other AS other_id, t.category, t.text, i.dir
+    FROM anchors a JOIN inc i ON i.node = a.anchor AND i.predicate = a.predicate
+    JOIN node_txt t ON t.other_id = i.other"""
+_CAPPED_SQL = f"""
+    SELECT * FROM (
+      SELECT f.*, row_number() OVER (PARTITION BY question_id ORDER BY dir, other_id) - 1 AS rn,
+             count(*) OVER (PARTITION BY question_id) AS n_total,
+             count(*) OVER (PARTITION BY question_id) > {kg.MAX_FACTS} AS truncated
+      FROM facts f) WHERE rn < {kg.MAX_FACTS}"""
+_LINES_SQL = f"""
+    SELECT c.question_id, c.rn,
+           CASE WHEN c.dir = 'out'
+                THEN a.anchor_name || ' — ' || substr(a.predicate, {len(kg.PREFIX) + 1}) || ' — '
+                     || {_DISPLAY.format(t="c.text")}
+                ELSE {_DISPLAY.format(t="c.text")} || ' — ' || substr(a.predicate, {len(kg.PREFIX) + 1})
+                     || ' — ' || a.anchor_name END AS line
+    FROM capped c JOIN anchors a ON a.question_id = c.question_id"""
+_GPROMPT_SQL = """
+    SELECT a.question_id, 'Facts about ' || a.anchor_name || ':' || chr(10)
+           || coalesce((SELECT string_agg(l.line, chr(10) ORDER BY l.rn) FROM lines l
+                        WHERE l.question_id = a.question_id), '')
+           || chr(10) || chr(10) || 'Question: ' || q.question AS user_prompt
+    FROM anchors a JOIN kg_questions q ON q.question_id = a.question_id"""
+
+_GRAPH_CTES = [("scores", _SCORES_SQL), ("picked", _PICKED_SQL),
+               ("cands", _cands_sql(kg.RECALL_K)), ("inc", _INC_SQL), ("hub", _HUB_SQL),
+               ("anchors", _ANCHORS_SQL), ("node_txt", _NODE_TXT_SQL), ("facts", _FACTS_SQL),
+               ("capped", _CAPPED_SQL), ("lines", _LINES_SQL), ("gprompt", _GPROMPT_SQL)]
+
+
+def _graph_sql(upto: str) -> str:
+    names = [n for n, _ in _GRAPH_CTES]
+    ctes = _GRAPH_CTES[: names.index(upto) + 1]
+    return sql_with("kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges",
+                    extra=ctes)
+
+
+def _graph_parts(spark, sf):
+    return rag.graph_parts(_questions(spark, sf), _node_vectors(spark, sf), kg.nodes(spark, sf),
+                           kg.edges(spark, sf), kg.predicates(spark, sf), cutoff=kg.CUTOFF,
+                           recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
+
+
+@register("hub_anchor", _graph_sql("hub") + "SELECT * FROM hub")
+def q_hub_anchor(spark, sf):
+    return _graph_parts(spark, sf).hub.select(_Q, "id", "rank", "n_edges")
+
+
+@register("one_hop", _graph_sql("facts") + "SELECT * FROM facts")
+def q_one_hop(spark, sf):
+    return _graph_parts(spark, sf).facts
+
+
+@register("display_names", sql_with("kg_nodes", "kg_edges", extra=[("ids", _NODE_IDS_SQL)]) + f"""
+    SELECT n.id, {_DISPLAY.format(t="concat_ws('. ', n.name, n.synonym, n.description)")} AS name
+    FROM ids i JOIN kg_nodes n ON n.id = i.id""")
+def q_display_names(spark, sf):
+    return corpus.node_text(kg.edges(spark, sf), kg.nodes(spark, sf)).select(
+        "id", display_name("text").alias("name"))
+
+
+@register("capped_facts", _graph_sql("capped")
+          + "SELECT question_id, rn, other_id, dir, truncated FROM capped")
+def q_capped_facts(spark, sf):
+    return _graph_parts(spark, sf).capped.select(_Q, "rn", "other_id", "dir", "truncated")
+
+
+@register("graph_context", _graph_sql("gprompt") + "SELECT * FROM gprompt")
+def q_graph_context(spark, sf):
+    return _graph_parts(spark, sf).prompts
+
+
+_TPROMPT_SQL = """
+    SELECT q.question_id, 'Context:' || chr(10)
+           || coalesce((SELECT string_agg('[' || c.id || '] ' || c.text, chr(10) ORDER BY c.rank)
+                        FROM c WHERE c.question_id = q.question_id), '')
+           || chr(10) || chr(10) || 'Question: ' || q.question AS user_prompt
+    FROM kg_questions q"""
+_ANSWER_SQL = ("CASE WHEN user_prompt IS NULL THEN NULL "
+               "WHEN coalesce(split_part(user_prompt, chr(10), 2), '') = '' "
+               f"THEN '{prompts.NO_ANSWER}' ELSE split_part(user_prompt, chr(10), 2) END")
+
+
+@register("text_prompt", sql_with("kg_questions", "kg_node_vectors",
+                                  extra=[("c", _cands_sql(kg.VECTOR_K))]) + _TPROMPT_SQL)
+def q_text_prompt(spark, sf):
+    q = _questions(spark, sf)
+    hits = knn.top_k(q, _node_vectors(spark, sf), kg.VECTOR_K, item_cols=["text"])
+    return prompts.text_prompt(q, hits)
+
+
+@register("generate_stub", _graph_sql("gprompt")
+          + f"SELECT question_id, {_ANSWER_SQL} AS answer FROM gprompt")
+def q_generate_stub(spark, sf):
+    return prompts.generate(_graph_parts(spark, sf).prompts).select(_Q, "answer")
+
+
+@register("vector_rag", sql_with("kg_questions", "kg_node_vectors",
+                                 extra=[("c", _cands_sql(kg.VECTOR_K)), ("tp", _TPROMPT_SQL)])
+          + f"SELECT question_id, user_prompt, {_ANSWER_SQL} AS answer FROM tp")
+def q_vector_rag(spark, sf):
+    return rag.vector_rag(_questions(spark, sf), _node_vectors(spark, sf), k=kg.VECTOR_K)
+
+
+_GRAPH_RAG_SQL = _graph_sql("gprompt") + f"""
+    SELECT q.question_id,
+           CASE WHEN p.predicate IS NULL THEN 'no_predicate'
+                WHEN a.anchor IS NULL THEN 'no_anchor' ELSE 'ok' END AS status,
+           a.anchor, p.predicate,
+           CASE WHEN a.anchor IS NULL THEN 0
+                ELSE (SELECT count(*) FROM capped c WHERE c.question_id = q.question_id) END AS n_facts,
+           CASE WHEN a.anchor IS NULL THEN false
+                ELSE coalesce((SELECT bool_or(c.truncated) FROM capped c
+                               WHERE c.question_id = q.question_id), false) END AS truncated,
+           g.user_prompt,
+           {_ANSWER_SQL.replace("user_prompt", "g.user_prompt")} AS answer
+    FROM kg_questions q
+    LEFT JOIN (SELECT question_id, predicate FROM picked WHERE rank = 0) p
+           ON p.question_id = q.question_id
+    LEFT JOIN anchors a ON a.question_id = q.question_id
+    LEFT JOIN gprompt g ON g.question_id = q.question_id"""
+
+
+@register("graph_rag", _GRAPH_RAG_SQL)
+def q_graph_rag(spark, sf):
+    return rag.graph_rag(_questions(spark, sf), _node_vectors(spark, sf), kg.nodes(spark, sf),
+                         kg.edges(spark, sf), kg.predicates(spark, sf), cutoff=kg.CUTOFF,
+                         recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
