@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import display_name
 from ..operators import classify, corpus, graph, knn, prompts, subgraph
+from .. import evaluation
 from . import kg_testdata as kg
 from . import rag
 from .kg_testdata import sql_with
@@ -364,6 +365,180 @@ def q_graph_rag(spark, sf):
                          recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
 
 
+# ---------------------------------------------------------- evaluation ----
+
+SYSTEMS = ("vector", "graph")
+
+
+@register("closure", sql_with("kg_edges", "kg_roots", recursive=True, extra=[("clo", f"""
+    SELECT root, root AS node FROM kg_roots
+    UNION
+    SELECT c.root, e.subject FROM clo c
+    JOIN kg_edges e ON e.object = c.node AND e.predicate = '{kg.HIERARCHY}'
+    WHERE e.subject IS NOT NULL""")]) + "SELECT root, node FROM clo")
+def q_closure(spark, sf):
+    return evaluation.descendants(kg.edges(spark, sf), kg.roots(spark, sf), kg.HIERARCHY)
+
+
+_EVAL_CTES = [
+    ("cases_x", """SELECT id AS case_id, anchor, predicate, coalesce(direction, 'both') AS d,
+                          coalesce(expand_subclasses, false) AS x FROM kg_cases"""),
+    ("clo", f"""SELECT DISTINCT anchor AS root, anchor AS node FROM cases_x WHERE x
+                UNION
+                SELECT c.root, e.subject FROM clo c
+                JOIN kg_edges e ON e.object = c.node AND e.predicate = '{kg.HIERARCHY}'
+                WHERE e.subject IS NOT NULL"""),
+    ("anchor_set", """SELECT case_id, anchor AS node FROM cases_x WHERE NOT x
+                      UNION
+                      SELECT c.case_id, clo.node FROM cases_x c JOIN clo ON clo.root = c.anchor
+                      WHERE c.x"""),
+    ("found", """SELECT a.case_id, e.object AS entity FROM anchor_set a
+                 JOIN cases_x c ON c.case_id = a.case_id
+                 JOIN kg_edges e ON e.subject = a.node AND e.predicate = c.predicate
+                 WHERE c.d IN ('out', 'both')
+                 UNION
+                 SELECT a.case_id, e.subject FROM anchor_set a
+                 JOIN cases_x c ON c.case_id = a.case_id
+                 JOIN kg_edges e ON e.object = a.node AND e.predicate = c.predicate
+                 WHERE c.d IN ('in', 'both')"""),
+    ("answers", """SELECT case_id, entity FROM found f WHERE entity IS NOT NULL AND NOT EXISTS (
+                     SELECT 1 FROM anchor_set a WHERE a.case_id = f.case_id AND a.node = f.entity)"""),
+]
+
+
+def _eval_sql(*extra):
+    return sql_with("kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges",
+                    "kg_cases", recursive=True,
+                    extra=_EVAL_CTES + list(extra))
+
+
+def _cases(spark, sf):
+    return kg.cases(spark, sf)
+
+
+def _answers(spark, sf):
+    return evaluation.oracle_answers(_cases(spark, sf), kg.edges(spark, sf), kg.HIERARCHY)
+
+
+@register("oracle_answers", _eval_sql() + "SELECT case_id, entity FROM answers")
+def q_oracle_answers(spark, sf):
+    return _answers(spark, sf)
+
+
+@register("gold_resolved", _eval_sql() + """
+    SELECT c.id AS case_id, coalesce(a.n, 0)::BIGINT AS n_answers,
+           coalesce(a.n, 0) = 0 AS is_empty, a.first_answer, a.last_answer,
+           coalesce(a.dg, 0)::BIGINT AS answer_digest
+    FROM kg_cases c LEFT JOIN (
+        SELECT case_id, count(*) AS n, min(entity) AS first_answer, max(entity) AS last_answer,
+               sum(('0x' || substr(md5(entity), 1, 8))::BIGINT) AS dg
+        FROM answers GROUP BY 1) a ON a.case_id = c.id""")
+def q_gold_resolved(spark, sf):
+    return evaluation.resolve_gold(_cases(spark, sf), _answers(spark, sf))
+
+
+_PRF_CTES = [n for n in _GRAPH_CTES if n[0] in ("scores", "picked", "cands", "inc", "hub",
+                                                 "anchors", "node_txt", "facts")] + [
+    ("cands5", _cands_sql(kg.VECTOR_K)),
+    ("retrieved", """SELECT k.id AS case_id, 'vector' AS system, c.id AS entity
+                     FROM kg_cases k JOIN cands5 c ON c.question_id = k.question_id
+                     UNION ALL
+                     SELECT k.id, 'graph', f.other_id FROM kg_cases k
+                     JOIN facts f ON f.question_id = k.question_id"""),
+    ("r", "SELECT DISTINCT case_id, system, entity FROM retrieved WHERE entity IS NOT NULL"),
+    ("g", "SELECT DISTINCT case_id, entity FROM answers"),
+    ("cs", "SELECT k.id AS case_id, s.system FROM kg_cases k, "
+           "(VALUES ('vector'), ('graph')) s(system)"),
+    ("cnt", """SELECT cs.case_id, cs.system,
+                 (SELECT count(*) FROM r JOIN g ON g.case_id = r.case_id AND g.entity = r.entity
+                  WHERE r.case_id = cs.case_id AND r.system = cs.system)::BIGINT AS tp,
+                 (SELECT count(*) FROM r WHERE r.case_id = cs.case_id
+                  AND r.system = cs.system)::BIGINT AS n_ret,
+                 (SELECT count(*) FROM g WHERE g.case_id = cs.case_id)::BIGINT AS n_gold
+               FROM cs"""),
+    ("pr", """SELECT *, CASE WHEN n_ret > 0 THEN tp::DOUBLE / n_ret ELSE 0.0 END AS p,
+                        CASE WHEN n_gold > 0 THEN tp::DOUBLE / n_gold ELSE 0.0 END AS r
+              FROM cnt"""),
+    ("prf", """SELECT case_id, system, p, r,
+                      CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1,
+                      tp, n_ret, n_gold FROM pr"""),
+    ("macro", """SELECT s.system, round(coalesce(avg(p), 0.0), 6) AS p,
+                        round(coalesce(avg(r), 0.0), 6) AS r, round(coalesce(avg(f1), 0.0), 6) AS f1
+                 FROM (VALUES ('vector'), ('graph')) s(system)
+                 LEFT JOIN prf ON prf.system = s.system GROUP BY s.system"""),
+]
+
+
+def _retrieved(spark, sf, parts=None):
+    cases = _cases(spark, sf).where(F.col("question_id").isNotNull())
+    q = _questions(spark, sf)
+    p = parts or _graph_parts(spark, sf)
+    vec = knn.top_k(q, _node_vectors(spark, sf), kg.VECTOR_K).select(_Q, F.col("id").alias("entity"))
+    gr = p.facts.select(_Q, F.col("other_id").alias("entity"))
+    c = cases.select(F.col("id").alias("case_id"), _Q)
+    return (c.join(vec, _Q).select("case_id", F.lit("vector").alias("system"), "entity")
+            .unionByName(c.join(gr, _Q).select("case_id", F.lit("graph").alias("system"), "entity")))
+
+
+def _prf(spark, sf, parts=None):
+    return evaluation.prf(_retrieved(spark, sf, parts), _answers(spark, sf), _cases(spark, sf),
+                          SYSTEMS)
+
+
+@register("prf_scores", _eval_sql(*_PRF_CTES) + "SELECT * FROM prf")
+def q_prf_scores(spark, sf):
+    return _prf(spark, sf)
+
+
+@register("macro_scores", _eval_sql(*_PRF_CTES) + "SELECT * FROM macro")
+def q_macro_scores(spark, sf):
+    return evaluation.macro(_prf(spark, sf), SYSTEMS)
+
+
+_REPORT_SQL = _eval_sql(*_PRF_CTES, ("ginfo", f"""
+    SELECT k.id AS case_id, a.anchor, substr(a.predicate, {len(kg.PREFIX) + 1}) AS predicate,
+           (SELECT count(*) FROM facts f WHERE f.question_id = a.question_id) > {kg.MAX_FACTS}
+             AS truncated
+    FROM kg_cases k JOIN anchors a ON a.question_id = k.question_id""")) + """
+    SELECT k.id AS case_id, coalesce(k.expand_subclasses, false) AS expand,
+           round(v.p, 6) AS p1_p, round(v.r, 6) AS p1_r, round(v.f1, 6) AS p1_f1,
+           round(g.p, 6) AS p2_p, round(g.r, 6) AS p2_r, round(g.f1, 6) AS p2_f1,
+           coalesce(i.anchor, '-') AS anchor, coalesce(i.predicate, '-') AS predicate,
+           coalesce(i.truncated, false) AS truncated
+    FROM kg_cases k
+    LEFT JOIN prf v ON v.case_id = k.id AND v.system = 'vector'
+    LEFT JOIN prf g ON g.case_id = k.id AND g.system = 'graph'
+    LEFT JOIN ginfo i ON i.case_id = k.id
+    UNION ALL
+    SELECT 'MACRO', NULL,
+           (SELECT p FROM macro WHERE system = 'vector'), (SELECT r FROM macro WHERE system = 'vector'),
+           (SELECT f1 FROM macro WHERE system = 'vector'), (SELECT p FROM macro WHERE system = 'graph'),
+           (SELECT r FROM macro WHERE system = 'graph'), (SELECT f1 FROM macro WHERE system = 'graph'),
+           '-', '-', false"""
+
+
+@register("score_report", _REPORT_SQL)
+def q_score_report(spark, sf):
+    parts = _graph_parts(spark, sf)
+    scores = _prf(spark, sf, parts)
+    nfacts = parts.facts.groupBy(_Q).agg(F.count(F.lit(1)).alias("_n"))
+    info = (_cases(spark, sf).select(F.col("id").alias("case_id"), _Q)
+            .join(parts.anchors, _Q).join(nfacts, _Q, "left")
+            .select("case_id", "anchor",
+                    F.substring("predicate", len(kg.PREFIX) + 1, 1 << 20).alias("predicate"),
+                    (F.coalesce("_n", F.lit(0)) > kg.MAX_FACTS).alias("truncated")))
+    return evaluation.report(scores, _cases(spark, sf), info)
+
+
+@register("aggregation_gap", _eval_sql(*_PRF_CTES) + """
+    SELECT k.id AS case_id, round(coalesce(g.r, 0.0), 6) AS recall_single,
+           NULL::DOUBLE AS recall_expanded, coalesce(g.r, 0.0) >= 0.8 AS passes
+    FROM kg_cases k LEFT JOIN prf g ON g.case_id = k.id AND g.system = 'graph'
+    WHERE coalesce(k.expand_subclasses, false)""")
+def q_aggregation_gap(spark, sf):
+    return evaluation.aggregation_gap(_prf(spark, sf), _cases(spark, sf), 0.8)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -295,7 +295,8 @@ _CTES = {
 }
 
 
-def sql_with(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
+def sql_with(*names: str, extra: list[tuple[str, str]] | None = None,
+             recursive: bool = False) -> str:
     """A WITH clause defining the named derived tables and their dependencies,
     followed by ``extra`` (name, sql) CTEs in the given order."""
     order: list[str] = []
@@ -311,4 +312,4 @@ def sql_with(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
         visit(n)
     parts = [f"{n} AS ({_CTES[n][1]})" for n in order]
     parts += [f"{n} AS ({s})" for n, s in (extra or [])]
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
