@@ -16,6 +16,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import display_name, strip_prefix
 
@@ -128,5 +129,5 @@ def generate(prompts: DataFrame, predict_factory: Callable[[], Callable] | None
                     answers[i] = a
             yield pdf.assign(answer=pd.Series(answers, dtype=object))
 
-    schema = prompts.schema.add("answer", "string")
+    schema = T.StructType(list(prompts.schema.fields) + [T.StructField("answer", T.StringType())])
     return prompts.mapInPandas(run, schema)

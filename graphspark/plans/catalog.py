@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import display_name
-from ..operators import classify, corpus, graph, knn, prompts, subgraph
+from ..operators import classify, corpus, embed, graph, knn, prompts, subgraph
 from .. import evaluation
 from . import kg_testdata as kg
 from . import rag
@@ -136,6 +136,23 @@ def q_text_coverage(spark, sf):
     return corpus.text_coverage(kg.edges(spark, sf), kg.nodes(spark, sf))
 
 
+# ------------------------------------------------------------------- O9 ----
+
+HASH_DIM = 65536
+
+
+@register("hash_embed_docs", f"""
+    WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t
+                 FROM documents),
+         c AS (SELECT doc_id, (('0x' || substr(md5(t), 1, 4))::INT) % {HASH_DIM} AS bucket,
+                      count(*) AS c FROM tok GROUP BY 1, 2)
+    SELECT c.doc_id, c.bucket, c.c / sqrt(n.s) AS weight
+    FROM c JOIN (SELECT doc_id, sum(c * c) AS s FROM c GROUP BY 1) n ON n.doc_id = c.doc_id""")
+def q_hash_embed_docs(spark, sf):
+    docs = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet")
+    return embed.hash_embed(docs, "doc_id", "text", HASH_DIM)
+
+
 # ---------------------------------------------------- vectors, classifier ----
 
 _Q = "question_id"
