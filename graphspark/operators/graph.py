@@ -7,11 +7,14 @@ instead asked of the incidence table: each edge appears once per endpoint,
 'in' when it is the object. A self-loop appears once, as 'out'. Then degree,
 hub choice and traversal are plain equi-joins and aggregations.
 
-Per-question tables (candidates, picked predicates, anchors) are small
-(|questions| x k); when the caller has checked that bound they are broadcast,
-so the edge side is never shuffled to meet them and a hub node with a third
-of all edges is just a long run of hash probes spread over every scan task.
-Otherwise the joins are shuffle joins and AQE's skew handling splits hubs.
+Hub choice and traversal do not even need the exploded table: they ask
+about given (node, predicate) pairs, which is two equi-joins against the
+raw edges (``incident``). Per-question tables (candidates, picked
+predicates, anchors) are small (|questions| x k); when the caller has
+checked that bound they are broadcast, so the edge side is never shuffled
+to meet them and a hub node with a third of all edges is just a long run of
+hash probes spread over every scan task. Otherwise the joins are shuffle
+joins and AQE's skew handling splits hubs.
 """
 
 from __future__ import annotations
@@ -43,13 +46,12 @@ def incidence(edges: DataFrame, exclude_negated: bool = False) -> DataFrame:
 
 def degree(inc: DataFrame, nodes_of_interest: DataFrame | None = None,
            small: bool = False) -> DataFrame:
-    """Number of incident edges per (node, predicate) -> (node, predicate, n).
-
-    Optionally restricted to ``nodes_of_interest`` (a one-column ``node``
-    table) before aggregating: a semi-join (broadcast when ``small``), so
-    only the rows of interest are aggregated. Aggregation is partial per
+    """O16 over an incidence table: incident edges per (node, predicate) ->
+    (node, predicate, n). A self-loop counts once. Aggregation is partial per
     task first, so a hub's count is combined map-side.
-    """
+
+    Optionally restricted to ``nodes_of_interest`` (a ``node`` column) by a
+    semi-join before aggregating (broadcast when ``small``)."""
     rows = inc
     if nodes_of_interest is not None:
         keep = nodes_of_interest.select("node").distinct()
@@ -57,7 +59,39 @@ def degree(inc: DataFrame, nodes_of_interest: DataFrame | None = None,
     return rows.groupBy("node", "predicate").agg(F.count(F.lit(1)).alias("n"))
 
 
-def disambiguate(candidates: DataFrame, picked: DataFrame, inc: DataFrame, *,
+def incident(edges: DataFrame, keys: DataFrame, small: bool = False) -> DataFrame:
+    """Edge endpoints seen from ``keys`` (node, predicate, ...): every key
+    column plus (other, dir), 'out' where node is the subject and 'in' where
+    it is the object; a self-loop once, as 'out'.
+
+    Two equi-joins on (endpoint, predicate) against the raw edges -- no OR
+    join, no explode of the whole edge table. With a broadcast key side
+    the edges are only scanned (never shuffled), and because predicate is
+    the edge partition column, dynamic partition pruning skips predicates no
+    key asks for."""
+    k = F.broadcast(keys) if small else keys
+    e = edges.select("subject", "predicate", "object")
+    cols = [c for c in keys.columns if c not in ("node", "predicate")]
+    out = (e.withColumnRenamed("subject", "node").join(k, ["node", "predicate"])
+           .select("node", "predicate", *cols, F.col("object").alias("other"),
+                   F.lit("out").alias("dir")))
+    back = (e.where(~F.coalesce(F.col("subject") == F.col("object"), F.lit(False)))
+            .withColumnRenamed("object", "node").join(k, ["node", "predicate"])
+            .select("node", "predicate", *cols, F.col("subject").alias("other"),
+                    F.lit("in").alias("dir")))
+    return out.unionByName(back)
+
+
+def degree_of(edges: DataFrame, keys: DataFrame, small: bool = False) -> DataFrame:
+    """O16 for given (node, predicate) pairs: -> (node, predicate, n), only
+    pairs with at least one edge. Computed per distinct pair first, so a node
+    that many questions share is counted once."""
+    pairs = keys.select("node", "predicate").distinct()
+    return (incident(edges, pairs, small).groupBy("node", "predicate")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def disambiguate(candidates: DataFrame, picked: DataFrame, edges: DataFrame, *,
                  query_key: str = "question_id", small: bool = False) -> DataFrame:
     """Per question, the candidate with the most edges of the picked
     predicates (either side; a self-loop once). Ties go to the better
@@ -65,42 +99,43 @@ def disambiguate(candidates: DataFrame, picked: DataFrame, inc: DataFrame, *,
     no row.
 
     candidates: (query_key, rank, id, ...); picked: (query_key, predicate).
-    Output: candidate columns + n_edges.
+    Output: candidate columns + n_edges. The candidate columns ride along
+    through the count (they are functions of (question, rank)), so the
+    candidate table is read once.
     """
-    pairs = (candidates.select(query_key, "rank", F.col("id").alias("node"))
+    extra = [c for c in candidates.columns if c not in (query_key, "rank", "id")]
+    pairs = (candidates.select(query_key, "rank", F.col("id").alias("node"), *extra)
              .join(picked.select(query_key, "predicate"), query_key))
     if small:
         pairs = F.broadcast(pairs)
-    deg = degree(inc, pairs.select("node"), small)
+    deg = degree_of(edges, pairs, small)
     counts = (pairs.join(deg, ["node", "predicate"])
-              .groupBy(query_key, "rank", "node").agg(F.sum("n").cast("bigint").alias("n_edges"))
+              .groupBy(query_key, "rank", "node", *extra)
+              .agg(F.sum("n").cast("bigint").alias("n_edges"))
               .where(F.col("n_edges") > 0))
     w = Window.partitionBy(query_key).orderBy(F.desc("n_edges"), F.asc("rank"))
-    best = (counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-            .select(query_key, "rank", "n_edges"))
-    return candidates.join(best, [query_key, "rank"])
+    return (counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+            .select(query_key, "rank", F.col("node").alias("id"), *extra, "n_edges"))
 
 
-def traverse_keys(anchors: DataFrame, inc: DataFrame, *, query_key: str = "question_id",
+def traverse_keys(anchors: DataFrame, edges: DataFrame, *, query_key: str = "question_id",
                   small: bool = False) -> DataFrame:
     """One hop from each question's anchor along its predicate, ids only.
 
     anchors: (query_key, anchor, predicate) -> (query_key, other_id, dir).
     Parallel edges give repeated rows (the original keeps duplicates)."""
-    a = anchors.select(query_key, F.col("anchor").alias("node"), "predicate")
-    if small:
-        a = F.broadcast(a)
-    return (inc.join(a, ["node", "predicate"])
+    a = anchors.select(F.col("anchor").alias("node"), "predicate", query_key)
+    return (incident(edges, a, small)
             .select(query_key, F.col("other").alias("other_id"), "dir"))
 
 
-def traverse(anchors: DataFrame, inc: DataFrame, nodes: DataFrame, *,
+def traverse(anchors: DataFrame, edges: DataFrame, nodes: DataFrame, *,
              query_key: str = "question_id", small: bool = False) -> DataFrame:
     """Facts one hop away -> (query_key, other_id, category, text, dir).
 
     The other endpoint must exist in ``nodes`` (a dangling endpoint is
     dropped); a self-loop yields one 'out' row whose other end is the anchor."""
-    keys = traverse_keys(anchors, inc, query_key=query_key, small=small)
+    keys = traverse_keys(anchors, edges, query_key=query_key, small=small)
     return keys.join(texts(nodes, "other_id"), "other_id").select(
         query_key, "other_id", "category", "text", "dir")
 

@@ -148,10 +148,28 @@ def _blocks(df: DataFrame, key: str, max_rows: int, depth: int = 0):
         yield from _blocks(salted.where(F.col("_blk") == b).drop("_blk"), key, max_rows, depth + 1)
 
 
+def query_blocks(queries: DataFrame, query_key: str = "question_id",
+                 vector_col: str = "embedding",
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list:
+    """Collect the query vectors in size-checked blocks: [(keys, unit matrix)].
+
+    One block means the whole query table fits the broadcast bound, which
+    callers also use as the proof that per-query tables (|Q| x k rows) may
+    be broadcast."""
+    q_side = (queries.select(query_key, F.col(vector_col).alias("_qv"))
+              .where(F.col("_qv").isNotNull()))
+    out = []
+    for block in _blocks(q_side, query_key, max_broadcast_rows):
+        qmat, ok = _unit_rows(block["_qv"])
+        out.append((block[query_key].to_numpy()[ok], qmat))
+    return out
+
+
 def top_k(queries: DataFrame, items: DataFrame, k: int, *, query_key: str = "question_id",
           item_key: str = "id", item_cols=(), vector_col: str = "embedding",
           query_vector_col: str | None = None,
-          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+          blocks: list | None = None) -> DataFrame:
     """Exact cosine top-k items per query.
 
     Output: query_key, rank (0-based), item_key, *item_cols, sim (rounded to
@@ -164,7 +182,8 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, *, query_key: str = "que
     qvec = query_vector_col or vector_col
     spark = items.sparkSession
     sc = spark.sparkContext
-    q_side = queries.select(query_key, F.col(qvec).alias("_qv")).where(F.col("_qv").isNotNull())
+    if blocks is None:
+        blocks = query_blocks(queries, query_key, qvec, max_broadcast_rows)
     items_in = items.select(item_key, *item_cols, vector_col)
     fields = {f.name: f.dataType for f in items_in.schema.fields}
     qtype = queries.schema[query_key].dataType
@@ -173,9 +192,7 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, *, query_key: str = "que
         + [T.StructField(c, fields[c]) for c in item_cols]
         + [T.StructField("_score", T.DoubleType())])
     partials = None
-    for block in _blocks(q_side, query_key, max_broadcast_rows):
-        qmat, ok = _unit_rows(block["_qv"])
-        keys = block[query_key].to_numpy()[ok]
+    for keys, qmat in blocks:
         if len(keys) == 0:
             continue
         bc = sc.broadcast((keys, qmat))

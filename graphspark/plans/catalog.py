@@ -19,6 +19,12 @@ from . import rag
 from .kg_testdata import sql_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _G(spark, sf):
+    """The derived graph, built once per session and stored as tables."""
+    return kg.stored(spark, sf)
+
 ORACLES: dict[str, str] = {}
 
 
@@ -36,25 +42,25 @@ def register(name: str, oracle: str | None = None):
 @register("edge_histogram", sql_with("kg_edges") + """
     SELECT predicate, category, count(*) AS n FROM kg_edges GROUP BY 1, 2""")
 def q_edge_histogram(spark, sf):
-    return subgraph.edge_histogram(kg.edges(spark, sf))
+    return subgraph.edge_histogram(_G(spark, sf).edges)
 
 
 @register("edge_total", sql_with("kg_edges") + "SELECT count(*) AS n FROM kg_edges")
 def q_edge_total(spark, sf):
-    return subgraph.edge_total(kg.edges(spark, sf))
+    return subgraph.edge_total(_G(spark, sf).edges)
 
 
 @register("predicate_inventory", sql_with("kg_edges") + """
     SELECT predicate, count(*) AS n FROM kg_edges GROUP BY 1""")
 def q_predicate_inventory(spark, sf):
-    return subgraph.predicate_inventory(kg.edges(spark, sf))
+    return subgraph.predicate_inventory(_G(spark, sf).edges)
 
 
 @register("category_pairs_top", sql_with("kg_edges") + """
     SELECT subject_category, object_category, count(*) AS n FROM kg_edges
     GROUP BY 1, 2 ORDER BY n DESC, subject_category, object_category LIMIT 15""")
 def q_category_pairs_top(spark, sf):
-    return subgraph.category_pairs(kg.edges(spark, sf), 15)
+    return subgraph.category_pairs(_G(spark, sf).edges, 15)
 
 
 SEED_ID_REGEX = "^part:"
@@ -67,21 +73,21 @@ _SEEDS_SQL = (f"SELECT id, name FROM kg_nodes WHERE regexp_matches(id, '{SEED_ID
 
 @register("seed_nodes", sql_with("kg_nodes") + _SEEDS_SQL)
 def q_seed_nodes(spark, sf):
-    return subgraph.select_seeds(kg.nodes(spark, sf), SEED_ID_REGEX, SEED_NAME_REGEX)
+    return subgraph.select_seeds(_G(spark, sf).nodes, SEED_ID_REGEX, SEED_NAME_REGEX)
 
 
 _EDGE_OUT = "id, subject, predicate, object, primary_knowledge_source"
 
 
 def _seeds(spark, sf):
-    return subgraph.select_seeds(kg.nodes(spark, sf), SEED_ID_REGEX, SEED_NAME_REGEX)
+    return subgraph.select_seeds(_G(spark, sf).nodes, SEED_ID_REGEX, SEED_NAME_REGEX)
 
 
 @register("seed_edges_endpoint", sql_with("kg_nodes", "kg_edges", extra=[("seeds", _SEEDS_SQL)]) + f"""
     SELECT {_EDGE_OUT} FROM kg_edges e
     WHERE e.subject IN (SELECT id FROM seeds) OR e.object IN (SELECT id FROM seeds)""")
 def q_seed_edges_endpoint(spark, sf):
-    out = subgraph.extract_edges(kg.edges(spark, sf), _seeds(spark, sf), "endpoint")
+    out = subgraph.extract_edges(_G(spark, sf).edges, _seeds(spark, sf), "endpoint")
     return out.select(*_EDGE_OUT.split(", "))
 
 
@@ -98,7 +104,7 @@ _ALL_EDGE_COLS = ("id, predicate, category, primary_knowledge_source, negated, "
                          '[A-Za-z][A-Za-z0-9_]*:[A-Za-z0-9_]+')) AS tok) t
         JOIN seeds s ON s.id = t.tok)""")
 def q_seed_edges_any_column(spark, sf):
-    out = subgraph.extract_edges(kg.edges(spark, sf), _seeds(spark, sf), "any_column")
+    out = subgraph.extract_edges(_G(spark, sf).edges, _seeds(spark, sf), "any_column")
     return out.select(*_EDGE_OUT.split(", "))
 
 
@@ -108,13 +114,13 @@ def q_seed_edges_any_column(spark, sf):
     SELECT s.name AS subject, e.predicate, o.name AS object
     FROM kg_edges e JOIN kg_nodes s ON s.id = e.subject JOIN kg_nodes o ON o.id = e.object""")
 def q_named_triples(spark, sf):
-    return corpus.name_triples(kg.edges(spark, sf), kg.nodes(spark, sf))
+    return corpus.name_triples(_G(spark, sf).edges, _G(spark, sf).nodes)
 
 
 @register("node_ids", sql_with("kg_edges") + """
     SELECT subject AS id FROM kg_edges UNION SELECT object AS id FROM kg_edges""")
 def q_node_ids(spark, sf):
-    return corpus.node_ids(kg.edges(spark, sf))
+    return corpus.node_ids(_G(spark, sf).edges)
 
 
 _NODE_IDS_SQL = "SELECT subject AS id FROM kg_edges UNION SELECT object AS id FROM kg_edges"
@@ -124,7 +130,7 @@ _NODE_IDS_SQL = "SELECT subject AS id FROM kg_edges UNION SELECT object AS id FR
     SELECT n.id, n.category, concat_ws('. ', n.name, n.synonym, n.description) AS text
     FROM ids i JOIN kg_nodes n ON n.id = i.id""")
 def q_node_text(spark, sf):
-    return corpus.node_text(kg.edges(spark, sf), kg.nodes(spark, sf))
+    return corpus.node_text(_G(spark, sf).edges, _G(spark, sf).nodes)
 
 
 @register("text_coverage", sql_with("kg_nodes", "kg_edges", extra=[("ids", _NODE_IDS_SQL)]) + """
@@ -133,7 +139,7 @@ def q_node_text(spark, sf):
            count(*) AS total
     FROM ids i JOIN kg_nodes n ON n.id = i.id""")
 def q_text_coverage(spark, sf):
-    return corpus.text_coverage(kg.edges(spark, sf), kg.nodes(spark, sf))
+    return corpus.text_coverage(_G(spark, sf).edges, _G(spark, sf).nodes)
 
 
 # ------------------------------------------------------------------- O9 ----
@@ -180,7 +186,7 @@ def _questions(spark, sf):
 
 
 def _node_vectors(spark, sf):
-    return kg.node_vectors(spark, sf)
+    return _G(spark, sf).node_vectors
 
 
 @register("vector_top_k", sql_with("kg_questions", "kg_node_vectors",
@@ -204,7 +210,7 @@ def q_anchor_candidates(spark, sf):
     SELECT question_id, rank, predicate, score,
            CASE WHEN score >= {kg.CUTOFF} THEN '*' ELSE ' ' END AS mark FROM scores""")
 def q_predicate_scores(spark, sf):
-    ranked = classify.rank_predicates(_questions(spark, sf), kg.predicates(spark, sf))
+    ranked = classify.rank_predicates(_questions(spark, sf), _G(spark, sf).predicates)
     return classify.calibration(ranked, kg.CUTOFF).select(_Q, "rank", "predicate", "score", "mark")
 
 
@@ -212,7 +218,7 @@ def q_predicate_scores(spark, sf):
                                         extra=[("scores", _SCORES_SQL)])
           + f"SELECT question_id, rank, predicate, score FROM scores WHERE score >= {kg.CUTOFF}")
 def q_picked_predicates(spark, sf):
-    ranked = classify.rank_predicates(_questions(spark, sf), kg.predicates(spark, sf))
+    ranked = classify.rank_predicates(_questions(spark, sf), _G(spark, sf).predicates)
     return classify.pick_predicates(ranked, kg.CUTOFF).select(_Q, "rank", "predicate", "score")
 
 
@@ -228,7 +234,7 @@ _INC_SQL = """
 @register("predicate_degree", sql_with("kg_edges", extra=[("inc", _INC_SQL)]) + """
     SELECT node, predicate, count(*) AS n FROM inc GROUP BY 1, 2""")
 def q_predicate_degree(spark, sf):
-    return graph.degree(graph.incidence(kg.edges(spark, sf)))
+    return graph.degree(graph.incidence(_G(spark, sf).edges))
 
 
 _HUB_SQL = """
@@ -290,8 +296,8 @@ def _graph_sql(upto: str) -> str:
 
 
 def _graph_parts(spark, sf):
-    return rag.graph_parts(_questions(spark, sf), _node_vectors(spark, sf), kg.nodes(spark, sf),
-                           kg.edges(spark, sf), kg.predicates(spark, sf), cutoff=kg.CUTOFF,
+    return rag.graph_parts(_questions(spark, sf), _node_vectors(spark, sf), _G(spark, sf).nodes,
+                           _G(spark, sf).edges, _G(spark, sf).predicates, cutoff=kg.CUTOFF,
                            recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
 
 
@@ -309,7 +315,7 @@ def q_one_hop(spark, sf):
     SELECT n.id, {_DISPLAY.format(t="concat_ws('. ', n.name, n.synonym, n.description)")} AS name
     FROM ids i JOIN kg_nodes n ON n.id = i.id""")
 def q_display_names(spark, sf):
-    return corpus.node_text(kg.edges(spark, sf), kg.nodes(spark, sf)).select(
+    return corpus.node_text(_G(spark, sf).edges, _G(spark, sf).nodes).select(
         "id", display_name("text").alias("name"))
 
 
@@ -377,8 +383,8 @@ _GRAPH_RAG_SQL = _graph_sql("gprompt") + f"""
 
 @register("graph_rag", _GRAPH_RAG_SQL)
 def q_graph_rag(spark, sf):
-    return rag.graph_rag(_questions(spark, sf), _node_vectors(spark, sf), kg.nodes(spark, sf),
-                         kg.edges(spark, sf), kg.predicates(spark, sf), cutoff=kg.CUTOFF,
+    return rag.graph_rag(_questions(spark, sf), _node_vectors(spark, sf), _G(spark, sf).nodes,
+                         _G(spark, sf).edges, _G(spark, sf).predicates, cutoff=kg.CUTOFF,
                          recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
 
 
@@ -394,7 +400,7 @@ SYSTEMS = ("vector", "graph")
     JOIN kg_edges e ON e.object = c.node AND e.predicate = '{kg.HIERARCHY}'
     WHERE e.subject IS NOT NULL""")]) + "SELECT root, node FROM clo")
 def q_closure(spark, sf):
-    return evaluation.descendants(kg.edges(spark, sf), kg.roots(spark, sf), kg.HIERARCHY)
+    return evaluation.descendants(_G(spark, sf).edges, kg.roots(spark, sf), kg.HIERARCHY)
 
 
 _EVAL_CTES = [
@@ -434,7 +440,7 @@ def _cases(spark, sf):
 
 
 def _answers(spark, sf):
-    return evaluation.oracle_answers(_cases(spark, sf), kg.edges(spark, sf), kg.HIERARCHY)
+    return evaluation.oracle_answers(_cases(spark, sf), _G(spark, sf).edges, kg.HIERARCHY)
 
 
 @register("oracle_answers", _eval_sql() + "SELECT case_id, entity FROM answers")

@@ -1,9 +1,10 @@
 """End-to-end retrieval for a whole table of questions.
 
-Both are one lazy plan. The only driver round trips are the size-checked
-collections of the broadcast sides (question vectors, predicate menu) and
-one bounded row count that decides whether per-question tables may be
-broadcast.
+Driver round trips are the size-checked collections of the broadcast sides
+(question vectors, predicate menu); a single question block is also the
+proof that per-question tables may be broadcast. Per-question tables that
+several branches read (picked predicates: |Q| x menu rows, chosen anchors:
+|Q| rows, capped facts: |Q| x max_facts rows) are checkpointed once.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import display_name
 from ..operators import classify, graph, knn, prompts
+from ..session import materialize
 
 DEFAULT_MAX_BROADCAST_QUESTIONS = 20_000
 
@@ -55,23 +57,28 @@ def graph_parts(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
                 max_facts: int = 40, prefix: str = "biolink:", query_key: str = "question_id",
                 exclude_negated: bool = False,
                 max_broadcast_questions: int = DEFAULT_MAX_BROADCAST_QUESTIONS) -> GraphParts:
-    small = bounded_rows(questions, max_broadcast_questions)
+    blocks = knn.query_blocks(questions, query_key, max_broadcast_rows=max_broadcast_questions)
+    small = len(blocks) <= 1
     ranked = classify.rank_predicates(questions, predicates, query_key=query_key)
-    picked = classify.pick_predicates(ranked, cutoff)
+    # Small per-question tables read by several branches are computed once.
+    picked = materialize(classify.pick_predicates(ranked, cutoff))
     top = picked.where(F.col("rank") == 0).select(query_key, "predicate")
     candidates = knn.top_k(questions, node_vectors, recall_k, query_key=query_key,
-                           item_cols=["category", "text"])
-    inc = graph.incidence(edges, exclude_negated)
-    hub = graph.disambiguate(candidates, picked, inc, query_key=query_key, small=small)
+                           item_cols=["category", "text"], blocks=blocks)
+    if exclude_negated and "negated" in edges.columns:
+        edges = edges.where(~F.coalesce(F.lower(F.col("negated")).isin("true", "1"),
+                                        F.lit(False)))
+    hub = materialize(graph.disambiguate(candidates, picked, edges, query_key=query_key,
+                                         small=small))
     anchors = hub.join(top, query_key).select(
         query_key, F.col("id").alias("anchor"), "predicate",
         display_name("text").alias("anchor_name"))
     node_txt = graph.texts(nodes, "other_id")
-    keys = graph.traverse_keys(anchors, inc, query_key=query_key, small=small)
+    keys = graph.traverse_keys(anchors, edges, query_key=query_key, small=small)
     existing = keys.join(node_txt.select("other_id"), "other_id", "left_semi")
     facts = keys.join(node_txt, "other_id").select(query_key, "other_id", "category", "text", "dir")
     capped_keys = prompts.cap_facts(existing, max_facts, query_key=query_key)
-    capped = capped_keys.join(node_txt, "other_id")
+    capped = materialize(capped_keys.join(node_txt, "other_id"))
     lines = prompts.fact_lines(capped, anchors.select(query_key, "anchor_name", "predicate"),
                                query_key=query_key, prefix=prefix)
     ask = prompts.graph_prompt(questions, anchors.select(query_key, "anchor_name"), lines,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="graphspark-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: write it as a Parquet table in
+    the shared checkpoint directory and read it back.
+
+    Used for small per-question tables that several branches of a plan read
+    (picked predicates, chosen anchors, capped facts): without it each
+    branch would recompute the retrieval under it. One job computes the
+    table (``Dataset.checkpoint`` would compute it twice), the files live in
+    the shared ``spark.checkpoint.dir`` so a lost executor does not lose
+    them, and the re-read table carries its true size, so the optimizer can
+    broadcast it where it is small."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

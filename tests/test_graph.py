@@ -30,20 +30,20 @@ def _picked(spark, preds):
     return spark.createDataFrame([(1, p) for p in preds], "question_id long, predicate string")
 
 
-def test_hub_choice_ties_and_none(spark, inc):
+def test_hub_choice_ties_and_none(spark, edges):
     hp = ["kg:has_phenotype"]
-    hub = graph.disambiguate(_cands(spark, ["P:1", "P:2", "D:2", "D:1"]), _picked(spark, hp), inc)
+    hub = graph.disambiguate(_cands(spark, ["P:1", "P:2", "D:2", "D:1"]), _picked(spark, hp), edges)
     assert rows(hub, "id", "rank", "n_edges") == [("D:1", 3, 3)]
-    tie = graph.disambiguate(_cands(spark, ["P:1", "P:2"]), _picked(spark, hp), inc)
+    tie = graph.disambiguate(_cands(spark, ["P:1", "P:2"]), _picked(spark, hp), edges)
     assert rows(tie, "id") == [("P:1",)]
-    none = graph.disambiguate(_cands(spark, ["Z:0", "D:0"]), _picked(spark, hp), inc, small=True)
+    none = graph.disambiguate(_cands(spark, ["Z:0", "D:0"]), _picked(spark, hp), edges, small=True)
     assert none.count() == 0
 
 
-def test_traverse_cases(spark, inc, nodes):
+def test_traverse_cases(spark, edges, nodes):
     cases = [("D:1", "kg:has_phenotype"), ("D:2", "kg:has_phenotype"), ("D:1", "kg:causes"),
              ("D:1", "kg:subclass_of"), ("P:2", "kg:related_to")]
-    out = rows(graph.traverse(_anchors(spark, cases), inc, nodes), "question_id", "other_id", "dir")
+    out = rows(graph.traverse(_anchors(spark, cases), edges, nodes), "question_id", "other_id", "dir")
     assert out == [(0, "P:1", "out"), (0, "P:1", "out"), (0, "P:2", "out"),
                    (1, "P:2", "out"),
                    (2, "G:1", "in"),
@@ -51,10 +51,10 @@ def test_traverse_cases(spark, inc, nodes):
                    (4, "P:2", "out")]
 
 
-def test_traverse_symmetry(spark, inc, nodes):
-    a = rows(graph.traverse(_anchors(spark, [("D:1", "kg:subclass_of")]), inc, nodes),
+def test_traverse_symmetry(spark, edges, nodes):
+    a = rows(graph.traverse(_anchors(spark, [("D:1", "kg:subclass_of")]), edges, nodes),
              "other_id", "dir")
-    b = rows(graph.traverse(_anchors(spark, [("D:0", "kg:subclass_of")]), inc, nodes),
+    b = rows(graph.traverse(_anchors(spark, [("D:0", "kg:subclass_of")]), edges, nodes),
              "other_id", "dir")
     assert ("D:0", "out") in a and ("D:1", "in") in b
 
@@ -66,10 +66,10 @@ def test_negated_edges_optional(edges):
     assert (kept, dropped) == (2, 1)
 
 
-def test_plans_have_no_cartesian_or_nested_loop(spark, inc, nodes):
+def test_plans_have_no_cartesian_or_nested_loop(spark, edges, inc, nodes):
     hub = graph.disambiguate(_cands(spark, ["P:1", "D:1"]), _picked(spark, ["kg:has_phenotype"]),
-                             inc, small=True)
-    hop = graph.traverse(_anchors(spark, [("D:1", "kg:has_phenotype")]), inc, nodes, small=True)
+                             edges, small=True)
+    hop = graph.traverse(_anchors(spark, [("D:1", "kg:has_phenotype")]), edges, nodes, small=True)
     for df in (hub, hop, graph.degree(inc)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
