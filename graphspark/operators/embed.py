@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,10 +30,10 @@ def hash_embed(docs: DataFrame, key_col: str, text_col: str, dim: int = 65536) -
     tok = docs.select(key_col, F.explode(word_tokens(text_col)).alias("_tok"))
     counts = (tok.select(key_col, md5_bucket("_tok", dim).alias("bucket"))
               .groupBy(key_col, "bucket").agg(F.count(F.lit(1)).alias("_c")))
-    norms = counts.groupBy(key_col).agg(
-        F.sqrt(F.sum(F.col("_c") * F.col("_c"))).alias("_norm"))
-    return (counts.join(norms, key_col)
-            .select(key_col, "bucket", (F.col("_c") / F.col("_norm")).alias("weight")))
+    # Per-key norm as a window: one shuffle by key instead of an aggregate
+    # plus a join; a key's window holds at most ``dim`` rows.
+    norm = F.sqrt(F.sum(F.col("_c") * F.col("_c")).over(Window.partitionBy(key_col)))
+    return counts.select(key_col, "bucket", (F.col("_c") / norm).alias("weight"))
 
 
 def to_dense(sparse: DataFrame, key_col: str, dim: int) -> DataFrame:

@@ -9,7 +9,7 @@ several branches read (picked predicates: |Q| x menu rows, chosen anchors:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,19 +37,97 @@ def vector_rag(questions: DataFrame, node_vectors: DataFrame, *, k: int = 5,
     return prompts.generate(ask, predict_factory, query_key=query_key)
 
 
-@dataclass
 class GraphParts:
-    """Intermediate tables of graph retrieval, for reports and tests."""
-    ranked: DataFrame       # every predicate score per question
-    picked: DataFrame       # predicates at or above the cutoff
-    candidates: DataFrame   # anchor recall pool
-    hub: DataFrame          # chosen anchor per question
-    anchors: DataFrame      # (q, anchor, predicate, anchor_name)
-    facts: DataFrame        # uncapped facts with text (q, other_id, category, text, dir)
-    capped: DataFrame       # first max_facts facts with rn, n_total, truncated
-    lines: DataFrame        # verbalised facts
-    prompts: DataFrame      # (q, user_prompt) for answered questions
-    small: bool
+    """Intermediate tables of graph retrieval, built on first use.
+
+    ranked      every predicate score per question
+    picked      predicates at or above the cutoff (stored)
+    candidates  anchor recall pool
+    hub         chosen anchor per question (stored)
+    anchors     (q, anchor, predicate, anchor_name)
+    facts       uncapped facts with text (q, other_id, category, text, dir)
+    capped      first max_facts facts with rn, n_total, truncated (stored)
+    lines       verbalised facts
+    prompts     (q, user_prompt) of answered questions
+    """
+
+    def __init__(self, questions, node_vectors, nodes, edges, predicates, *, cutoff, recall_k,
+                 max_facts, prefix, query_key, exclude_negated, max_broadcast_questions):
+        if exclude_negated and "negated" in edges.columns:
+            edges = edges.where(~F.coalesce(F.lower(F.col("negated")).isin("true", "1"),
+                                            F.lit(False)))
+        self.questions, self.node_vectors, self.nodes, self.edges = (
+            questions, node_vectors, nodes, edges)
+        self.predicates, self.cutoff, self.recall_k = predicates, cutoff, recall_k
+        self.max_facts, self.prefix, self.q = max_facts, prefix, query_key
+        self.max_broadcast_questions = max_broadcast_questions
+
+    @cached_property
+    def blocks(self):
+        return knn.query_blocks(self.questions, self.q,
+                                max_broadcast_rows=self.max_broadcast_questions)
+
+    @property
+    def small(self) -> bool:
+        return len(self.blocks) <= 1
+
+    @cached_property
+    def ranked(self):
+        return classify.rank_predicates(self.questions, self.predicates, query_key=self.q)
+
+    @cached_property
+    def picked(self):
+        return materialize(classify.pick_predicates(self.ranked, self.cutoff))
+
+    @cached_property
+    def top(self):
+        return self.picked.where(F.col("rank") == 0).select(self.q, "predicate")
+
+    @cached_property
+    def candidates(self):
+        return knn.top_k(self.questions, self.node_vectors, self.recall_k, query_key=self.q,
+                         item_cols=["category", "text"], blocks=self.blocks)
+
+    @cached_property
+    def hub(self):
+        return materialize(graph.disambiguate(self.candidates, self.picked, self.edges,
+                                              query_key=self.q, small=self.small))
+
+    @cached_property
+    def anchors(self):
+        return self.hub.join(self.top, self.q).select(
+            self.q, F.col("id").alias("anchor"), "predicate",
+            display_name("text").alias("anchor_name"))
+
+    @cached_property
+    def node_txt(self):
+        return graph.texts(self.nodes, "other_id")
+
+    @cached_property
+    def keys(self):
+        return graph.traverse_keys(self.anchors, self.edges, query_key=self.q, small=self.small)
+
+    @cached_property
+    def facts(self):
+        return self.keys.join(self.node_txt, "other_id").select(
+            self.q, "other_id", "category", "text", "dir")
+
+    @cached_property
+    def capped(self):
+        existing = self.keys.join(self.node_txt.select("other_id"), "other_id", "left_semi")
+        capped_keys = prompts.cap_facts(existing, self.max_facts, query_key=self.q)
+        return materialize(capped_keys.join(self.node_txt, "other_id"))
+
+    @cached_property
+    def lines(self):
+        return prompts.fact_lines(self.capped,
+                                  self.anchors.select(self.q, "anchor_name", "predicate"),
+                                  query_key=self.q, prefix=self.prefix)
+
+    @cached_property
+    def prompts(self):
+        return prompts.graph_prompt(self.questions, self.anchors.select(self.q, "anchor_name"),
+                                    self.lines, query_key=self.q)
 
 
 def graph_parts(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
@@ -57,33 +135,10 @@ def graph_parts(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
                 max_facts: int = 40, prefix: str = "biolink:", query_key: str = "question_id",
                 exclude_negated: bool = False,
                 max_broadcast_questions: int = DEFAULT_MAX_BROADCAST_QUESTIONS) -> GraphParts:
-    blocks = knn.query_blocks(questions, query_key, max_broadcast_rows=max_broadcast_questions)
-    small = len(blocks) <= 1
-    ranked = classify.rank_predicates(questions, predicates, query_key=query_key)
-    # Small per-question tables read by several branches are computed once.
-    picked = materialize(classify.pick_predicates(ranked, cutoff))
-    top = picked.where(F.col("rank") == 0).select(query_key, "predicate")
-    candidates = knn.top_k(questions, node_vectors, recall_k, query_key=query_key,
-                           item_cols=["category", "text"], blocks=blocks)
-    if exclude_negated and "negated" in edges.columns:
-        edges = edges.where(~F.coalesce(F.lower(F.col("negated")).isin("true", "1"),
-                                        F.lit(False)))
-    hub = materialize(graph.disambiguate(candidates, picked, edges, query_key=query_key,
-                                         small=small))
-    anchors = hub.join(top, query_key).select(
-        query_key, F.col("id").alias("anchor"), "predicate",
-        display_name("text").alias("anchor_name"))
-    node_txt = graph.texts(nodes, "other_id")
-    keys = graph.traverse_keys(anchors, edges, query_key=query_key, small=small)
-    existing = keys.join(node_txt.select("other_id"), "other_id", "left_semi")
-    facts = keys.join(node_txt, "other_id").select(query_key, "other_id", "category", "text", "dir")
-    capped_keys = prompts.cap_facts(existing, max_facts, query_key=query_key)
-    capped = materialize(capped_keys.join(node_txt, "other_id"))
-    lines = prompts.fact_lines(capped, anchors.select(query_key, "anchor_name", "predicate"),
-                               query_key=query_key, prefix=prefix)
-    ask = prompts.graph_prompt(questions, anchors.select(query_key, "anchor_name"), lines,
-                               query_key=query_key)
-    return GraphParts(ranked, picked, candidates, hub, anchors, facts, capped, lines, ask, small)
+    return GraphParts(questions, node_vectors, nodes, edges, predicates, cutoff=cutoff,
+                      recall_k=recall_k, max_facts=max_facts, prefix=prefix, query_key=query_key,
+                      exclude_negated=exclude_negated,
+                      max_broadcast_questions=max_broadcast_questions)
 
 
 def graph_rag(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,

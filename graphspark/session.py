@@ -9,7 +9,9 @@ reliable checkpoint directory (used by the iterative closure).
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -87,5 +89,11 @@ def materialize(df):
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
+    if os.environ.get("GRAPHSPARK_PROFILE"):
+        import traceback
+        caller = traceback.extract_stack(limit=3)[0]
+        print(f"[materialize] {caller.name}:{caller.lineno} {time.perf_counter() - t0:.2f}s",
+              file=sys.stderr, flush=True)
     return spark.read.parquet(path)
