@@ -19,6 +19,9 @@ from ..operators import classify, graph, knn, prompts
 from ..session import materialize
 
 DEFAULT_MAX_BROADCAST_QUESTIONS = 20_000
+# Upper bound on rows of a per-question table that may be broadcast
+# (candidate x picked-predicate pairs: |Q| x recall_k x |menu|).
+MAX_BROADCAST_PAIRS = 5_000_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
@@ -67,9 +70,17 @@ class GraphParts:
         return knn.query_blocks(self.questions, self.q,
                                 max_broadcast_rows=self.max_broadcast_questions)
 
-    @property
+    @cached_property
     def small(self) -> bool:
-        return len(self.blocks) <= 1
+        """Proof that per-question tables may be broadcast: the questions fit
+        one broadcast block and |Q| x recall_k x |menu| stays under
+        MAX_BROADCAST_PAIRS (the largest such table, candidate x picked
+        predicate pairs). Menu size is counted with a bounded limit."""
+        if len(self.blocks) > 1:
+            return False
+        n_q = sum(len(keys) for keys, _ in self.blocks)
+        cap = MAX_BROADCAST_PAIRS // max(1, n_q * self.recall_k)
+        return bounded_rows(self.predicates, cap)
 
     @cached_property
     def ranked(self):
