@@ -497,7 +497,7 @@ def _retrieved(spark, sf, parts=None):
     q = _questions(spark, sf)
     p = parts or _graph_parts(spark, sf)
     vec = knn.top_k(q, _node_vectors(spark, sf), kg.VECTOR_K).select(_Q, F.col("id").alias("entity"))
-    gr = p.facts.select(_Q, F.col("other_id").alias("entity"))
+    gr = p.fact_keys.select(_Q, F.col("other_id").alias("entity"))
     c = cases.select(F.col("id").alias("case_id"), _Q)
     return (c.join(vec, _Q).select("case_id", F.lit("vector").alias("system"), "entity")
             .unionByName(c.join(gr, _Q).select("case_id", F.lit("graph").alias("system"), "entity")))
@@ -544,7 +544,7 @@ _REPORT_SQL = _eval_sql(*_PRF_CTES, ("ginfo", f"""
 def q_score_report(spark, sf):
     parts = _graph_parts(spark, sf)
     scores = _prf(spark, sf, parts)
-    nfacts = parts.facts.groupBy(_Q).agg(F.count(F.lit(1)).alias("_n"))
+    nfacts = parts.fact_keys.groupBy(_Q).agg(F.count(F.lit(1)).alias("_n"))
     info = (_cases(spark, sf).select(F.col("id").alias("case_id"), _Q)
             .join(parts.anchors, _Q).join(nfacts, _Q, "left")
             .select("case_id", "anchor",

@@ -48,6 +48,7 @@ class GraphParts:
     candidates  anchor recall pool
     hub         chosen anchor per question (stored)
     anchors     (q, anchor, predicate, anchor_name)
+    fact_keys   uncapped facts to known nodes (q, other_id, dir) (stored)
     facts       uncapped facts with text (q, other_id, category, text, dir)
     capped      first max_facts facts with rn, n_total, truncated (stored)
     lines       verbalised facts
@@ -118,16 +119,27 @@ class GraphParts:
     def keys(self):
         return graph.traverse_keys(self.anchors, self.edges, query_key=self.q, small=self.small)
 
+    @cached_property
+    def fact_keys(self):
+        """(q, other_id, dir) of facts whose far end is a known node, stored
+        once: the cap's window, the totals, the retrieved sets and the counts
+        all read it."""
+        return materialize(self.keys.join(self.node_txt.select("other_id"), "other_id",
+                                          "left_semi"))
+
     @cached_property
     def facts(self):
-        return self.keys.join(self.node_txt, "other_id").select(
+        return self.fact_keys.join(self.node_txt, "other_id").select(
             self.q, "other_id", "category", "text", "dir")
 
     @cached_property
     def capped(self):
-        existing = self.keys.join(self.node_txt.select("other_id"), "other_id", "left_semi")
-        capped_keys = prompts.cap_facts(existing, self.max_facts, query_key=self.q)
-        return materialize(capped_keys.join(self.node_txt, "other_id"))
+        capped_keys = prompts.cap_facts(self.fact_keys, self.max_facts, query_key=self.q)
+        # At most |Q| x max_facts rows: broadcast under the proven bound, so
+        # the node table is only scanned for their texts.
+        if self.small:
+            capped_keys = F.broadcast(capped_keys)
+        return materialize(self.node_txt.join(capped_keys, "other_id"))
 
     @cached_property
     def lines(self):
