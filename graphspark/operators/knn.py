@@ -33,6 +33,8 @@ from ..functions import SCORE_DECIMALS
 
 DEFAULT_MAX_BROADCAST_ROWS = 20_000
 CHUNK_CELLS = 4_000_000          # question x item scores held at once per task
+MAX_PARTIAL_ROWS = 200_000_000   # partial top-k rows one question block may shuffle
+MIN_BLOCK = 256                  # smallest question block before scan tasks are coalesced
 _SCALE = 10 ** SCORE_DECIMALS
 
 
@@ -148,6 +150,13 @@ def _blocks(df: DataFrame, key: str, max_rows: int, depth: int = 0):
         yield from _blocks(salted.where(F.col("_blk") == b).drop("_blk"), key, max_rows, depth + 1)
 
 
+def _split_blocks(blocks, size: int):
+    """Cut collected (keys, matrix) blocks into pieces of at most ``size`` rows."""
+    for keys, qmat in blocks:
+        for i in range(0, max(len(keys), 1), size):
+            yield keys[i:i + size], qmat[i:i + size]
+
+
 def query_blocks(queries: DataFrame, query_key: str = "question_id",
                  vector_col: str = "embedding",
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list:
@@ -191,8 +200,17 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, *, query_key: str = "que
         [T.StructField(query_key, qtype), T.StructField(item_key, fields[item_key])]
         + [T.StructField(c, fields[c]) for c in item_cols]
         + [T.StructField("_score", T.DoubleType())])
+    # Shuffle bound: every scan task emits at most k rows per question of the
+    # block, so one block ships <= block x k x tasks partial rows. Blocks are
+    # cut so that this stays under MAX_PARTIAL_ROWS (more scans of the items,
+    # bounded shuffle); only if even MIN_BLOCK questions would exceed it are
+    # the item scan tasks coalesced into fewer, larger ones.
+    n_tasks = max(1, items_in.rdd.getNumPartitions())
+    per_block = max(MIN_BLOCK, MAX_PARTIAL_ROWS // (k * n_tasks))
+    if per_block * k * n_tasks > MAX_PARTIAL_ROWS:
+        items_in = items_in.coalesce(max(1, MAX_PARTIAL_ROWS // (per_block * k)))
     partials = None
-    for keys, qmat in blocks:
+    for keys, qmat in _split_blocks(blocks, per_block):
         if len(keys) == 0:
             continue
         bc = sc.broadcast((keys, qmat))

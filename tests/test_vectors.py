@@ -74,3 +74,15 @@ def test_hash_embedding_unit_norm(spark):
     assert sparse.where("doc_id = 2").count() == 0
     dense = embed.to_dense(sparse, "doc_id", 16).collect()
     assert len(dense[0]["embedding"]) == 16
+
+
+def test_partial_row_bound_splits_blocks_without_changing_result(spark, node_vectors, monkeypatch):
+    qs = spark.createDataFrame([(i, [float(i % 5) - 2.0, 1.0]) for i in range(12)],
+                               "question_id long, embedding array<float>")
+    items = node_vectors.repartition(4)
+    base = rows(knn.top_k(qs, items, 3), "question_id", "rank", "id", "sim")
+    monkeypatch.setattr(knn, "MAX_PARTIAL_ROWS", 40)   # forces blocks of 3 questions
+    monkeypatch.setattr(knn, "MIN_BLOCK", 1)
+    assert rows(knn.top_k(qs, items, 3), "question_id", "rank", "id", "sim") == base
+    monkeypatch.setattr(knn, "MIN_BLOCK", 5)           # forces coalesced scan tasks
+    assert rows(knn.top_k(qs, items, 3), "question_id", "rank", "id", "sim") == base
