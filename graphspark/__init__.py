@@ -5,4 +5,16 @@ and returns a DataFrame; nothing is collected except size-checked
 broadcast sides and the closure's empty-frontier test.
 """
 
+import sys as _sys
+
 __version__ = "0.1.0"
+
+# The Arrow kernels (mapInPandas functions) are defined in this package.
+# Pickle them by value so executors run them without having the package
+# installed or on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: package must be importable
+    pass
