@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import curie_tokens
+from ..session import bounded_rows
+
+# Largest seed-id set broadcast to the edge scan (ids are short strings, so
+# this stays in the tens of megabytes).
+MAX_BROADCAST_SEEDS = 1_000_000
 
 # An inactive flag counts as "not set" when it is NULL, empty, or numerically
 # zero (a field-is-falsy test); the string "False" is set, i.e. inactive.
@@ -27,7 +32,7 @@ def select_seeds(nodes: DataFrame, id_regex: str, name_regex: str,
 
 
 def extract_edges(edges: DataFrame, seeds: DataFrame, mode: str = "endpoint",
-                  seed_col: str = "id") -> DataFrame:
+                  seed_col: str = "id", max_broadcast_seeds: int = MAX_BROADCAST_SEEDS) -> DataFrame:
     """O2: edges that mention a seed id; every matching edge row kept once.
 
     mode='endpoint'   subject or object is a seed. Two equi semi-joins
@@ -36,6 +41,14 @@ def extract_edges(edges: DataFrame, seeds: DataFrame, mode: str = "endpoint",
     mode='any_column' a seed occurs as a whole CURIE token in any column of
                       the row. Tokens are matched exactly: unlike a raw
                       substring match, 'part:1' does not match 'part:10'.
+
+    For 'any_column', a seed set proven to hold at most
+    ``max_broadcast_seeds`` ids is broadcast: one scan of the edges, each
+    row's distinct tokens probe the seed hash table inside the scan task,
+    and only matching rows are shuffled (to keep a row matched by several
+    seeds once). Without that proof the (row id, token) pairs are joined
+    with the seeds by a shuffle, and the matching row ids are joined back to
+    a second scan of the edges.
     """
     ids = seeds.select(F.col(seed_col).alias("_seed")).where(F.col("_seed").isNotNull()).distinct()
     if mode == "endpoint":
@@ -46,13 +59,19 @@ def extract_edges(edges: DataFrame, seeds: DataFrame, mode: str = "endpoint",
     if mode != "any_column":
         raise ValueError(f"mode must be 'endpoint' or 'any_column', not {mode!r}")
     cols = list(edges.columns)
-    # Row identity for the semi-join back to whole rows; assigned right after
-    # the scan, so a recomputed task reproduces the same ids.
+    out_cols = [F.col(f"`{c}`") for c in cols]
+    # Row identity (to keep each matching row once); assigned right after the
+    # scan, so a recomputed task reproduces the same ids.
     keyed = edges.withColumn("_rid", F.monotonically_increasing_id())
     line = F.concat_ws("\t", *[F.col(f"`{c}`").cast("string") for c in cols])
-    tokens = keyed.select("_rid", F.explode(F.array_distinct(curie_tokens(line))).alias("_tok"))
+    row_tokens = F.explode(F.array_distinct(curie_tokens(line))).alias("_tok")
+    if bounded_rows(ids, max_broadcast_seeds):
+        hits = keyed.select("*", row_tokens)
+        hits = hits.join(F.broadcast(ids), hits["_tok"] == ids["_seed"], "left_semi")
+        return hits.dropDuplicates(["_rid"]).select(*out_cols)
+    tokens = keyed.select("_rid", row_tokens)
     hit_rows = tokens.join(ids, tokens["_tok"] == ids["_seed"], "left_semi").select("_rid").distinct()
-    return keyed.join(hit_rows, "_rid", "left_semi").select(*[F.col(f"`{c}`") for c in cols])
+    return keyed.join(hit_rows, "_rid", "left_semi").select(*out_cols)
 
 
 def edge_histogram(edges: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import display_name
 from ..operators import classify, graph, knn, prompts
-from ..session import materialize
+from ..session import bounded_rows, materialize
 
 DEFAULT_MAX_BROADCAST_QUESTIONS = 20_000
 # Upper bound on rows of a per-question table that may be broadcast
@@ -24,11 +24,6 @@ DEFAULT_MAX_BROADCAST_QUESTIONS = 20_000
 MAX_BROADCAST_PAIRS = 5_000_000
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def vector_rag(questions: DataFrame, node_vectors: DataFrame, *, k: int = 5,
                predict_factory=None, query_key: str = "question_id") -> DataFrame:
     """Questions -> top-k node texts -> text prompt -> answer.

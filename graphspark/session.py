@@ -97,3 +97,10 @@ def materialize(df):
         print(f"[materialize] {caller.name}:{caller.lineno} {time.perf_counter() - t0:.2f}s",
               file=sys.stderr, flush=True)
     return spark.read.parquet(path)
+
+
+def bounded_rows(df, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+
+    The size proof in front of every broadcast whose side is data-derived."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -44,6 +44,14 @@ def test_extract_edges_modes(spark):
     anyc = sorted(r["id"] for r in subgraph.extract_edges(edges, seeds, "any_column").collect())
     assert end == ["e1", "e4"]          # part:10 is not part:1; self-loop once
     assert anyc == ["e1", "e3", "e4"]   # token in another column counts
+    # Without a size proof for the seeds the shuffled path gives the same rows.
+    shuffled = subgraph.extract_edges(edges, seeds, "any_column", max_broadcast_seeds=0)
+    assert sorted(r["id"] for r in shuffled.collect()) == anyc
+    # A row matched by two seeds is kept once on both paths.
+    two = spark.createDataFrame([("part:1",), ("x:4",)], "id string")
+    for cap in (1_000_000, 0):
+        got = subgraph.extract_edges(edges, two, "any_column", max_broadcast_seeds=cap)
+        assert sorted(r["id"] for r in got.collect()) == ["e1", "e3", "e4"]
 
 
 def test_histograms(edges):
