@@ -85,10 +85,19 @@ def incident(edges: DataFrame, keys: DataFrame, small: bool = False) -> DataFram
 def degree_of(edges: DataFrame, keys: DataFrame, small: bool = False) -> DataFrame:
     """O16 for given (node, predicate) pairs: -> (node, predicate, n), only
     pairs with at least one edge. Computed per distinct pair first, so a node
-    that many questions share is counted once."""
+    that many questions share is counted once.
+
+    With ``small`` (the pairs are proven small) the pairs are broadcast into
+    the edge scan. Without it, the edges are not shuffled to meet the pairs:
+    every (node, predicate) is counted with a partial aggregation per task
+    -- a hub's edges collapse map-side to one row per task, so no shuffle
+    partition is hot -- and the asked pairs are kept by a semi-join on the
+    aggregated counts."""
     pairs = keys.select("node", "predicate").distinct()
-    return (incident(edges, pairs, small).groupBy("node", "predicate")
-            .agg(F.count(F.lit(1)).alias("n")))
+    if small:
+        return (incident(edges, pairs, True).groupBy("node", "predicate")
+                .agg(F.count(F.lit(1)).alias("n")))
+    return degree(incidence(edges)).join(pairs, ["node", "predicate"], "left_semi")
 
 
 def disambiguate(candidates: DataFrame, picked: DataFrame, edges: DataFrame, *,

@@ -36,6 +36,15 @@ def test_hub_choice_ties_and_none(spark, edges):
     assert rows(hub, "id", "rank", "n_edges") == [("D:1", 3, 3)]
     tie = graph.disambiguate(_cands(spark, ["P:1", "P:2"]), _picked(spark, hp), edges)
     assert rows(tie, "id") == [("P:1",)]
+    # The broadcast path and the pre-aggregated shuffle path agree.
+    cands = _cands(spark, ["P:1", "P:2", "D:2", "D:1", "G:1"])
+    two = _picked(spark, hp + ["kg:causes"])
+    assert (rows(graph.disambiguate(cands, two, edges, small=True), "id", "rank", "n_edges")
+            == rows(graph.disambiguate(cands, two, edges, small=False), "id", "rank", "n_edges"))
+    keys = spark.createDataFrame([(n, p) for n in ("P:1", "P:2", "D:2", "D:1", "G:1")
+                                  for p in hp + ["kg:causes"]], "node string, predicate string")
+    assert (rows(graph.degree_of(edges, keys, small=True), "node", "predicate", "n")
+            == rows(graph.degree_of(edges, keys, small=False), "node", "predicate", "n"))
     none = graph.disambiguate(_cands(spark, ["Z:0", "D:0"]), _picked(spark, hp), edges, small=True)
     assert none.count() == 0
 
