@@ -58,3 +58,15 @@ def test_histograms(edges):
     hist = rows(subgraph.predicate_inventory(edges), "predicate", "n")
     assert ("kg:has_phenotype", 5) in hist and ("kg:subclass_of", 3) in hist
     assert subgraph.edge_total(edges).collect()[0]["n"] == 10
+
+
+def test_any_column_plan_scans_edges_once(spark):
+    edges = spark.createDataFrame(
+        [("e1", "part:1", "p", "x:1"), ("e2", "x:3", "p", "part:1")],
+        "id string, subject string, predicate string, object string")
+    seeds = spark.createDataFrame([("part:1",)], "id string")
+    out = subgraph.extract_edges(edges, seeds, "any_column")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Seeds are probed by broadcast inside the scan; no join back to a second scan.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Scan ExistingRDD") == 2   # the edges once, the seeds once
