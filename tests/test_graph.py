@@ -82,3 +82,14 @@ def test_plans_have_no_cartesian_or_nested_loop(spark, edges, inc, nodes):
     for df in (hub, hop, graph.degree(inc)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_degree_without_proof_aggregates_before_the_join(spark, edges):
+    keys = spark.createDataFrame([("D:1", "kg:has_phenotype")], "node string, predicate string")
+    plan = graph.degree_of(edges, keys, small=False)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    semi = next(i for i, s in enumerate(lines) if "LeftSemi" in s)
+    partial = max(i for i, s in enumerate(lines) if "HashAggregate" in s and "partial_count" in s)
+    # The pairs are met after the edges were counted (partially, per task): the
+    # semi-join sits above the partial aggregation in the printed tree.
+    assert semi < partial
