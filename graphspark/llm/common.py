@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphspark.session import bounded_rows, materialize
@@ -27,6 +32,35 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text) if _OTHER_SPACE.search(text) else text.split()
 
 
+def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of a batch of texts: the different words, the code of each word in order, and where each text's
+    words start (one more entry than texts; null texts have none)."""
+    if pa.types.is_large_string(texts.type):
+        texts = texts.cast(pa.string())
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # splits at blank and tab to carriage return
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    coded = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+    starts = starts - starts[0]
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:  # left at the ends of a text and before the first word
+        full = codes != empty
+        starts = np.r_[0, np.cumsum(full)][starts]
+        codes = codes[full]
+    return coded.dictionary, codes, starts
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each (start, length), one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
+def worker_state() -> types.ModuleType:
+    """Where a Python worker keeps what later tasks may use again (a cache, never results)."""
+    return sys.modules.setdefault("graphspark_worker_state", types.ModuleType("graphspark_worker_state"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,6 +75,11 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
 
 
+def in_fold(doc_id: Column) -> Column:
+    """Held-out rows: the crc32 of the id as text leaves 2 when divided by 4. A null id is in no fold."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphspark.llm import host_reputation, pivotal_mix, quality_rules, winnowing
-from graphspark.llm.common import table
+import public_tokenizers
+
+from graphspark.llm import (compression_quality, exact_packing, host_reputation, language_mixture, license_rules,
+                            pivotal_mix, quality_rules, winnowing)
+from graphspark.llm.common import in_fold, table
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +31,28 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), "doc_id")
+
+
+def tokenizer_path() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = language_mixture.identify(table(spark, sf_dir, "documents"), "doc_id")
+    return rows.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs")
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(table(spark, sf_dir, "documents"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = compression_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+    return rows.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", "predicted", "size_difference")
+
+
 QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op4_pivotal_mix": mix,
-           "op5_host_reputation": urls}
+           "op5_host_reputation": urls, "op6_exact_packing": packing, "op7_language_mixture": languages,
+           "op8_license_rules": licenses, "op10_compression_quality": quality_scores}
