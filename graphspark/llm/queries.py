@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from graphspark.llm import (compression_quality, exact_packing, host_reputation, language_mixture, license_rules,
-                            pivotal_mix, quality_rules, winnowing)
+                            line_dedup, pivotal_mix, quality_rules, winnowing)
 from graphspark.llm.common import in_fold, table
 
 
@@ -48,6 +48,12 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(table(spark, sf_dir, "documents"))
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.cleaned(table(spark, sf_dir, "documents"))
+    return rows.select("_row.doc_id", F.size("_gone").alias("n_removed"), F.col("_gone").alias("removed_lines"),
+                       F.char_length("_text").alias("kept_chars"), F.sha2("_text", 256).alias("kept_sha256"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = compression_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
     return rows.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", "predicted", "size_difference")
@@ -55,4 +61,5 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op4_pivotal_mix": mix,
            "op5_host_reputation": urls, "op6_exact_packing": packing, "op7_language_mixture": languages,
-           "op8_license_rules": licenses, "op10_compression_quality": quality_scores}
+           "op8_license_rules": licenses, "op9_line_dedup": lines,
+           "op10_compression_quality": quality_scores}
