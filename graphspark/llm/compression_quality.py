@@ -13,8 +13,6 @@ columns don't matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import zstandard
@@ -114,18 +112,17 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:
     ``DICTIONARY_BYTES``, so it travels with the task."""
     text_batches(docs.sparkSession)
     model = fit(docs, labels)
-    source = docs.select(*[c for c in keep if c != "text"], "text")
-    types = dict(source.dtypes)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pair = None if isinstance(model, float) else Pair(*model[:2])
-        for pdf in batches:
-            if pair is None:
-                x, p = np.zeros(len(pdf)), np.full(len(pdf), model)
-            else:
-                x = np.array([pair.difference(t) for t in pdf["text"]])
-                p = 1 / (1 + np.exp(-np.clip(model[2] + model[3] * x, -30, 30)))
-            yield pdf[list(keep)].assign(size_difference=x, score=p, predicted=(p >= CUT).astype("int32"))
-
-    return source.mapInPandas(run, ", ".join(f"`{c}` {types[c]}" for c in keep)
-                              + ", size_difference double, score double, predicted int")
+    state: dict[str, Pair] = {}  # compressors are made once for each task
+
+    @F.pandas_udf("size_difference double, score double, predicted int")
+    def scored(texts: pd.Series) -> pd.DataFrame:
+        if isinstance(model, float):
+            x, p = np.zeros(len(texts)), np.full(len(texts), model)
+        else:
+            if "pair" not in state:
+                state["pair"] = Pair(*model[:2])
+            x = np.array([state["pair"].difference(t) for t in texts])
+            p = 1 / (1 + np.exp(-np.clip(model[2] + model[3] * x, -30, 30)))
+        return pd.DataFrame({"size_difference": x, "score": p, "predicted": (p >= CUT).astype("int32")})
+
+    return docs.select(*keep, scored("text").alias("_score")).select(*keep, "_score.*")

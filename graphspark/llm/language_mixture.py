@@ -90,7 +90,7 @@ def infer(text: str | None, langs: list[str], table: np.ndarray) -> tuple[str, f
         return UNKNOWN, 0.0, []
     counts = np.bincount(trigram_buckets(text), minlength=BUCKETS)
     used = np.flatnonzero(counts)
-    n, logp = counts[used].astype(float), table[used]
+    n, logp = counts[used].astype(float), table[used].astype(float)
     likely = np.exp(logp - logp.max(1, keepdims=True))  # a constant for each gram, the same for all sets
     alone = n @ np.log(likely)
     share, _ = proportions(likely, n, np.full(len(langs), 1.0 / len(langs)))
@@ -115,16 +115,10 @@ def identify(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns, lang_pred, score and langs (the chosen set) for every row."""
     text_batches(docs.sparkSession)
     langs, table = fit(docs)
-    source = docs.select(*[c for c in keep if c != "text"], "text")
-    types = dict(source.dtypes)
     small = table.astype(np.float32)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wide = small.astype(float)
-        for pdf in batches:
-            rows = [infer(t, langs, wide) for t in pdf["text"]]
-            yield pdf[list(keep)].assign(lang_pred=[r[0] for r in rows], score=[r[1] for r in rows],
-                                         langs=[r[2] for r in rows])
+    @F.pandas_udf("lang_pred string, score double, langs array<string>")
+    def mixture(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([infer(t, langs, small) for t in texts], columns=["lang_pred", "score", "langs"])
 
-    return source.mapInPandas(run, ", ".join(f"`{c}` {types[c]}" for c in keep)
-                              + ", lang_pred string, score double, langs array<string>")
+    return docs.select(*keep, mixture("text").alias("_lang")).select(*keep, "_lang.*")

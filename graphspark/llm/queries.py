@@ -8,18 +8,23 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from graphspark.llm import (compression_quality, exact_packing, host_reputation, language_mixture, license_rules,
-                            line_dedup, pivotal_mix, quality_rules, winnowing)
+                            line_dedup, parity_join, pivotal_mix, quality_rules, winnowing)
 from graphspark.llm.common import in_fold, table
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+    rows = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+    return rows.select("doc_id", "_verdict.*")
 
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.join(table(spark, sf_dir, "documents"))[0]
+
+
 def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pivotal_mix.copies(table(spark, sf_dir, "documents"), "doc_id", "source")
     return rows.select("doc_id", "source", F.col("_size").alias("size"), F.col("_size_sum").alias("source_size"),
@@ -59,7 +64,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", "predicted", "size_difference")
 
 
-QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op4_pivotal_mix": mix,
+QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op3_parity_join": near_copies, "op4_pivotal_mix": mix,
            "op5_host_reputation": urls, "op6_exact_packing": packing, "op7_language_mixture": languages,
            "op8_license_rules": licenses, "op9_line_dedup": lines,
            "op10_compression_quality": quality_scores}
+
+ORACLE_SQL: dict[str, str] = {}
