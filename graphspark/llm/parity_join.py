@@ -38,6 +38,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Ratio of a size band's bounds.
 BAND_RATIO = 1.5
+#: One spare block for so many that may differ: a link shares more than the spare blocks, chance seldom does.
+SPARE_SHARE = 6
 #: Bits of a block; a key holds the digest of the odd ones.
 BLOCK_BITS = 1_024
 #: Groups of up to so many members are joined as they are; at most so many pairs a member.
@@ -74,7 +76,7 @@ class Bands:
             while low == 1 and most_different(2 * (high + 1), percent) == 0:
                 high += 1  # in the first band only equal sets link
             d = most_different(2 * high, percent)
-            spare = 0 if d == 0 else 1 + (d + 1) // 20
+            spare = 0 if d == 0 else 1 + (d + 1) // SPARE_SHARE
             self.low.append(low)
             self.high.append(high)
             self.spare.append(spare)
@@ -106,24 +108,27 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
             yield np.unique(rolled[a:b - SHINGLE + 1])
 
 
-def block_keys(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
-    """Keys of the blocks to join on, the band in the lowest six bits.
+def block_keys(hashes: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
+    """Keys of the blocks to join on, the band in the lowest six bits; how many of them any link must share.
 
     The high bits of a hash choose the block and the low ones its bit. XOR over a block's bits cancels those that
-    occur an even number of times, so equal digests mean equal parities."""
-    p = bands.blocks[band]
+    occur an even number of times, so equal digests mean equal parities. At least 1 + spare blocks of linked sets
+    are equal; empty ones may be among them, and are joined on only where there are too many."""
+    p, spare = bands.blocks[band], bands.spare[band]
     if not p:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), 1
     block = ((hashes >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)  # rises with the sorted hashes
     bit = mix64((hashes & np.uint64(BLOCK_BITS - 1)) + block * np.uint64(BLOCK_BITS) + np.uint64(band << 48))
     first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
     digest = np.bitwise_xor.reduceat(bit, first)
     odd = digest != 0
     key = mix64(digest[odd] + (block[first][odd] + np.uint64(1)) * _B)
-    if p - int(odd.sum()) > bands.spare[band]:  # too many empty blocks to leave them out
-        empty = np.setdiff1d(np.arange(p, dtype=np.uint64), block[first][odd])
-        key = np.r_[key, mix64((empty + np.uint64(1)) * _M2 + np.uint64(band))]
-    return ((key & ~np.uint64(63)) | np.uint64(band)).view(np.int64)
+    empty = p - int(odd.sum())
+    need = 1 + spare - empty
+    if need < 1:
+        gaps = np.setdiff1d(np.arange(p, dtype=np.uint64), block[first][odd])
+        key, need = np.r_[key, mix64((gaps + np.uint64(1)) * _M2 + np.uint64(band))], 1
+    return ((key & ~np.uint64(63)) | np.uint64(band)).view(np.int64), need
 
 
 def short_sketch(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
@@ -134,14 +139,15 @@ def short_sketch(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, hi, lo (digest of the set), n, own, band, sketch, keys: a row for each document and band, ``own``
+    """doc_id, hi, lo (digest of the set), n, own, band, need, sketch, keys: a row for each document and band, ``own``
     for the first of a document.
 
     Band, sketch and keys are left out (null) for texts whose set the task has met before, so that a set that
     a third of all documents share sends its keys once a task."""
     text_batches(docs.sparkSession)
-    schema = "doc_id long, hi long, lo long, n long, own boolean, band int, sketch array<long>, keys array<long>"
-    kinds = [pa.int64()] * 4 + [pa.bool_(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    schema = ("doc_id long, hi long, lo long, n long, own boolean, band int, need int, sketch array<long>, "
+              "keys array<long>")
+    kinds = [pa.int64()] * 4 + [pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,12 +158,12 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 raw = xxhash.xxh128_digest(hashes.tobytes())
                 hi, lo = (int.from_bytes(raw[k:k + 8], "little", signed=True) for k in (0, 8))
                 if raw in seen or not len(hashes) or doc is None:
-                    rows.append((doc, hi, lo, len(hashes), True, None, None, None))
+                    rows.append((doc, hi, lo, len(hashes), True, None, None, None, None))
                     continue
                 seen.add(raw)
                 for k, band in enumerate(bands.of(len(hashes))):
-                    rows.append((doc, hi, lo, len(hashes), k == 0, band, short_sketch(hashes, band, bands),
-                                 block_keys(hashes, band, bands)))
+                    keys, need = block_keys(hashes, band, bands)
+                    rows.append((doc, hi, lo, len(hashes), k == 0, band, need, short_sketch(hashes, band, bands), keys))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
                                              if rows else [pa.array([], t) for t in kinds], names)
 
@@ -165,11 +171,20 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _groups(signed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """key, node: blocks that two or more sets share. One shuffle of (key, digest)."""
+    """key, node, center, _n: blocks that two or more sets share, with the smallest of them.
+
+    A set that shares fewer blocks in a band than any link of it must share has none there, and is left out: this
+    takes most of the blocks that are equal by chance or by one common passage."""
     keys = signed.where("band is not null").select("hi", F.explode("keys").alias("key"))
-    size = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    shared = materialize(keys.withColumn("_n", size).where("_n > 1").drop("_n"))
-    return materialize(shared.join(nodes.select("hi", "node"), "hi").select("key", "node").distinct())
+    shared = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("_n > 1").drop("_n")
+    needs = signed.where("band is not null").select("hi", "lo", "band", "need").distinct().join(nodes, ["hi", "lo"])
+    known = (shared.withColumn("band", _band()).join(needs.select("hi", "band", "need", "node"), ["hi", "band"])
+             .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("hi", "band"))).where("_m >= need"))
+    known = materialize(known.select("key", "node"))
+    by_key = Window.partitionBy("key")
+    return materialize(known.repartition("key").dropDuplicates(["key", "node"])
+                       .withColumn("center", F.min("node").over(by_key))
+                       .withColumn("_n", F.count(F.lit(1)).over(by_key)).where("_n > 1"))
 
 
 def _near(left: str, right: str) -> str:
@@ -219,11 +234,12 @@ def _band():
 
 
 def _open_groups(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """key, node, comp, _n of the blocks in which more than one component meets."""
-    known = groups.join(comps, groups.node == comps.id, "left").select(
-        "key", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = known.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count(F.lit(1)).alias("_n"))
-    return known.join(mixed.where("_a != _b and _n > 2"), "key").select("key", "node", "comp", "_n")
+    """key, node, comp, _n of the blocks in which more than one component meets; of two members the star has
+    tested the only pair."""
+    known = groups.where("_n > 2").join(comps, groups.node == comps.id, "left").select(
+        "key", "node", F.coalesce("comp", "node").alias("comp"), "_n")
+    mixed = known.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a != _b")
+    return known.join(mixed.select("key"), "key")
 
 
 def _small_groups(opened: DataFrame) -> DataFrame:
@@ -303,8 +319,8 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
                            .dropDuplicates(["hi", "lo", "band"]).join(nodes, ["hi", "lo"])
                            .select("node", "band", "n", "sketch"))
     groups = _groups(signed, nodes)
-    center = F.min("node").over(Window.partitionBy("key"))
-    star = (groups.select(F.col("node").alias("b"), center.alias("a"), _band().alias("band")).where("a != b").distinct())
+    star = (groups.select(F.col("node").alias("b"), F.col("center").alias("a"), _band().alias("band"))
+            .where("a != b").distinct())
     tested = materialize(_pass_bounds(star, sketches, percent))
     links.append(materialize(verified(tested, docs, percent)))
     for forest in (True, False):
