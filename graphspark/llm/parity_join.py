@@ -85,9 +85,11 @@ class Bands:
             low = high + 1
 
     def of(self, size: int) -> list[int]:
-        """Its own band, and the next one if larger sets there can link with this size."""
-        own = int(np.searchsorted(self.high, size))
-        return [own, own + 1] if 100 * size // self.percent > self.high[own] else [own]
+        """Its own band, and those above in which larger sets can link with this size."""
+        out = [int(np.searchsorted(self.high, size))]
+        while 100 * size // self.percent > self.high[out[-1]]:
+            out.append(out[-1] + 1)
+        return out
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
