@@ -1,9 +1,9 @@
 """Column expressions: cosine, node text, display names, tokens, hashing."""
 
-from .columns import (CURIE_TOKEN, NODE_TEXT_SEP, SCORE_DECIMALS, WORD_TOKEN, cosine,
-                      curie_tokens, display_name, dot, md5_bucket, node_text, norm,
+from .columns import (SEPARATORS, NODE_TEXT_SEP, SCORE_DECIMALS, WORD_TOKEN, cosine,
+                      id_tokens, display_name, dot, md5_bucket, node_text, norm,
                       round_score, strip_prefix, word_tokens)
 
-__all__ = ["CURIE_TOKEN", "NODE_TEXT_SEP", "SCORE_DECIMALS", "WORD_TOKEN", "cosine",
-           "curie_tokens", "display_name", "dot", "md5_bucket", "node_text", "norm",
+__all__ = ["SEPARATORS", "NODE_TEXT_SEP", "SCORE_DECIMALS", "WORD_TOKEN", "cosine",
+           "id_tokens", "display_name", "dot", "md5_bucket", "node_text", "norm",
            "round_score", "strip_prefix", "word_tokens"]

@@ -4,7 +4,7 @@ Fixed values (must equal the original behaviour):
   node text separator          ". "
   synonym bracket              "["
   word token pattern           [a-z0-9]+ over lower-cased text
-  CURIE token pattern          prefix ":" local-part, see CURIE_TOKEN
+  list separators in a column  see SEPARATORS
   score rounding               6 decimals, before ranking and cutoff tests
 """
 
@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 NODE_TEXT_SEP = ". "
 WORD_TOKEN = "[a-z0-9]+"
-# A CURIE: a prefix starting with a letter, a colon, a local part. Matching
-# whole tokens (not substrings) keeps `part:1` from matching `part:10`.
-CURIE_TOKEN = "[A-Za-z][A-Za-z0-9_]*:[A-Za-z0-9_]+"
+# What separates ids inside one column (lists, quoted or bracketed values).
+# An id is a maximal run without these, so `part:1` does not match `part:10`
+# and an id keeps its dots and dashes.
+SEPARATORS = "[\\s|,;'\"\\[\\](){}]+"
 SCORE_DECIMALS = 6
 
 
@@ -74,8 +75,11 @@ def strip_prefix(x, prefix: str) -> Column:
     return F.when(col.startswith(prefix), F.substring(col, len(prefix) + 1, 1 << 30)).otherwise(col)
 
 
-def curie_tokens(x) -> Column:
-    return F.regexp_extract_all(_c(x), F.lit(CURIE_TOKEN), 0)
+def id_tokens(cols) -> Column:
+    """Distinct ids that a row mentions: each whole column value, and each run
+    without a list separator in it."""
+    values = F.array(*[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])
+    return F.array_distinct(F.concat(values, F.split(F.array_join(values, "\t"), SEPARATORS)))
 
 
 def word_tokens(x) -> Column:
@@ -83,6 +87,6 @@ def word_tokens(x) -> Column:
 
 
 def md5_bucket(token, dim: int) -> Column:
-    """Feature-hashing bucket of a token: first 16 bits of md5, modulo dim."""
-    h = F.conv(F.substring(F.md5(_c(token)), 1, 4), 16, 10).cast("bigint")
+    """Feature-hashing bucket of a token: first 60 bits of md5, modulo dim."""
+    h = F.conv(F.substring(F.md5(_c(token)), 1, 15), 16, 10).cast("bigint")
     return F.pmod(h, F.lit(dim)).cast("int")

@@ -68,9 +68,8 @@ def embed(df: DataFrame, text_col: str, encoder_factory, *, out_col: str = "embe
 
 def check_same_encoder(a: DataFrame, b: DataFrame, col: str = "encoder") -> None:
     """Refuse to compare vectors produced by different encoders."""
-    names = set()
-    for df in (a, b):
-        if col in df.columns:
-            names |= {r[0] for r in df.select(col).distinct().limit(3).collect()}
+    if col not in a.columns or col not in b.columns:
+        return
+    names = {r[0] for df in (a, b) for r in df.select(col).distinct().limit(3).collect()}
     if len(names) > 1:
         raise ValueError(f"vectors come from different encoders: {sorted(names)}")

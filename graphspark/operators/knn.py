@@ -1,22 +1,20 @@
 """Exact cosine retrieval (O10-O12) and all-menu scoring (O13 kernel).
 
-Plan shape of ``top_k`` (questions Q, items N, both tables):
-
-  * Q is the side that is broadcast. It is collected in blocks of at most
-    ``max_broadcast_rows`` rows (checked with ``limit(n+1)``; a larger Q is
-    split by a hash of its key into more blocks, each one more scan of N).
-  * N is streamed with ``mapInPandas``: each task multiplies its Arrow
-    batches by the unit-normalised question block (numpy matmul, bounded
-    chunks) and keeps, per question, an exact running top-k ordered by
-    (score rounded to 6 places desc, item id asc). A task therefore emits at
-    most k rows per question, never all pairs.
-  * The partial lists are shuffled by question and cut with a ranked window
-    (Spark plans a partial WindowGroupLimit before that shuffle).
-
-``score_menu`` is the other orientation, for a small menu (predicate
-descriptions): the menu is broadcast (size-checked), the questions are
-streamed, and every question gets every menu entry with its rank -- no
-shuffle at all.
+Plan shape of ``top_k`` (questions Q, items N, both tables): a grid. Questions
+are dealt by a hash into blocks of about ``QUERY_BLOCK`` rows, items into
+blocks of at most about ``ITEM_BLOCK`` rows. Each (question block, item block)
+cell is one cogrouped Arrow task: a matrix product in bounded chunks and an
+exact partial top-k, ordered by (score rounded to 6 places desc, item id asc).
+Both sides are scanned and shuffled once (each copied to the blocks of the
+other), nothing is collected, and no cell emits more than k rows a question.
+The partial lists are shuffled by question and cut with a ranked window (Spark
+plans a partial WindowGroupLimit before that shuffle). Item columns other than
+the id are joined after the cut.
+
+``score_menu`` is for a small menu (predicate descriptions): the menu is
+broadcast (size-checked), the questions are streamed, and every question gets
+every menu entry with its rank, without a shuffle. A menu beyond the bound is
+scored on the same grid.
 """
 
 from __future__ import annotations
@@ -25,16 +23,18 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import SCORE_DECIMALS
 
-DEFAULT_MAX_BROADCAST_ROWS = 20_000
+QUERY_BLOCK = 4_096
+ITEM_BLOCK = 50_000
+MIN_ITEM_BLOCK = 2_000           # smaller item blocks aren't worth a task
 CHUNK_CELLS = 4_000_000          # question x item scores held at once per task
-MAX_PARTIAL_ROWS = 200_000_000   # partial top-k rows one question block may shuffle
-MIN_BLOCK = 256                  # smallest question block before scan tasks are coalesced
 _SCALE = 10 ** SCORE_DECIMALS
 
 
@@ -61,69 +61,66 @@ def _rounded(scores):
     return np.floor(scores * _SCALE + 0.5).astype(np.int64)
 
 
-def _order_ranks(values):
-    """Dense ranks of values in ascending order (ties share a rank)."""
-    _u, inv = np.unique(np.asarray(values, dtype=object), return_inverse=True)
-    return inv.reshape(np.shape(values)).astype(np.int64), len(_u)
+def _unit_matrix(vectors: pa.ChunkedArray):
+    """Arrow lists as a float64 matrix of unit rows, and which rows it holds
+    (not NULL, not of zero norm). The flat values are reshaped, not copied row by row."""
+    column = vectors.combine_chunks()
+    ok = np.asarray(column.is_valid())
+    kept = column.drop_null()
+    if not len(kept):
+        return np.zeros((0, 0)), ok
+    sizes = np.unique(pc.list_value_length(kept).to_numpy())
+    if len(sizes) != 1:
+        raise ValueError(f"vector lengths differ: {sizes[:5].tolist()}")
+    mat = kept.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, int(sizes[0]))
+    nrm = np.sqrt(np.einsum("ij,ij->i", mat, mat))
+    ok[np.flatnonzero(ok)[~(nrm > 0)]] = False
+    return mat[nrm > 0] / nrm[nrm > 0][:, None], ok
+
+
+def _cell(query_key: str, item_key: str, k: int | None, schema: pa.Schema):
+    """Scores of one grid cell: the k best items of each question, or all of them."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        qmat, qok = _unit_matrix(left["_qv"])
+        right = right.take(pc.sort_indices(right[item_key]))  # ties: the smaller id comes first
+        xmat, xok = _unit_matrix(right["_iv"])
+        parts = []
+        if len(qmat) and len(xmat):
+            if qmat.shape[1] != xmat.shape[1]:
+                raise ValueError(f"vector length {xmat.shape[1]} differs from {qmat.shape[1]}")
+            keys, ids, n = left[query_key].filter(pa.array(qok)), right[item_key].filter(pa.array(xok)), len(xmat)
+            take = n if k is None else min(k, n)
+            for at in range(0, len(qmat), max(1, CHUNK_CELLS // n)):
+                s = qmat[at:at + max(1, CHUNK_CELLS // n)] @ xmat.T
+                rank = _rounded(s) * n + (n - 1 - np.arange(n))
+                idx = np.argpartition(-rank, take - 1, axis=1)[:, :take] if take < n else np.broadcast_to(np.arange(n), s.shape)
+                rows = np.repeat(np.arange(at, at + len(s)), take)
+                parts.append(pa.table([keys.take(pa.array(rows)), ids.take(pa.array(idx.ravel())),
+                                       pa.array(np.take_along_axis(s, idx, 1).ravel())], schema=schema))
+        return pa.concat_tables(parts) if parts else schema.empty_table()
+    return run
 
 
-def _select_top(ri, id_rank, n_ids, k):
-    """Column indices of the k best per row by (ri desc, id asc)."""
-    key = ri * (n_ids + 1) + (n_ids - id_rank)
-    if key.shape[1] <= k:
-        return np.argsort(-key, axis=1, kind="stable")
-    part = np.argpartition(-key, k - 1, axis=1)[:, :k]
-    sub = np.take_along_axis(key, part, axis=1)
-    return np.take_along_axis(part, np.argsort(-sub, axis=1, kind="stable"), axis=1)
-
-
-def _topk_kernel(bc, k, item_key, item_cols, vec_col, qkey_name):
-    def run(batches):
-        keys, qmat = bc.value
-        nq, dim = qmat.shape
-        best = None  # dict: s, ri, id, cols (each nq x kb)
-        for pdf in batches:
-            if nq == 0:
-                continue
-            pdf = pdf[pdf[item_key].notna()]
-            if pdf.empty:
-                continue
-            xmat, ok = _unit_rows(pdf[vec_col], dim)
-            if xmat.shape[0] == 0:
-                continue
-            ids = pdf[item_key].to_numpy(dtype=object)[ok]
-            cols = [pdf[c].to_numpy(dtype=object)[ok] for c in item_cols]
-            step = max(1, CHUNK_CELLS // max(nq, 1))
-            for s0 in range(0, len(ids), step):
-                s = qmat @ xmat[s0:s0 + step].T
-                cid = ids[s0:s0 + step]
-                rank, n_ids = _order_ranks(cid)
-                ri = _rounded(s)
-                idx = _select_top(ri, np.broadcast_to(rank, ri.shape), n_ids, k)
-                cand = {"s": np.take_along_axis(s, idx, 1), "ri": np.take_along_axis(ri, idx, 1),
-                        "id": cid[idx], "cols": [c[s0:s0 + step][idx] for c in cols]}
-                if best is not None:
-                    cand = {"s": np.concatenate([best["s"], cand["s"]], 1),
-                            "ri": np.concatenate([best["ri"], cand["ri"]], 1),
-                            "id": np.concatenate([best["id"], cand["id"]], 1),
-                            "cols": [np.concatenate([a, b], 1)
-                                     for a, b in zip(best["cols"], cand["cols"])]}
-                    rank2, n2 = _order_ranks(cand["id"])
-                    idx = _select_top(cand["ri"], rank2, n2, k)
-                    cand = {"s": np.take_along_axis(cand["s"], idx, 1),
-                            "ri": np.take_along_axis(cand["ri"], idx, 1),
-                            "id": np.take_along_axis(cand["id"], idx, 1),
-                            "cols": [np.take_along_axis(c, idx, 1) for c in cand["cols"]]}
-                best = cand
-        if best is None:
-            return
-        width = best["s"].shape[1]
-        out = {qkey_name: np.repeat(keys, width), item_key: best["id"].ravel()}
-        for name, c in zip(item_cols, best["cols"]):
-            out[name] = c.ravel()
-        out["_score"] = best["s"].ravel()
-        yield pd.DataFrame(out)
-    return run
+def _grid(queries: DataFrame, items: DataFrame, query_key: str, qvec: str, item_key: str, ivec: str,
+          k: int | None, query_block: int, item_block: int) -> DataFrame:
+    """(query_key, item_key, _score) of all cells. Two counts size the grid."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    q = queries.select(query_key, F.col(qvec).alias("_qv")).where(F.col("_qv").isNotNull())
+    x = items.select(item_key, F.col(ivec).alias("_iv")).where(F.col("_iv").isNotNull() & F.col(item_key).isNotNull())
+    n_items = x.count()
+    tasks = int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_q = max(1, math.ceil(q.count() / query_block))
+    n_x = max(1, math.ceil(n_items / item_block), min(tasks, math.ceil(n_items / MIN_ITEM_BLOCK)))
+    left = (q.withColumn("_qb", F.pmod(F.xxhash64(query_key), F.lit(n_q)))
+            .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(n_x - 1)))))
+    right = (x.withColumn("_ib", F.pmod(F.xxhash64(item_key), F.lit(n_x)).cast("int"))
+             .withColumn("_qb", F.explode(F.expr(f"sequence(0L, {n_q - 1}L)"))))
+    schema = T.StructType([T.StructField(query_key, q.schema[query_key].dataType),
+                           T.StructField(item_key, x.schema[item_key].dataType),
+                           T.StructField("_score", T.DoubleType())])
+    run = _cell(query_key, item_key, k, to_arrow_schema(schema))
+    return (left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInArrow(run, schema))
 
 
 def _collect_bounded(df: DataFrame, max_rows: int):
@@ -135,99 +132,28 @@ def _collect_bounded(df: DataFrame, max_rows: int):
     return pdf if len(pdf) <= max_rows else None
 
 
-def _blocks(df: DataFrame, key: str, max_rows: int, depth: int = 0):
-    """Yield pandas blocks of ``df``, each at most ``max_rows`` rows."""
-    pdf = _collect_bounded(df, max_rows)
-    if pdf is not None:
-        yield pdf
-        return
-    if depth > 6:
-        raise RuntimeError(f"cannot split {key} into blocks of {max_rows} rows (duplicate keys?)")
-    n = df.count()
-    parts = max(2, math.ceil(2 * n / max_rows))
-    salted = df.withColumn("_blk", F.pmod(F.xxhash64(F.col(key), F.lit(depth)), F.lit(parts)))
-    for b in range(parts):
-        yield from _blocks(salted.where(F.col("_blk") == b).drop("_blk"), key, max_rows, depth + 1)
-
-
-def _split_blocks(blocks, size: int):
-    """Cut collected (keys, matrix) blocks into pieces of at most ``size`` rows."""
-    for keys, qmat in blocks:
-        for i in range(0, max(len(keys), 1), size):
-            yield keys[i:i + size], qmat[i:i + size]
-
-
-def query_blocks(queries: DataFrame, query_key: str = "question_id",
-                 vector_col: str = "embedding",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list:
-    """Collect the query vectors in size-checked blocks: [(keys, unit matrix)].
-
-    One block means the whole query table fits the broadcast bound, which
-    callers also use as the proof that per-query tables (|Q| x k rows) may
-    be broadcast."""
-    q_side = (queries.select(query_key, F.col(vector_col).alias("_qv"))
-              .where(F.col("_qv").isNotNull()))
-    out = []
-    for block in _blocks(q_side, query_key, max_broadcast_rows):
-        qmat, ok = _unit_rows(block["_qv"])
-        out.append((block[query_key].to_numpy()[ok], qmat))
-    return out
-
-
 def top_k(queries: DataFrame, items: DataFrame, k: int, *, query_key: str = "question_id",
           item_key: str = "id", item_cols=(), vector_col: str = "embedding",
-          query_vector_col: str | None = None,
-          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-          blocks: list | None = None) -> DataFrame:
+          query_vector_col: str | None = None, query_block: int = QUERY_BLOCK,
+          item_block: int = ITEM_BLOCK) -> DataFrame:
     """Exact cosine top-k items per query.
 
     Output: query_key, rank (0-based), item_key, *item_cols, sim (rounded to
     6 places). Ties on the rounded score go to the smaller item id. Items or
-    queries with a NULL or zero vector never match.
+    queries with a NULL or zero vector never match. Item ids are unique.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    item_cols = list(item_cols)
-    qvec = query_vector_col or vector_col
-    spark = items.sparkSession
-    sc = spark.sparkContext
-    if blocks is None:
-        blocks = query_blocks(queries, query_key, qvec, max_broadcast_rows)
-    items_in = items.select(item_key, *item_cols, vector_col)
-    fields = {f.name: f.dataType for f in items_in.schema.fields}
-    qtype = queries.schema[query_key].dataType
-    out_schema = T.StructType(
-        [T.StructField(query_key, qtype), T.StructField(item_key, fields[item_key])]
-        + [T.StructField(c, fields[c]) for c in item_cols]
-        + [T.StructField("_score", T.DoubleType())])
-    # Shuffle bound: every scan task emits at most k rows per question of the
-    # block, so one block ships <= block x k x tasks partial rows. Blocks are
-    # cut so that this stays under MAX_PARTIAL_ROWS (more scans of the items,
-    # bounded shuffle); only if even MIN_BLOCK questions would exceed it are
-    # the item scan tasks coalesced into fewer, larger ones.
-    n_tasks = max(1, items_in.rdd.getNumPartitions())
-    per_block = max(MIN_BLOCK, MAX_PARTIAL_ROWS // (k * n_tasks))
-    if per_block * k * n_tasks > MAX_PARTIAL_ROWS:
-        items_in = items_in.coalesce(max(1, MAX_PARTIAL_ROWS // (per_block * k)))
-    partials = None
-    for keys, qmat in _split_blocks(blocks, per_block):
-        if len(keys) == 0:
-            continue
-        bc = sc.broadcast((keys, qmat))
-        part = items_in.mapInPandas(
-            _topk_kernel(bc, k, item_key, item_cols, vector_col, query_key), out_schema)
-        partials = part if partials is None else partials.unionByName(part)
-    if partials is None:
-        return spark.createDataFrame([], T.StructType(
-            [T.StructField(query_key, qtype), T.StructField("rank", T.LongType()),
-             T.StructField(item_key, fields[item_key])]
-            + [T.StructField(c, fields[c]) for c in item_cols]
-            + [T.StructField("sim", T.DoubleType())]))
+    partials = _grid(queries, items, query_key, query_vector_col or vector_col, item_key, vector_col, k,
+                     query_block, item_block)
     sim = F.round(F.col("_score"), SCORE_DECIMALS)
     w = Window.partitionBy(query_key).orderBy(sim.desc(), F.col(item_key).asc())
-    return (partials.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-            .select(query_key, (F.col("_rn") - 1).cast("bigint").alias("rank"), item_key,
-                    *item_cols, sim.alias("sim")))
+    best = (partials.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+            .select(query_key, (F.col("_rn") - 1).cast("bigint").alias("rank"), item_key, sim.alias("sim")))
+    if not item_cols:
+        return best
+    return (best.join(items.select(item_key, *item_cols), item_key)
+            .select(query_key, "rank", item_key, *item_cols, "sim"))
 
 
 def _menu_kernel(bc, query_key, vec_col, cols):
@@ -265,7 +191,12 @@ def score_menu(queries: DataFrame, menu: DataFrame, *, query_key: str = "questio
     menu_cols = list(menu_cols)
     pdf = _collect_bounded(menu.select("pos", *menu_cols, vector_col), max_menu_rows)
     if pdf is None:
-        raise ValueError(f"menu has more than {max_menu_rows} entries")
+        cells = _grid(queries, menu, query_key, vector_col, "pos", vector_col, None, QUERY_BLOCK, ITEM_BLOCK)
+        score = F.round("_score", SCORE_DECIMALS)
+        w = Window.partitionBy(query_key).orderBy(score.desc(), "pos")
+        return (cells.withColumn("rank", (F.row_number().over(w) - 1).cast("bigint"))
+                .join(menu.select("pos", *menu_cols), "pos")
+                .select(query_key, "pos", *menu_cols, score.alias("score"), "rank"))
     pmat, ok = _unit_rows(pdf[vector_col])
     pos = pdf["pos"].to_numpy()[ok].astype(np.int32)
     extra = [pdf[c].to_numpy(dtype=object)[ok] for c in menu_cols]

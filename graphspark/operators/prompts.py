@@ -20,9 +20,6 @@ from pyspark.sql import types as T
 
 from ..functions import display_name, strip_prefix
 
-DEFAULT_SYSTEM = (
-    "Answer the question using only the context given. If the context does "
-    "not contain the answer, say that there is not enough information. Be concise.")
 NO_ANSWER = "I do not have enough information."
 SEP = " — "
 
@@ -106,16 +103,19 @@ def extractive_answer(user_prompt="user_prompt") -> F.Column:
 
 
 def generate(prompts: DataFrame, predict_factory: Callable[[], Callable] | None = None, *,
-             query_key: str = "question_id", system: str = DEFAULT_SYSTEM) -> DataFrame:
+             query_key: str = "question_id", system: str | None = None) -> DataFrame:
     """The generation seam. Text in, text out, per question.
 
     Without a factory the built-in extractive answer is used (a JVM
     expression). With one, ``predict_factory()`` is called once per task to
     build ``predict(systems: list[str], users: list[str]) -> list[str]`` (a
-    local model or a remote client), which is applied per Arrow batch.
+    local model or a remote client), which is applied per Arrow batch. The
+    system text is the caller's and needed with a factory.
     """
     if predict_factory is None:
         return prompts.withColumn("answer", extractive_answer("user_prompt"))
+    if system is None:
+        raise ValueError("a generator needs a system text")
 
     def run(batches):
         predict = predict_factory()

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import curie_tokens
-from ..session import bounded_rows
+from ..functions import id_tokens
+from ..session import bounded_rows, materialize
 
 # Largest seed-id set broadcast to the edge scan (ids are short strings, so
 # this stays in the tens of megabytes).
@@ -35,41 +35,41 @@ def extract_edges(edges: DataFrame, seeds: DataFrame, mode: str = "endpoint",
                   seed_col: str = "id", max_broadcast_seeds: int = MAX_BROADCAST_SEEDS) -> DataFrame:
     """O2: edges that mention a seed id; every matching edge row kept once.
 
-    mode='endpoint'   subject or object is a seed. Two equi semi-joins
-                      (subject; else object), so a hub seed is a plain hash
-                      lookup, never an OR join.
-    mode='any_column' a seed occurs as a whole CURIE token in any column of
-                      the row. Tokens are matched exactly: unlike a raw
-                      substring match, 'part:1' does not match 'part:10'.
-
-    For 'any_column', a seed set proven to hold at most
-    ``max_broadcast_seeds`` ids is broadcast: one scan of the edges, each
-    row's distinct tokens probe the seed hash table inside the scan task,
-    and only matching rows are shuffled (to keep a row matched by several
-    seeds once). Without that proof the (row id, token) pairs are joined
-    with the seeds by a shuffle, and the matching row ids are joined back to
-    a second scan of the edges.
+    mode='endpoint'   subject or object is a seed.
+    mode='any_column' a seed is a whole column value, or an id between list
+                      separators in any column. Ids are matched exactly:
+                      unlike a raw substring match, 'part:1' does not match
+                      'part:10'. Every endpoint row is among these rows.
+
+    A seed set proven to hold at most ``max_broadcast_seeds`` ids is
+    broadcast: one scan of the edges, whose ids probe the seed hash table
+    inside the scan task; for 'any_column' only matching rows are shuffled
+    (to keep a row matched by several seeds once). Without that proof the
+    edges are stored once with a row id, (row id, id) pairs meet the seeds
+    in a shuffle, and the matching row ids are joined back to the stored
+    rows.
     """
-    ids = seeds.select(F.col(seed_col).alias("_seed")).where(F.col("_seed").isNotNull()).distinct()
-    if mode == "endpoint":
-        by_subject = edges.join(ids, edges["subject"] == ids["_seed"], "left_semi")
-        rest = edges.join(ids, edges["subject"] == ids["_seed"], "left_anti")
-        by_object = rest.join(ids, rest["object"] == ids["_seed"], "left_semi")
-        return by_subject.unionByName(by_object)
-    if mode != "any_column":
+    if mode not in ("endpoint", "any_column"):
         raise ValueError(f"mode must be 'endpoint' or 'any_column', not {mode!r}")
+    ids = seeds.select(F.col(seed_col).alias("_seed")).where(F.col("_seed").isNotNull()).distinct()
     cols = list(edges.columns)
     out_cols = [F.col(f"`{c}`") for c in cols]
-    # Row identity (to keep each matching row once); assigned right after the
-    # scan, so a recomputed task reproduces the same ids.
-    keyed = edges.withColumn("_rid", F.monotonically_increasing_id())
-    line = F.concat_ws("\t", *[F.col(f"`{c}`").cast("string") for c in cols])
-    row_tokens = F.explode(F.array_distinct(curie_tokens(line))).alias("_tok")
+    mentioned = id_tokens([F.col(f"`{c}`") for c in cols])
+    if mode == "endpoint":
+        mentioned = F.array_distinct(F.array("subject", "object"))
     if bounded_rows(ids, max_broadcast_seeds):
-        hits = keyed.select("*", row_tokens)
+        if mode == "endpoint":
+            subject = F.broadcast(ids.select(F.col("_seed").alias("_s")))
+            obj = F.broadcast(ids.select(F.col("_seed").alias("_o")))
+            hits = (edges.join(subject, edges["subject"] == F.col("_s"), "left")
+                    .join(obj, edges["object"] == F.col("_o"), "left"))
+            return hits.where(F.col("_s").isNotNull() | F.col("_o").isNotNull()).select(*out_cols)
+        keyed = edges.withColumn("_rid", F.monotonically_increasing_id())
+        hits = keyed.select("*", F.explode(mentioned).alias("_tok"))
         hits = hits.join(F.broadcast(ids), hits["_tok"] == ids["_seed"], "left_semi")
         return hits.dropDuplicates(["_rid"]).select(*out_cols)
-    tokens = keyed.select("_rid", row_tokens)
+    keyed = materialize(edges.withColumn("_rid", F.monotonically_increasing_id()))
+    tokens = keyed.select("_rid", F.explode(mentioned).alias("_tok"))
     hit_rows = tokens.join(ids, tokens["_tok"] == ids["_seed"], "left_semi").select("_rid").distinct()
     return keyed.join(hit_rows, "_rid", "left_semi").select(*out_cols)
 

@@ -63,8 +63,9 @@ def q_category_pairs_top(spark, sf):
     return subgraph.category_pairs(_G(spark, sf).edges, 15)
 
 
-SEED_ID_REGEX = "^part:"
-SEED_NAME_REGEX = "ring"
+# Parts by name, and some suppliers: these are also named outside the endpoints, as an edge's source.
+SEED_ID_REGEX = "^(part:|supplier:[0-9]*7$)"
+SEED_NAME_REGEX = "(ring|upplier)"
 _ACTIVE_SQL = ("(inactive IS NULL OR inactive = '' OR regexp_matches(inactive, "
                "'^\\s*[+-]?(0+\\.?0*|\\.0+)([eE][+-]?[0-9]+)?\\s*$'))")
 _SEEDS_SQL = (f"SELECT id, name FROM kg_nodes WHERE regexp_matches(id, '{SEED_ID_REGEX}') "
@@ -91,18 +92,17 @@ def q_seed_edges_endpoint(spark, sf):
     return out.select(*_EDGE_OUT.split(", "))
 
 
-_ALL_EDGE_COLS = ("id, predicate, category, primary_knowledge_source, negated, "
-                  "subject_category, object_category, subject, object")
+_ALL_EDGE_COLS = ("e.id, e.predicate, e.category, e.primary_knowledge_source, e.negated, "
+                  "e.subject_category, e.object_category, e.subject, e.object")
+# A literal substring test: separators become one character, and a seed has to stand between two of them.
+_BOUNDED_LINE = ("'|' || translate(concat_ws('|', " + _ALL_EDGE_COLS + "), chr(9) || ' ,;\"[](){}' || chr(39), "
+                 "'||||||||||||') || '|'")
 
 
 @register("seed_edges_any_column",
           sql_with("kg_nodes", "kg_edges", extra=[("seeds", _SEEDS_SQL)]) + f"""
     SELECT {_EDGE_OUT} FROM kg_edges e
-    WHERE EXISTS (
-        SELECT 1 FROM (SELECT unnest(regexp_extract_all(
-                         concat_ws(chr(9), {_ALL_EDGE_COLS}),
-                         '[A-Za-z][A-Za-z0-9_]*:[A-Za-z0-9_]+')) AS tok) t
-        JOIN seeds s ON s.id = t.tok)""")
+    WHERE EXISTS (SELECT 1 FROM seeds s WHERE contains({_BOUNDED_LINE}, '|' || s.id || '|'))""")
 def q_seed_edges_any_column(spark, sf):
     out = subgraph.extract_edges(_G(spark, sf).edges, _seeds(spark, sf), "any_column")
     return out.select(*_EDGE_OUT.split(", "))
@@ -150,7 +150,7 @@ HASH_DIM = 65536
 @register("hash_embed_docs", f"""
     WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t
                  FROM documents),
-         c AS (SELECT doc_id, (('0x' || substr(md5(t), 1, 4))::INT) % {HASH_DIM} AS bucket,
+         c AS (SELECT doc_id, (('0x' || substr(md5(t), 1, 15))::BIGINT) % {HASH_DIM} AS bucket,
                       count(*) AS c FROM tok GROUP BY 1, 2)
     SELECT c.doc_id, c.bucket, c.c / sqrt(n.s) AS weight
     FROM c JOIN (SELECT doc_id, sum(c * c) AS s FROM c GROUP BY 1) n ON n.doc_id = c.doc_id""")
@@ -182,7 +182,7 @@ def _cands_sql(k: int) -> str:
 
 
 def _questions(spark, sf):
-    return kg.questions(spark, sf)
+    return _G(spark, sf).questions()
 
 
 def _node_vectors(spark, sf):
@@ -369,6 +369,8 @@ _GRAPH_RAG_SQL = _graph_sql("gprompt") + f"""
            a.anchor, p.predicate,
            CASE WHEN a.anchor IS NULL THEN 0
                 ELSE (SELECT count(*) FROM capped c WHERE c.question_id = q.question_id) END AS n_facts,
+           CASE WHEN a.anchor IS NULL THEN 0
+                ELSE (SELECT count(*) FROM facts f WHERE f.question_id = q.question_id) END AS n_total,
            CASE WHEN a.anchor IS NULL THEN false
                 ELSE coalesce((SELECT bool_or(c.truncated) FROM capped c
                                WHERE c.question_id = q.question_id), false) END AS truncated,
@@ -436,7 +438,7 @@ def _eval_sql(*extra):
 
 
 def _cases(spark, sf):
-    return kg.cases(spark, sf)
+    return _G(spark, sf).cases()
 
 
 def _answers(spark, sf):
@@ -449,13 +451,10 @@ def q_oracle_answers(spark, sf):
 
 
 @register("gold_resolved", _eval_sql() + """
-    SELECT c.id AS case_id, coalesce(a.n, 0)::BIGINT AS n_answers,
-           coalesce(a.n, 0) = 0 AS is_empty, a.first_answer, a.last_answer,
-           coalesce(a.dg, 0)::BIGINT AS answer_digest
+    SELECT c.id AS case_id, a.pos, a.entity
     FROM kg_cases c LEFT JOIN (
-        SELECT case_id, count(*) AS n, min(entity) AS first_answer, max(entity) AS last_answer,
-               sum(('0x' || substr(md5(entity), 1, 8))::BIGINT) AS dg
-        FROM answers GROUP BY 1) a ON a.case_id = c.id""")
+        SELECT case_id, entity, row_number() OVER (PARTITION BY case_id ORDER BY entity) - 1 AS pos
+        FROM answers) a ON a.case_id = c.id""")
 def q_gold_resolved(spark, sf):
     return evaluation.resolve_gold(_cases(spark, sf), _answers(spark, sf))
 
@@ -494,9 +493,8 @@ _PRF_CTES = [n for n in _GRAPH_CTES if n[0] in ("scores", "picked", "cands", "in
 
 def _retrieved(spark, sf, parts=None):
     cases = _cases(spark, sf).where(F.col("question_id").isNotNull())
-    q = _questions(spark, sf)
     p = parts or _graph_parts(spark, sf)
-    vec = knn.top_k(q, _node_vectors(spark, sf), kg.VECTOR_K).select(_Q, F.col("id").alias("entity"))
+    vec = p.vector_hits(kg.VECTOR_K).select(_Q, F.col("id").alias("entity"))
     gr = p.fact_keys.select(_Q, F.col("other_id").alias("entity"))
     c = cases.select(F.col("id").alias("case_id"), _Q)
     return (c.join(vec, _Q).select("case_id", F.lit("vector").alias("system"), "entity")
@@ -568,7 +566,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
-
-
-def lit_str(s: str):
-    return F.lit(s)

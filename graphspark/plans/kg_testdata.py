@@ -10,10 +10,10 @@ hierarchy), kg:placed_by (order->customer), kg:contains (order->part, one per
 lineitem row, duplicates kept), kg:supplies (supplier->part, distinct),
 kg:ordered_from (customer->supplier, distinct).
 
-Vectors: the ``embeddings`` table is split into held-out question vectors
-(every 25th vec_id) and corpus vectors; a corpus vector belongs to node
-kind ``vec_id % 4`` with key ``vec_id // 4`` (rows whose node does not exist
-drop out). Predicate description vectors are label centroids.
+Vectors: every node's text is encoded by the built-in encoder, and every node
+with a word can be retrieved. Questions are the stated query set: nodes whose
+key is divisible by 100 ask about themselves in words, and questions and
+predicate descriptions are encoded by the same encoder.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import node_text
+from ..operators.embed import hash_embed, to_dense
 
 # Fixed values of the derived graph.
 HIERARCHY = "kg:part_of"
@@ -33,7 +34,9 @@ PREDICATE_MENU = [
     ("kg:ordered_from", "which suppliers a customer ordered from"),
 ]
 CUTOFF = 0.10
-QUESTION_EVERY = 25          # held-out question split of the embeddings table
+QUESTION_EVERY = 100         # stated query set: nodes whose key is divisible by this ask, all nodes answer
+VECTOR_DIM = 64              # buckets of the built-in text encoder
+QUESTION_KINDS = ["part", "customer", "order", "supplier"]
 RECALL_K = 25                # anchor recall pool
 VECTOR_K = 5                 # plain vector retrieval
 MAX_FACTS = 40               # facts handed to the generator
@@ -145,59 +148,60 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held-out question vectors: (question_id, question, embedding, label)."""
-    emb = _read(spark, sf_dir, "embeddings")
-    return (emb.where(F.col("vec_id") % QUESTION_EVERY == 0)
-            .select(F.col("vec_id").alias("question_id"),
-                    F.concat(F.lit("q"), F.col("vec_id").cast("string")).alias("question"),
-                    "embedding", "label"))
+def encoded(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, embedding): the built-in encoder over a text column; a text without words has no row."""
+    return to_dense(hash_embed(df, key, text, VECTOR_DIM), key, VECTOR_DIM)
+
+
+def menu(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, p, d) for i, (p, d) in enumerate(PREDICATE_MENU)],
+                                 "pos int, predicate string, description string")
+
+
+def questions(spark: SparkSession, sf_dir: str, node_df: DataFrame | None = None) -> DataFrame:
+    """The stated query set: every node whose key is divisible by QUESTION_EVERY asks about itself.
+
+    (question_id, question, embedding); the question is a menu description and the node's text, encoded
+    by the same encoder as the nodes."""
+    n = node_df if node_df is not None else nodes(spark, sf_dir)
+    kind, key = F.substring_index("id", ":", 1), F.substring_index("id", ":", -1).cast("bigint")
+    kinds = F.array(*[F.lit(k) for k in QUESTION_KINDS])
+    asked = (n.select(node_text().alias("_text"), key.alias("_key"), (F.array_position(kinds, kind) - 1).alias("_kind"))
+             .where((F.col("_kind") >= 0) & (F.col("_key") % QUESTION_EVERY == 0))
+             .withColumn("pos", (F.floor(F.col("_key") / QUESTION_EVERY) % len(PREDICATE_MENU)).cast("int")))
+    text = (asked.join(F.broadcast(menu(spark)), "pos")
+            .select((F.col("_key") * len(QUESTION_KINDS) + F.col("_kind")).alias("question_id"),
+                    F.concat_ws(": ", "description", "_text").alias("question")))
+    return text.join(encoded(text, "question_id", "question"), "question_id")
 
 
 def node_vectors(spark: SparkSession, sf_dir: str, node_df: DataFrame | None = None) -> DataFrame:
-    """Corpus vectors attached to graph nodes: (id, category, text, embedding)."""
-    emb = _read(spark, sf_dir, "embeddings").where(F.col("vec_id") % QUESTION_EVERY != 0)
-    kind = (F.when(F.col("vec_id") % 4 == 0, F.lit("part:"))
-            .when(F.col("vec_id") % 4 == 1, F.lit("customer:"))
-            .when(F.col("vec_id") % 4 == 2, F.lit("order:"))
-            .otherwise(F.lit("supplier:")))
-    vec = emb.select(F.concat(kind, F.floor(F.col("vec_id") / 4).cast("bigint").cast("string"))
-                     .alias("id"), "embedding")
+    """Every node with its text and the text's vector: (id, category, text, embedding)."""
     n = node_df if node_df is not None else nodes(spark, sf_dir)
     n = n.select("id", "category", node_text().alias("text"))
-    return vec.join(n, "id").select("id", "category", "text", "embedding")
+    return n.join(encoded(n, "id", "text"), "id").select("id", "category", "text", "embedding")
 
 
 def predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicate menu (pos, predicate, description, embedding); the vector of
-    menu position i is the centroid of the embeddings labelled i."""
-    menu = spark.createDataFrame([(i, p, d) for i, (p, d) in enumerate(PREDICATE_MENU)],
-                                 "pos int, predicate string, description string")
-    emb = _read(spark, sf_dir, "embeddings").where(F.col("label") < len(PREDICATE_MENU))
-    cells = (emb.select("label", F.posexplode("embedding").alias("i", "v"))
-             .groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("v")))
-    centroid = (cells.groupBy("label")
-                .agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("cells"))
-                .select(F.col("label").alias("pos"),
-                        F.transform("cells", lambda c: c["v"]).alias("embedding")))
-    return menu.join(centroid, "pos").select("pos", "predicate", "description", "embedding")
+    """Predicate menu (pos, predicate, description, embedding): descriptions by the same encoder."""
+    m = menu(spark)
+    return m.join(encoded(m, "pos", "description"), "pos").select("pos", "predicate", "description", "embedding")
 
 
-def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold cases, one per question vector plus the hand-written set.
+def cases(spark: SparkSession, sf_dir: str, question_df: DataFrame | None = None) -> DataFrame:
+    """Gold cases, one per question plus the hand-written set.
 
     (id, question_id, question, anchor, predicate, direction, expand_subclasses)
     """
-    menu = spark.createDataFrame([(i, p) for i, (p, _d) in enumerate(PREDICATE_MENU)],
-                                 "pos int, predicate string")
-    i = F.floor(F.col("question_id") / QUESTION_EVERY).cast("bigint")
-    gen = (questions(spark, sf_dir)
-           .select("question_id", "question", (F.col("label") % len(PREDICATE_MENU)).alias("pos"),
-                   F.concat(F.lit("region:"), (i % 5).cast("string")).alias("anchor"),
+    i = F.floor(F.col("question_id") / (QUESTION_EVERY * len(QUESTION_KINDS))).cast("bigint")
+    asked = question_df if question_df is not None else questions(spark, sf_dir)
+    gen = (asked
+           .select("question_id", "question", (i % len(PREDICATE_MENU)).cast("int").alias("pos"),
+                   F.concat(F.lit("region:"), (F.floor(i / len(PREDICATE_MENU)) % 5).cast("string")).alias("anchor"),
                    (i % 4 != 3).alias("expand_subclasses"))
-           .join(menu, "pos")
-           .select(F.col("question").alias("id"), "question_id", "question", "anchor",
-                   "predicate", F.lit("both").alias("direction"), "expand_subclasses"))
+           .join(F.broadcast(menu(spark)), "pos")
+           .select(F.concat(F.lit("q"), F.col("question_id").cast("string")).alias("id"), "question_id", "question",
+                   "anchor", "predicate", F.lit("both").alias("direction"), "expand_subclasses"))
     hand = spark.createDataFrame(
         [(cid, None, None, a, p, d, x) for cid, a, p, d, x in HAND_CASES],
         "id string, question_id bigint, question string, anchor string, predicate string, "
@@ -234,14 +238,16 @@ class StoredGraph:
         self.edges = spark.read.parquet(f"{base}/edges")
         node_vectors(spark, sf_dir, self.nodes).write.mode("overwrite").parquet(f"{base}/vectors")
         self.node_vectors = spark.read.parquet(f"{base}/vectors")
+        questions(spark, sf_dir, self.nodes).write.mode("overwrite").parquet(f"{base}/questions")
+        self._questions = spark.read.parquet(f"{base}/questions")
         predicates(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/predicates")
         self.predicates = spark.read.parquet(f"{base}/predicates")
 
     def questions(self) -> DataFrame:
-        return questions(self.spark, self.sf_dir)
+        return self._questions
 
     def cases(self) -> DataFrame:
-        return cases(self.spark, self.sf_dir)
+        return cases(self.spark, self.sf_dir, self._questions)
 
 
 _STORED: dict = {}
@@ -265,6 +271,19 @@ _HAND_VALUES = ", ".join(
     f"('{c}', NULL::BIGINT, NULL::VARCHAR, '{a}', '{p}', '{d}', {str(x).upper()})"
     for c, a, p, d, x in HAND_CASES)
 
+
+
+def _encode_sql(txt: str) -> str:
+    """The encoder over a relation (k, text): counts of words by bucket, as a list (cosines don't need its norm)."""
+    return f"""
+        SELECT k, list(c ORDER BY b) AS embedding FROM (
+            SELECT k, b, sum(CASE WHEN bucket = b THEN n ELSE 0 END)::DOUBLE AS c
+            FROM (SELECT k, ('0x' || substr(md5(w), 1, 15))::BIGINT % {VECTOR_DIM} AS bucket, count(*) AS n
+                  FROM (SELECT k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM {txt})
+                  GROUP BY 1, 2) CROSS JOIN range({VECTOR_DIM}) r(b)
+            GROUP BY 1, 2) GROUP BY k"""
+
+
 _CTES = {
     "kg_nodes": ([], """
         SELECT 'region:' || r_regionkey AS id, 'kg:Region' AS category, r_name AS name,
@@ -307,34 +326,31 @@ _CTES = {
                'customer:' || o_custkey, 'supplier:' || l_suppkey
           FROM (SELECT DISTINCT o.o_custkey, l.l_suppkey FROM orders o
                 JOIN lineitem l ON l.l_orderkey = o.o_orderkey)"""),
-    "kg_questions": ([], f"""
-        SELECT vec_id AS question_id, 'q' || vec_id AS question,
-               embedding::DOUBLE[] AS embedding, label
-        FROM embeddings WHERE vec_id % {QUESTION_EVERY} = 0"""),
+    "kg_questions": (["kg_nodes", "kg_menu"], f"""
+        WITH asked AS (
+            SELECT *, list_position({QUESTION_KINDS}, split_part(id, ':', 1)) - 1 AS kind,
+                   split_part(id, ':', 2)::BIGINT AS key FROM kg_nodes),
+        txt AS (
+            SELECT a.key * {len(QUESTION_KINDS)} + a.kind AS k,
+                   m.description || ': ' || concat_ws('. ', a.name, a.synonym, a.description) AS text
+            FROM asked a JOIN kg_menu m ON m.pos = (a.key // {QUESTION_EVERY}) % {len(PREDICATE_MENU)}
+            WHERE a.kind >= 0 AND a.key % {QUESTION_EVERY} = 0)
+        SELECT k AS question_id, text AS question, embedding FROM txt JOIN ({_encode_sql("txt")}) v USING (k)"""),
     "kg_node_vectors": (["kg_nodes"], f"""
-        SELECT n.id, n.category, concat_ws('. ', n.name, n.synonym, n.description) AS text,
-               v.embedding
-        FROM (SELECT CASE vec_id % 4 WHEN 0 THEN 'part:' WHEN 1 THEN 'customer:'
-                                     WHEN 2 THEN 'order:' ELSE 'supplier:' END
-                     || (vec_id // 4) AS id, embedding::DOUBLE[] AS embedding
-              FROM embeddings WHERE vec_id % {QUESTION_EVERY} <> 0) v
-        JOIN kg_nodes n ON n.id = v.id"""),
+        WITH txt AS (SELECT id AS k, concat_ws('. ', name, synonym, description) AS text FROM kg_nodes)
+        SELECT n.id, n.category, t.text, v.embedding
+        FROM kg_nodes n JOIN txt t ON t.k = n.id JOIN ({_encode_sql("txt")}) v ON v.k = n.id"""),
     "kg_menu": ([], f"SELECT * FROM (VALUES {_MENU_VALUES}) t(pos, predicate, description)"),
     "kg_predicates": (["kg_menu"], f"""
-        SELECT m.pos, m.predicate, m.description, c.embedding
-        FROM kg_menu m JOIN (
-            SELECT label AS pos, list(v ORDER BY i) AS embedding FROM (
-                SELECT label, i, avg(e[i]::DOUBLE) AS v
-                FROM (SELECT label, embedding AS e, generate_subscripts(embedding, 1) AS i
-                      FROM embeddings WHERE label < {len(PREDICATE_MENU)})
-                GROUP BY label, i)
-            GROUP BY label) c ON c.pos = m.pos"""),
+        WITH txt AS (SELECT pos AS k, description AS text FROM kg_menu)
+        SELECT m.pos, m.predicate, m.description, v.embedding
+        FROM kg_menu m JOIN ({_encode_sql("txt")}) v ON v.k = m.pos"""),
     "kg_cases": (["kg_questions", "kg_menu"], f"""
-        SELECT q.question AS id, q.question_id, q.question,
-               'region:' || ((q.question_id // {QUESTION_EVERY}) % 5) AS anchor,
-               m.predicate, 'both' AS direction,
-               ((q.question_id // {QUESTION_EVERY}) % 4) <> 3 AS expand_subclasses
-        FROM kg_questions q JOIN kg_menu m ON m.pos = q.label % {len(PREDICATE_MENU)}
+        SELECT 'q' || q.question_id AS id, q.question_id, q.question,
+               'region:' || ((q.i // {len(PREDICATE_MENU)}) % 5) AS anchor,
+               m.predicate, 'both' AS direction, (q.i % 4) <> 3 AS expand_subclasses
+        FROM (SELECT *, question_id // {QUESTION_EVERY * len(QUESTION_KINDS)} AS i FROM kg_questions) q
+        JOIN kg_menu m ON m.pos = q.i % {len(PREDICATE_MENU)}
         UNION ALL SELECT * FROM (VALUES {_HAND_VALUES})
             t(id, question_id, question, anchor, predicate, direction, expand_subclasses)"""),
     "kg_roots": ([], "SELECT 'region:' || r_regionkey AS root FROM region"),

@@ -1,10 +1,10 @@
 """End-to-end retrieval for a whole table of questions.
 
-Driver round trips are the size-checked collections of the broadcast sides
-(question vectors, predicate menu); a single question block is also the
-proof that per-question tables may be broadcast. Per-question tables that
-several branches read (picked predicates: |Q| x menu rows, chosen anchors:
-|Q| rows, capped facts: |Q| x max_facts rows) are checkpointed once.
+The driver sees counts only, and the size-checked predicate menu. A count of
+the questions is the proof that per-question tables may be broadcast: each
+such table has its own bound in rows, and its rows hold ids, no texts.
+Per-question tables that several branches read (candidates, picked
+predicates, chosen anchors, capped facts) are stored once.
 """
 
 from __future__ import annotations
@@ -16,23 +16,27 @@ from pyspark.sql import functions as F
 
 from ..functions import display_name
 from ..operators import classify, graph, knn, prompts
+from ..operators.embed import check_same_encoder
 from ..session import bounded_rows, materialize
 
 DEFAULT_MAX_BROADCAST_QUESTIONS = 20_000
-# Upper bound on rows of a per-question table that may be broadcast
-# (candidate x picked-predicate pairs: |Q| x recall_k x |menu|).
-MAX_BROADCAST_PAIRS = 5_000_000
+# Bytes that a broadcast per-question table may have, and what one of its rows
+# takes at most: two ids or names of bounded length and a few numbers.
+MAX_BROADCAST_BYTES = 512 << 20
+ROW_BYTES = 256
 
 
 def vector_rag(questions: DataFrame, node_vectors: DataFrame, *, k: int = 5,
-               predict_factory=None, query_key: str = "question_id") -> DataFrame:
+               predict_factory=None, system: str | None = None,
+               query_key: str = "question_id") -> DataFrame:
     """Questions -> top-k node texts -> text prompt -> answer.
 
     questions: (query_key, question, embedding); node_vectors: (id, text, embedding).
     Output: (query_key, user_prompt, answer)."""
+    check_same_encoder(questions, node_vectors)
     hits = knn.top_k(questions, node_vectors, k, query_key=query_key, item_cols=["text"])
     ask = prompts.text_prompt(questions, hits, query_key=query_key)
-    return prompts.generate(ask, predict_factory, query_key=query_key)
+    return prompts.generate(ask, predict_factory, query_key=query_key, system=system)
 
 
 class GraphParts:
@@ -55,6 +59,7 @@ class GraphParts:
         if exclude_negated and "negated" in edges.columns:
             edges = edges.where(~F.coalesce(F.lower(F.col("negated")).isin("true", "1"),
                                             F.lit(False)))
+        check_same_encoder(questions, node_vectors)
         self.questions, self.node_vectors, self.nodes, self.edges = (
             questions, node_vectors, nodes, edges)
         self.predicates, self.cutoff, self.recall_k = predicates, cutoff, recall_k
@@ -62,21 +67,21 @@ class GraphParts:
         self.max_broadcast_questions = max_broadcast_questions
 
     @cached_property
-    def blocks(self):
-        return knn.query_blocks(self.questions, self.q,
-                                max_broadcast_rows=self.max_broadcast_questions)
+    def n_questions(self) -> int:
+        """Questions, counted up to the broadcast bound."""
+        return self.questions.select(self.q).limit(self.max_broadcast_questions + 1).count()
+
+    def fits(self, rows_each: int) -> bool:
+        """Proof that a per-question table of that many rows a question may be broadcast."""
+        return (self.n_questions <= self.max_broadcast_questions
+                and self.n_questions * rows_each * ROW_BYTES <= MAX_BROADCAST_BYTES)
 
     @cached_property
     def small(self) -> bool:
-        """Proof that per-question tables may be broadcast: the questions fit
-        one broadcast block and |Q| x recall_k x |menu| stays under
-        MAX_BROADCAST_PAIRS (the largest such table, candidate x picked
-        predicate pairs). Menu size is counted with a bounded limit."""
-        if len(self.blocks) > 1:
-            return False
-        n_q = sum(len(keys) for keys, _ in self.blocks)
-        cap = MAX_BROADCAST_PAIRS // max(1, n_q * self.recall_k)
-        return bounded_rows(self.predicates, cap)
+        """Candidate x picked predicate pairs, the largest table of the edge scans, may be broadcast. The menu is
+        counted with a bounded limit."""
+        cap = MAX_BROADCAST_BYTES // (ROW_BYTES * max(1, self.n_questions * self.recall_k))
+        return self.n_questions <= self.max_broadcast_questions and bounded_rows(self.predicates, cap)
 
     @cached_property
     def ranked(self):
@@ -92,19 +97,26 @@ class GraphParts:
 
     @cached_property
     def candidates(self):
-        return knn.top_k(self.questions, self.node_vectors, self.recall_k, query_key=self.q,
-                         item_cols=["category", "text"], blocks=self.blocks)
+        """Ids, ranks and scores, stored once: the hub, the plain vector system and the report read it."""
+        return materialize(knn.top_k(self.questions, self.node_vectors, self.recall_k, query_key=self.q))
 
     @cached_property
     def hub(self):
         return materialize(graph.disambiguate(self.candidates, self.picked, self.edges,
                                               query_key=self.q, small=self.small))
 
+    def vector_hits(self, k: int):
+        """(q, rank, id, sim) of the k nearest: a prefix of the candidates."""
+        if k > self.recall_k:
+            raise ValueError(f"k={k} is above the recall pool of {self.recall_k}")
+        return self.candidates.where(F.col("rank") < k)
+
     @cached_property
     def anchors(self):
-        return self.hub.join(self.top, self.q).select(
-            self.q, F.col("id").alias("anchor"), "predicate",
-            display_name("text").alias("anchor_name"))
+        """The chosen nodes' texts are joined after the choice; one row a question."""
+        texts = self.node_vectors.select("id", "text")
+        return materialize(self.hub.join(self.top, self.q).join(texts, "id").select(
+            self.q, F.col("id").alias("anchor"), "predicate", display_name("text").alias("anchor_name")))
 
     @cached_property
     def node_txt(self):
@@ -130,9 +142,9 @@ class GraphParts:
     @cached_property
     def capped(self):
         capped_keys = prompts.cap_facts(self.fact_keys, self.max_facts, query_key=self.q)
-        # At most |Q| x max_facts rows: broadcast under the proven bound, so
-        # the node table is only scanned for their texts.
-        if self.small:
+        # At most |Q| x max_facts rows of ids: broadcast if that is proven small,
+        # so that the node table is only scanned for their texts.
+        if self.fits(self.max_facts):
             capped_keys = F.broadcast(capped_keys)
         return materialize(self.node_txt.join(capped_keys, "other_id"))
 
@@ -162,7 +174,7 @@ def graph_parts(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
 def graph_rag(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
               edges: DataFrame, predicates: DataFrame, *, cutoff: float, recall_k: int = 25,
               max_facts: int = 40, prefix: str = "biolink:", predict_factory=None,
-              query_key: str = "question_id", exclude_negated: bool = False,
+              system: str | None = None, query_key: str = "question_id", exclude_negated: bool = False,
               max_broadcast_questions: int = DEFAULT_MAX_BROADCAST_QUESTIONS) -> DataFrame:
     """Graph retrieval for every question.
 
@@ -170,7 +182,7 @@ def graph_rag(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
     only the top predicate. Every question keeps a row with a status:
     'no_predicate' (nothing at or above the cutoff), 'no_anchor' (no
     candidate has an edge of the picked predicates) or 'ok'.
-    Output: question_id, status, anchor, predicate, n_facts, truncated,
+    Output: question_id, status, anchor, predicate, n_facts, n_total, truncated,
     user_prompt, answer.
     """
     p = graph_parts(questions, node_vectors, nodes, edges, predicates, cutoff=cutoff,
@@ -179,8 +191,8 @@ def graph_rag(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
                     max_broadcast_questions=max_broadcast_questions)
     top = p.picked.where(F.col("rank") == 0).select(query_key, F.col("predicate").alias("_top"))
     stats = p.capped.groupBy(query_key).agg(F.count(F.lit(1)).alias("_n"),
-                                            F.max("truncated").alias("_t"))
-    answered = prompts.generate(p.prompts, predict_factory, query_key=query_key)
+                                            F.max("n_total").alias("_all"), F.max("truncated").alias("_t"))
+    answered = prompts.generate(p.prompts, predict_factory, query_key=query_key, system=system)
     status = (F.when(F.col("_top").isNull(), F.lit("no_predicate"))
               .when(F.col("anchor").isNull(), F.lit("no_anchor")).otherwise(F.lit("ok")))
     ok = F.col("anchor").isNotNull()
@@ -192,6 +204,7 @@ def graph_rag(questions: DataFrame, node_vectors: DataFrame, nodes: DataFrame,
             .select(query_key, status.alias("status"), "anchor", F.col("_top").alias("predicate"),
                     F.when(ok, F.coalesce("_n", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
                     .alias("n_facts"),
+                    F.when(ok, F.coalesce("_all", F.lit(0))).otherwise(F.lit(0)).cast("bigint").alias("n_total"),
                     F.when(ok, F.coalesce("_t", F.lit(False))).otherwise(F.lit(False))
                     .alias("truncated"),
                     "user_prompt", "answer"))

@@ -54,6 +54,27 @@ def test_extract_edges_modes(spark):
         assert sorted(r["id"] for r in got.collect()) == ["e1", "e3", "e4"]
 
 
+def test_endpoint_rows_are_among_any_column_rows(spark):
+    ids = ["ZFIN:ZDB-GENE-990415-8", "Reactome:R-HSA-1", "MONDO:1", "odd id, with | signs", "part:1.5"]
+    edges = spark.createDataFrame(
+        [(f"e{i}", x, "p", "o:1", None) for i, x in enumerate(ids)]
+        + [("l1", "x:1", "p", "x:2", '["MONDO:1", "MONDO:10"]'), ("l2", "x:1", "p", "x:2", "a:1|part:1.5"),
+           ("l3", "x:1", "p", "x:2", "MONDO:10 MONDO:1.2"), ("l4", "x:1", "p", None, "Reactome:R-HSA-1-x")],
+        "id string, subject string, predicate string, object string, list string")
+    seeds = spark.createDataFrame([(x,) for x in ids], "id string")
+    for cap in (1_000_000, 0):
+        end = {r["id"] for r in subgraph.extract_edges(edges, seeds, "endpoint", max_broadcast_seeds=cap).collect()}
+        anyc = sorted(r["id"] for r in subgraph.extract_edges(edges, seeds, "any_column", max_broadcast_seeds=cap).collect())
+        assert end == {"e0", "e1", "e2", "e3", "e4"}
+        assert anyc == ["e0", "e1", "e2", "e3", "e4", "l1", "l2"]
+
+
+def test_endpoint_plan_scans_edges_once(spark, edges):
+    seeds = spark.createDataFrame([("D:1",)], "id string")
+    plan = subgraph.extract_edges(edges, seeds, "endpoint")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Scan ExistingRDD") == 3   # the edges once, the seeds twice
+
+
 def test_histograms(edges):
     hist = rows(subgraph.predicate_inventory(edges), "predicate", "n")
     assert ("kg:has_phenotype", 5) in hist and ("kg:subclass_of", 3) in hist

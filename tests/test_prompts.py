@@ -42,7 +42,7 @@ def test_text_prompt_and_generation_seam(spark):
 
     def factory():
         return lambda systems, users: [u.upper()[:3] for u in users]
-    out = dict(rows(prompts.generate(ask, factory), "question_id", "answer"))
+    out = dict(rows(prompts.generate(ask, factory, system="s"), "question_id", "answer"))
     assert out == {1: "CON", 2: "CON"}
     stub = dict(rows(prompts.generate(ask), "question_id", "answer"))
     assert stub == {1: "[A] ay", 2: prompts.NO_ANSWER}

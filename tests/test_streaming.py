@@ -31,3 +31,15 @@ def test_stream_of_questions_matches_batch(spark, tmp_path):
                    .collect())
     assert streamed == batch
     assert got.where(F.col("status") == "ok").count() > 0
+
+
+def test_a_restarted_stream_answers_each_question_once(spark, tmp_path):
+    schema = "question_id long, question string"
+    for run in range(3):
+        spark.createDataFrame([(run, f"q{run}")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = answer_stream(stream, lambda batch: batch.withColumn("answer", F.col("question")), str(tmp_path / "out"),
+                              checkpoint_location=str(tmp_path / "state"))
+        query.awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("question_id").collect()
+    assert [r["question_id"] for r in got] == [0, 1, 2]

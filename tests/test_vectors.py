@@ -31,7 +31,7 @@ def test_blocked_broadcast_and_partitioning_do_not_change_result(spark, node_vec
     qs = spark.createDataFrame([(i, [float(i % 3) - 1.0, 1.0]) for i in range(9)],
                                "question_id long, embedding array<float>")
     base = rows(knn.top_k(qs, node_vectors, 3), "question_id", "rank", "id", "sim")
-    blocked = rows(knn.top_k(qs, node_vectors, 3, max_broadcast_rows=2),
+    blocked = rows(knn.top_k(qs, node_vectors, 3, query_block=2, item_block=2),
                    "question_id", "rank", "id", "sim")
     assert base == blocked
     for n in (1, 4, 16):
@@ -76,13 +76,33 @@ def test_hash_embedding_unit_norm(spark):
     assert len(dense[0]["embedding"]) == 16
 
 
-def test_partial_row_bound_splits_blocks_without_changing_result(spark, node_vectors, monkeypatch):
+def test_item_blocks_do_not_change_the_result(spark, node_vectors):
     qs = spark.createDataFrame([(i, [float(i % 5) - 2.0, 1.0]) for i in range(12)],
                                "question_id long, embedding array<float>")
-    items = node_vectors.repartition(4)
-    base = rows(knn.top_k(qs, items, 3), "question_id", "rank", "id", "sim")
-    monkeypatch.setattr(knn, "MAX_PARTIAL_ROWS", 40)   # forces blocks of 3 questions
-    monkeypatch.setattr(knn, "MIN_BLOCK", 1)
-    assert rows(knn.top_k(qs, items, 3), "question_id", "rank", "id", "sim") == base
-    monkeypatch.setattr(knn, "MIN_BLOCK", 5)           # forces coalesced scan tasks
-    assert rows(knn.top_k(qs, items, 3), "question_id", "rank", "id", "sim") == base
+    base = rows(knn.top_k(qs, node_vectors, 3), "question_id", "rank", "id", "sim")
+    assert rows(knn.top_k(qs, node_vectors, 3, item_block=1, query_block=5), "question_id", "rank", "id", "sim") == base
+    plan = knn.top_k(qs, node_vectors, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Nested" not in plan and "Cartesian" not in plan
+
+
+def test_a_menu_beyond_the_broadcast_bound_scores_the_same(spark, question, node_vectors):
+    menu = spark.createDataFrame([(i, f"p{i % 3}", [float(i % 4), 1.0]) for i in range(9)],
+                                 "pos int, predicate string, embedding array<float>")
+    cols = ("question_id", "pos", "predicate", "score", "rank")
+    assert rows(knn.score_menu(question, menu), *cols) == rows(knn.score_menu(question, menu, max_menu_rows=2), *cols)
+
+
+def test_wide_buckets_are_all_used(spark):
+    from pyspark.sql import functions as F
+
+    from graphspark.functions import md5_bucket
+    top = spark.range(20_000).select(md5_bucket(F.col("id").cast("string"), 1 << 20).alias("b")).agg(F.max("b")).first()[0]
+    assert top > 1 << 19
+
+
+def test_vectors_of_two_encoders_are_refused(spark, question, node_vectors):
+    from pyspark.sql import functions as F
+
+    from graphspark.plans import rag
+    with pytest.raises(ValueError):
+        rag.vector_rag(question.withColumn("encoder", F.lit("a")), node_vectors.withColumn("encoder", F.lit("b")))
