@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphspark.llm.common import coded_words, ordered_table, ranges, text_batches, worker_state
+from graphspark.session import materialize
 
 LENGTH = 2_048
 END = 0
@@ -223,7 +224,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *keep: str) -> DataFrame:
 
     The driver sees the counts of at most ``LENGTH`` lengths, and for each part of the sorted table how many
     pieces of each of its lengths it holds (parts + lengths rows, as a part starts where another ends)."""
-    cut = pieces(docs, tokenizer_path, *keep)
+    cut = materialize(pieces(docs, tokenizer_path, *keep))  # narrow rows; sorting reads them twice
     names = cut.columns
     stored = ordered_table(cut, "length", F.xxhash64(*keep, "piece", "ids_crc32"))
     by_part = sorted((r["length"], r["_part"], r["n"], r["first"]) for r in stored.groupBy("length", "_part").agg(
