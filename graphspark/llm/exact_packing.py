@@ -29,8 +29,8 @@ from graphspark.session import materialize
 
 LENGTH = 2_048
 END = 0
-#: Words whose ids a worker keeps at most before it starts anew.
-KNOWN_WORDS = 500_000
+#: Words, and pieces of words, whose ids a worker keeps at most.
+KNOWN_WORDS = 200_000
 
 #: Latin letters in lower case that stand for themselves in the vocabulary's normal form.
 _LETTERS = "a-z\xdf-\xf6\xf8-\xff"
@@ -63,24 +63,30 @@ class Encoder:
 
     def words(self, words: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-            self.pieces.clear()
         known = self.known
         out = [known.get(w) for w in words]
         new = [i for i, ids in enumerate(out) if ids is None]
-        other = []
+        if len(known) >= KNOWN_WORDS and 4 * len(new) > 3 * len(words):  # the texts are of another kind now
+            known.clear()
+        if len(self.pieces) >= KNOWN_WORDS:
+            self.pieces.clear()
+        room, other = KNOWN_WORDS - len(known), []
         for i in new:
             word = words[i]
             if _PLAIN.fullmatch(word) and "<|" not in word:
-                out[i] = known[word] = b"".join([self.pieces.get(p) or self.piece(p)
-                                                 for p in _PIECE.findall(word.lower())])
+                out[i] = b"".join([self.pieces.get(p) or self.piece(p) for p in _PIECE.findall(word.lower())])
+                if room > 0:
+                    known[word] = out[i]
+                    room -= 1
             else:
                 other.append(i)
         if other:
             batch = self.tokenizer.encode_batch([words[i] for i in other], add_special_tokens=False)
             for i, e in zip(other, batch):
-                out[i] = known[words[i]] = np.asarray(e.ids, "<u4").tobytes()
+                out[i] = np.asarray(e.ids, "<u4").tobytes()
+                if room > 0:
+                    known[words[i]] = out[i]
+                    room -= 1
         return out
 
     def piece(self, piece: str) -> bytes:
