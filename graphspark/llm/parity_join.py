@@ -176,17 +176,19 @@ def _groups(signed: DataFrame, nodes: DataFrame) -> DataFrame:
     """key, node, center, _n: blocks that two or more sets share, with the smallest of them.
 
     A set that shares fewer blocks in a band than any link of it must share has none there, and is left out: this
-    takes most of the blocks that are equal by chance or by one common passage."""
+    takes most of the blocks that are equal by chance or by one common passage. Near copies share many blocks with
+    the same members; of these one is kept, as it meets the same pairs."""
     keys = signed.where("band is not null").select("hi", F.explode("keys").alias("key"))
     shared = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("_n > 1").drop("_n")
     needs = signed.where("band is not null").select("hi", "lo", "band", "need").distinct().join(nodes, ["hi", "lo"])
     known = (shared.withColumn("band", _band()).join(needs.select("hi", "band", "need", "node"), ["hi", "band"])
              .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("hi", "band"))).where("_m >= need"))
-    known = materialize(known.select("key", "node"))
-    by_key = Window.partitionBy("key")
-    return materialize(known.repartition("key").dropDuplicates(["key", "node"])
-                       .withColumn("center", F.min("node").over(by_key))
-                       .withColumn("_n", F.count(F.lit(1)).over(by_key)).where("_n > 1"))
+    known = materialize(known.select("key", "node").distinct())
+    digests = [F.bit_xor(F.xxhash64("node", *more)) for more in ([], [F.lit(1)])]  # of the members, 128 bits
+    per = known.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("_n"),
+                                   *[d.alias(name) for d, name in zip(digests, ("_x", "_y"))]).where("_n > 1")
+    once = per.groupBy("center", "_n", "_x", "_y").agg(F.min("key").alias("key")).drop("_x", "_y")
+    return materialize(known.join(once, "key").select("key", "node", "center", "_n"))
 
 
 def _near(left: str, right: str) -> str:
