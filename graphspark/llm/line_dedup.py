@@ -1,10 +1,12 @@
 """Operator 9: line dedup by winnowing over line hashes.
 
-The lines with a word of a text are its sequence. A window is the shortest run of lines from a line on that has
-``RUN_WORDS`` words or more; its smallest line hash (the rightmost of equal ones) is its fingerprint, kept with the
-window's place and a hash of its lines. Any run of that many words in two places therefore shares a fingerprint
-of an equal window. Places with the same fingerprint and window are joined to the earliest of them, the match is
-extended line by line both ways, and the run is deleted from the later place.
+The lines with a word of a text are its sequence. Its windows are the shortest run of lines from each line on, and the
+shortest run up to each line, that have ``RUN_WORDS`` words or more; each is kept with its place, its smallest line hash
+and a hash of its lines. A window is deleted where an equal one stands in an earlier place.
+
+This is every run of that many words that stands in an earlier place, whole: a line of such a run either begins a
+window inside the run, or fewer than ``RUN_WORDS`` words of the run are left from it on, and then it lies in the window
+up to the run's end. Each window has an earliest place of its own, so no run hangs on what follows it elsewhere.
 
 Places are ordered by (doc_id, text hash, line), null ids last. A line is deleted only if an equal line stands
 earlier, so every different line survives somewhere. Runs repeated inside one text count too; a text shorter than
@@ -27,8 +29,7 @@ from graphspark.llm.common import WORD, sized_broadcast, text_batches, words_of
 from graphspark.session import materialize
 
 RUN_WORDS = 50
-_WINDOW = ("_fp long, _lines long, _id long, _sha long, _start int, _stop int, "
-           "_left array<long>, _right array<long>")
+_WINDOW = "_fp long, _lines long, _id long, _sha long, _start int, _stop int"
 
 
 def line_sequence(text: str) -> tuple[list[int], list[int], list[int]]:
@@ -44,31 +45,16 @@ def line_sequence(text: str) -> tuple[list[int], list[int], list[int]]:
 
 
 def windows(hashes: list[int], words: list[int], run_words: int = RUN_WORDS) -> list[tuple]:
-    """(fingerprint, hash of the window's lines, first, one past the last, lines before, lines after).
-
-    The lines around, nearest first, are those that hold fewer words than a window: a longer match would have a
-    window of its own there."""
-    out, stop, held, n = [], 0, 0, len(hashes)
-    for start in range(n):
-        while stop < n and held < run_words:
-            held += words[stop]
-            stop += 1
-        if held < run_words:
-            break
-        lines = hashes[start:stop]
-        code = xxhash.xxh64_intdigest(np.array(lines, np.int64).tobytes())
-        left, right, k, room = [], [], start - 1, run_words
-        while k >= 0 and words[k] < room:
-            left.append(hashes[k])
-            room -= words[k]
-            k -= 1
-        k, room = stop, run_words
-        while k < n and words[k] < room:
-            right.append(hashes[k])
-            room -= words[k]
-            k += 1
-        out.append((min(lines), code - (1 << 64) if code >> 63 else code, start, stop, left, right))
-        held -= words[start]
+    """(smallest line hash, hash of the window's lines, first, one past the last) of each window, once."""
+    edge, n = np.r_[0, np.cumsum(words, dtype=np.int64)], len(hashes)
+    stops = np.searchsorted(edge, edge[:-1] + run_words)  # n + 1: too few words from here on
+    starts = np.searchsorted(edge, edge[1:] - run_words, "right") - 1  # -1: too few words up to here
+    places = {(a, b) for a, b in enumerate(stops.tolist()) if b <= n}
+    places |= {(a, b) for b, a in enumerate(starts.tolist(), 1) if a >= 0}
+    lines, out = np.array(hashes, np.int64), []
+    for a, b in sorted(places):
+        code = xxhash.xxh64_intdigest(lines[a:b].tobytes())
+        out.append((min(hashes[a:b]), code - (1 << 64) if code >> 63 else code, a, b))
     return out
 
 
@@ -77,7 +63,7 @@ def _text_key() -> list[Column]:
 
 
 def fingerprints(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """The windows of every text, by their fingerprints: one pass, texts read whole."""
+    """The windows of every text: one pass, texts read whole."""
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,19 +72,12 @@ def fingerprints(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
             rows = []
             for doc, sha, text in zip(pdf["_id"], pdf["_sha"], pdf["text"]):
                 hashes, words, _ = line_sequence(text)
-                rows += [(fp, code, doc, sha, a, b, left, right)
-                         for fp, code, a, b, left, right in windows(hashes, words, run_words)]
+                rows += [(fp, code, doc, sha, a, b) for fp, code, a, b in windows(hashes, words, run_words)]
             yield pd.DataFrame(rows, columns=names)
 
     return docs.where("text is not null").select(*_text_key(), "text").mapInPandas(run, _WINDOW)
 
 
-def _same_ahead(a: str, b: str) -> Column:
-    """How many elements two arrays share from their start."""
-    unlike = f"array_position(zip_with({a}, {b}, (x, y) -> not (x <=> y)), true)"
-    return F.expr(f"cast(if({unlike} = 0, size({a}), {unlike} - 1) as int)")
-
-
 def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """_id, _sha, _runs: runs (first, one past the last line of the sequence) to delete from each text.
 
@@ -107,13 +86,10 @@ def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     places = materialize(fingerprints(docs, run_words))
     key = ["_fp", "_lines"]
     here = F.struct("_id", "_sha", "_start")
-    firsts = (places.groupBy(*key).agg(F.min(F.struct("_id", "_sha", "_start", "_left", "_right")).alias("_first"),
-                                       F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
-    later = (places.join(firsts, key)
-             .where(here > F.struct("_first._id", "_first._sha", "_first._start"))
-             .withColumn("_fl", F.col("_first._left")).withColumn("_fr", F.col("_first._right")))
-    runs = later.select("_id", "_sha", (F.col("_start") - _same_ahead("_left", "_fl")).alias("a"),
-                        (F.col("_stop") + _same_ahead("_right", "_fr")).alias("b")).distinct()
+    firsts = (places.groupBy(*key).agg(F.min(here).alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .where("_n > 1").drop("_n"))
+    later = places.join(firsts, key).where(here > F.col("_first"))
+    runs = later.select("_id", "_sha", F.col("_start").alias("a"), F.col("_stop").alias("b")).distinct()
     # a text's runs are bounded by its own lines
     return runs.groupBy("_id", "_sha").agg(F.collect_list(F.struct("a", "b")).alias("_runs"))
 

@@ -141,6 +141,29 @@ def test_line_dedup_equals_brute_force(real):
         assert r["_text"] == "\n".join(keep)
 
 
+def said(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_line_dedup_takes_the_tail_of_a_run(spark):
+    w, c, b = said("w", 55), said("c", 55), said("b", 20)
+    rows = [(1, f"{w}\n{said('other', 30)}"), (2, f"{c}\n{w}\n{b}"), (3, f"{c}\n{w}\n{b}")]
+    rng = np.random.default_rng(9)  # texts cut from a few passages, so that runs go on in different ways
+    pool = [said(f"p{k}_", int(rng.choice([1, 4, 9, 20, 30, 49, 50, 60]))) for k in range(12)]
+    passages = [[int(x) for x in rng.integers(0, 12, 9)] for _ in range(5)]
+    for d in range(10, 130):
+        lines = []
+        for _ in range(int(rng.integers(1, 4))):
+            part = passages[int(rng.integers(0, 5))]
+            a, z = sorted(rng.integers(0, 10, 2))
+            lines += [pool[k] for k in part[a:z]] + [f"own{d}"] * int(rng.integers(0, 2))
+        rows.append((d, "\n".join(lines)))
+    gone = brute_lines(rows)
+    assert gone[3] == [0, 1, 2]
+    out = line_dedup.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).select("_row.doc_id", "_gone")
+    assert {r["doc_id"]: r["_gone"] for r in out.collect()} == gone
+
+
 def test_line_dedup_edges(docs, no_docs):
     out = line_dedup.dedup(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
