@@ -182,6 +182,73 @@ def test_license_rules(spark, docs, no_docs):
     assert license_rules.scan(docs).count() == 0 and license_rules.scan(no_docs).count() == 0
 
 
+GPL = ("This program is free software{0} you can redistribute it and/or modify\nit under the terms of the GNU {1}General Public "
+       "License as published by\nthe Free Software Foundation{2} either version {3} of the License, or\n(at your option) any later "
+       "version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the "
+       "implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following "
+       "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions "
+       "and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of "
+       "conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n{0}"
+       "THIS SOFTWARE IS PROVIDED BY THE {1} \"AS IS\"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\n"
+       "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE\nDISCLAIMED.{2}")
+BSD_LIABLE = ("IN NO EVENT SHALL THE {} BE LIABLE FOR ANY DIRECT, INDIRECT,\nINCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+              "(INCLUDING, BUT NOT\nLIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA,\nOR PROFITS; OR BUSINESS "
+              "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF\nLIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+              "NEGLIGENCE\nOR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF\nADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+OWNERS = "COPYRIGHT HOLDERS AND CONTRIBUTORS"
+NOTICES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance "
+     "with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by "
+     "applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT "
+     "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions "
+     "and\nlimitations under the License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation "
+     "files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, "
+     "modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software "
+     "is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be "
+     "included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
+     "KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND "
+     "NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER\nLIABILITY, WHETHER "
+     "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,\nOUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+     "IN THE\nSOFTWARE."),
+    ("GPL-3.0-or-later", GPL.format(":", "", ",", "3")), ("GPL-2.0-or-later", GPL.format(";", "", ";", "2")),
+    ("LGPL-2.1-or-later", GPL.format(";", "Lesser ", ";", "2.1").replace("program", "library")),
+    ("LGPL-3.0-or-later", GPL.format(":", "Lesser ", ",", "3")), ("AGPL-3.0-or-later", GPL.format(":", "Affero ", ",", "3")),
+    ("BSD-2-Clause", BSD.format("", OWNERS, " " + BSD_LIABLE.format("COPYRIGHT HOLDER OR CONTRIBUTORS"))),
+    ("BSD-3-Clause", BSD.format("3. Neither the name of the University nor the names of its contributors may be used to\n   endorse or "
+                                "promote products derived from this software without\n   specific prior written permission.\n\n",
+                                "REGENTS", " " + BSD_LIABLE.format("REGENTS"))),
+    ("BSD", BSD.format("3. All advertising materials mentioning features or use of this software must display the following "
+                       "acknowledgement:\n   This product includes software developed by X.\n4. The name of X may not be used.\n\n",
+                       OWNERS, "")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+     "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+     "provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND "
+     "THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, "
+     "use, compile, sell, or\ndistribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial "
+     "or non-commercial, and by any\nmeans."),
+    *[(name, text) for name, text in (
+        ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("MIT", "Licensed under the MIT license."),
+        ("GPL-3.0-only", "Licensed under the GNU General Public License, version 3."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+        ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Released under CC0 1.0."))],
+]
+
+
+@pytest.mark.parametrize("licence, notice", NOTICES)
+def test_standard_notices_are_found_whole(licence, notice):
+    scanner = license_rules.Scanner()
+    forms = {"plain": notice, "one line": " ".join(notice.split()) if licence != "Apache-2.0" else notice.replace("\n\n", "\n")}
+    forms |= {mark: "\n".join((mark + line).rstrip() for line in notice.split("\n")) for mark in ("# ", " * ", "// ")}
+    for form, text in forms.items():
+        for before, after in (("", ""), ("A file.\nCopyright (C) 2020 A. Writer\n\n", "\n\nint main;\n"), ("Copyright 2020\n", "\nx")):
+            found = scanner.scan(before + text + after)
+            assert [f[0] for f in found] == [licence], (form, found)
+            assert (before + text + after)[found[0][2]:found[0][3]] == text.strip(), form
+
+
 def test_licenses_equal_a_pattern_search(real):
     fixed = {"MIT": "Released under the MIT License", "Apache-2.0": "Licensed under the Apache License, Version 2\\.0",
              "CC-BY-NC-4.0": "Licensed under CC BY-NC 4\\.0",
