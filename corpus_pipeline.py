@@ -14,6 +14,11 @@ from graphspark.llm.queries import tokenizer_path
 from graphspark.session import materialize
 
 
+#: Near copies share this percentage of their shingles of so many words; op3's own query keeps its 4 words and 85.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.kept(docs, table(spark, sf_dir, "labels"))
@@ -26,7 +31,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return parity_join.one_of_each(docs)
+    return parity_join.one_of_each(docs, NEAR_PERCENT, NEAR_SHINGLE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

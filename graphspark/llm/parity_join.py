@@ -1,6 +1,6 @@
 """Operator 3: n-gram Jaccard join by parity sketches.
 
-A document is the set of its 4-word shingles. Hashing each shingle to one bit and taking the parity of each bit
+A document is the set of its shingles of ``SHINGLE`` words, or as many as the caller names. Hashing each shingle to one bit and taking the parity of each bit
 gives a sketch; the Hamming distance of two sketches is at most the symmetric difference of the sets. Sets of a
 size band that are similar enough differ in at most d shingles, so of p = d + 1 + e blocks of bits at least 1 + e
 are equal (pigeonhole). Documents are joined on (band, block, bits of the block); candidates pass a bound on the
@@ -12,7 +12,7 @@ component. Large groups of near copies are joined in rounds: a star around each
 components that still meet in a block a spanning forest of the pairs that pass the Hamming bound, then all such
 pairs. Equal sets are one class, represented by its smallest document.
 
-Null and empty texts have no shingles and link with nothing. Texts below four words have one shingle, the whole
+Null and empty texts have no shingles and link with nothing. Texts shorter than a shingle have one, the whole
 sequence. Rows with the same id are one document: their links are joined. A null id has no component (null).
 Extra columns don't matter. An empty table gives no rows.
 """
@@ -92,22 +92,22 @@ class Bands:
         return out
 
 
-def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """For each text the sorted different 64-bit hashes of its shingles (A-Z lower-cased)."""
     different, codes, starts = coded_words(pc.ascii_lower(texts))
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in different.to_pylist()), np.uint64, len(different))
     word = hashes[codes] if len(codes) else np.zeros(0, np.uint64)
-    rolled = word[:max(len(word) - SHINGLE + 1, 0)].copy()
-    for k in range(1, SHINGLE):
+    rolled = word[:max(len(word) - shingle + 1, 0)].copy()
+    for k in range(1, shingle):
         rolled = rolled * _B + word[k:k + len(rolled)]
     rolled = mix64(rolled)
     for a, b in zip(starts[:-1], starts[1:]):
         if b == a:
             yield np.zeros(0, np.uint64)
-        elif b - a < SHINGLE:
+        elif b - a < shingle:
             yield np.array([xxhash.xxh64_intdigest(word[a:b].tobytes(), seed=int(b - a))], np.uint64)
         else:
-            yield np.unique(rolled[a:b - SHINGLE + 1])
+            yield np.unique(rolled[a:b - shingle + 1])
 
 
 def block_keys(hashes: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
@@ -140,7 +140,7 @@ def short_sketch(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, hi, lo (digest of the set), n, own, band, need, sketch, keys: a row for each document and band, ``own``
     for the first of a document.
 
@@ -156,7 +156,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         bands, seen = Bands(percent), set()
         for batch in batches:
             rows = []
-            for doc, hashes in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
+            for doc, hashes in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), shingle)):
                 raw = xxhash.xxh128_digest(hashes.tobytes())
                 hi, lo = (int.from_bytes(raw[k:k + 8], "little", signed=True) for k in (0, 8))
                 if raw in seen or not len(hashes) or doc is None:
@@ -206,7 +206,7 @@ def _pass_bounds(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     return out.where(_near("_l", "_r") % (percent, 100 - percent, 100 + percent)).select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough. Only the texts of these ids are hashed again."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     few = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").join(
@@ -214,7 +214,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [h.tobytes() for h in shingle_sets(batch.column("text"))]
+            sets = [h.tobytes() for h in shingle_sets(batch.column("text"), shingle)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["id", "hashes"])
 
     sets = materialize(few.mapInArrow(run, "id long, hashes binary"))
@@ -308,9 +308,9 @@ def _spanning(left: np.ndarray, right: np.ndarray) -> list[int]:
     return out
 
 
-def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, n_shingles, component_id of every document; links between class representatives: a, b)."""
-    signed = materialize(signatures(docs, percent))
+    signed = materialize(signatures(docs, percent, shingle))
     sets = signed.where("own and n > 0 and doc_id is not null").select("doc_id", "hi", "lo")
     nodes = materialize(sets.groupBy("hi", "lo").agg(F.min("doc_id").alias("node")))
     # rows with one id and several texts: their classes belong together
@@ -326,14 +326,14 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]
     star = (groups.select(F.col("node").alias("b"), F.col("center").alias("a"), _band().alias("band"))
             .where("a != b").distinct())
     tested = materialize(_pass_bounds(star, sketches, percent))
-    links.append(materialize(verified(tested, docs, percent)))
+    links.append(materialize(verified(tested, docs, percent, shingle)))
     for forest in (True, False):
         opened = materialize(_open_groups(groups, components(_all(links))))
         pairs = _across(opened, sketches, percent, forest)
         if forest:
             pairs = pairs.unionByName(_pass_bounds(_small_groups(opened), sketches, percent)).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"))
-        links.append(materialize(verified(pairs, docs, percent)))
+        links.append(materialize(verified(pairs, docs, percent, shingle)))
         tested = tested.unionByName(pairs)
     comps = components(_all(links))
     found = nodes.join(comps, nodes.node == comps.id, "left").select("hi", "lo", F.coalesce("comp", "node").alias("_comp"))
@@ -350,10 +350,10 @@ def _all(links: list[DataFrame]) -> DataFrame:
     return out
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` but one document for each component, that with the smallest id; of rows equal in id
     one stays. Rows without shingles or without id all stay."""
-    rows, _ = join(docs, percent)
+    rows, _ = join(docs, percent, shingle)
     extra = materialize(rows.where("n_shingles > 0 and component_id != doc_id").select("doc_id").distinct())
     again = materialize(rows.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"))

@@ -75,6 +75,29 @@ def test_join_of_edited_copies_and_edges(spark, docs, no_docs):
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 1, 2, 3, 4, 5, 6, 11, 12]
 
 
+def test_pipeline_takes_near_copies_of_five_words(spark):
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(0, " ".join(base)), (1, " ".join(base[:90] + [f"x{k}" for k in range(17)] + base[107:]))]  # 175 of 217
+    for n in range(2, 122, 6):  # on both sides of the limit
+        text = [f"t{n}_{k}" for k in range(int(rng.integers(3, 150)))]
+        for d in range(n, n + 6):
+            copy, at = list(text), int(rng.integers(0, len(text)))
+            width = int(rng.integers(0, 2 + len(text) // 9))
+            copy[at:at + width] = [f"c{d}_{k}" for k in range(len(copy[at:at + width]))]
+            rows.append((d, " ".join(copy)))
+    sets, comp = {}, {}
+    for d, t in rows:
+        w = t.split()
+        sets[d] = {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))}
+        near = {comp[e] for e in comp if 100 * len(sets[d] & sets[e]) >= 80 * len(sets[d] | sets[e])}
+        low = min(near | {d})
+        comp = {e: low if c in near else c for e, c in comp.items()} | {d: low}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.near_copies(spark, docs, SF).collect()
+    assert comp[1] == 0 and sorted(r["doc_id"] for r in left) == sorted(set(comp.values()))
+
+
 def test_one_large_group_of_copies(spark):
     rng = np.random.default_rng(6)
     base = rng.integers(0, 10 ** 6, 100)
