@@ -42,6 +42,21 @@ def test_rule_statistics_equal_brute_force(real):
         assert quality_rules.rule_stats(text)[:5] == brute_stats(text)
 
 
+def test_distinct_words_are_counted_in_the_whole_text():
+    rng = np.random.default_rng(3)
+    at = [quality_rules.FEATURES.index(x) - len(quality_rules.FEATURES) for x in quality_rules.FEATURES if "distinct" in x]
+    varied = [f"w{k}" for k in range(4000)]
+    few = [f"w{k}" for k in rng.integers(0, 12, 3950)]
+    for words in (varied, varied[:100] + few, few[:100] + varied[100:], varied[:60], varied[:140] + few[:20], varied[:100]):
+        n = len(words)
+        blocks = [words[a:a + 100] for a in range(0, n - 99, 100)] + ([words[-100:]] if n % 100 else [])
+        shares = [len(set(b)) / len(b) for b in blocks]
+        stats = quality_rules.rule_stats(" ".join(words))
+        assert [stats[k] for k in at] == pytest.approx([np.mean(shares), min(shares)])
+    hidden, clean = (quality_rules.rule_stats(" ".join(w)) for w in (varied[:100] + few, varied))
+    assert all(hidden[k] < clean[k] / 2 for k in at)
+
+
 def test_rules_keep_prose_and_reject_junk(spark, real, docs, no_docs, labels):
     rows = quality_rules.judge(real["documents"], real["labels"], "doc_id").select("doc_id", "_verdict.*")
     quality = {r["doc_id"]: r["quality"] for r in real["labels"].collect()}
