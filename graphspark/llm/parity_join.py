@@ -309,7 +309,9 @@ def _spanning(left: np.ndarray, right: np.ndarray) -> list[int]:
 
 
 def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """(rows: doc_id, n_shingles, component_id of every document; links between class representatives: a, b)."""
+    """(rows: doc_id, n_shingles, component_id of every document; spanning links between class representatives: a, b).
+
+    Pairs already in one component are not tested, so the links give the components, not every similar pair."""
     signed = materialize(signatures(docs, percent, shingle))
     sets = signed.where("own and n > 0 and doc_id is not null").select("doc_id", "hi", "lo")
     nodes = materialize(sets.groupBy("hi", "lo").agg(F.min("doc_id").alias("node")))
