@@ -1,9 +1,11 @@
-"""Operator 9: line dedup by winnowing over line hashes.
+"""Operator 9: line dedup by equal windows of lines.
 
 The lines with a word of a text are its sequence. Its windows are the shortest run of lines from each line on, and the
 shortest run up to each line, that have ``RUN_WORDS`` words or more; each is kept with its place, its smallest line hash
 and a hash of its lines. A window is deleted where an equal one stands in an earlier place.
 
+All windows are joined by their hash; none is left out by its smallest line hash, which only widens the key.
+
 This is every run of that many words that stands in an earlier place, whole: a line of such a run either begins a
 window inside the run, or fewer than ``RUN_WORDS`` words of the run are left from it on, and then it lies in the window
 up to the run's end. Each window has an earliest place of its own, so no run hangs on what follows it elsewhere.
