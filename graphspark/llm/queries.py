@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from graphspark.llm import (compression_quality, exact_packing, host_reputation, language_mixture, license_rules,
-                            line_dedup, parity_join, pivotal_mix, quality_rules, winnowing)
+from graphspark.llm import (compression_quality, exact_packing, fim_capture, host_reputation, language_mixture,
+                            license_rules, line_dedup, parity_join, pivotal_mix, quality_rules, winnowing)
 from graphspark.llm.common import in_fold, table
 
 
@@ -64,9 +64,15 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", "predicted", "size_difference")
 
 
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim_capture.transform(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "_fim.*")
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim_capture.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op3_parity_join": near_copies, "op4_pivotal_mix": mix,
            "op5_host_reputation": urls, "op6_exact_packing": packing, "op7_language_mixture": languages,
            "op8_license_rules": licenses, "op9_line_dedup": lines,
-           "op10_compression_quality": quality_scores}
+           "op10_compression_quality": quality_scores, "op11_fim_capture": fill_in_middle}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_fim_capture": fim_capture.ORACLE_SQL}
