@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from graphspark.llm import (compression_quality, exact_packing, fim_capture, host_reputation, language_mixture,
-                            license_rules, line_dedup, parity_join, pivotal_mix, quality_rules, warc, winnowing)
+                            license_rules, line_dedup, parity_join, pivotal_mix, prefix_trie, quality_rules, warc, winnowing)
 from graphspark.llm.common import in_fold, table
 
 
@@ -74,9 +74,15 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op3_parity_join": near_copies, "op4_pivotal_mix": mix,
            "op5_host_reputation": urls, "op6_exact_packing": packing, "op7_language_mixture": languages,
            "op8_license_rules": licenses, "op9_line_dedup": lines,
-           "op10_compression_quality": quality_scores, "op11_fim_capture": fill_in_middle, "op13_warc": archives}
+           "op10_compression_quality": quality_scores, "op11_fim_capture": fill_in_middle, "op12_prefix_trie": conversation_trie,
+           "op13_warc": archives}
 
-ORACLE_SQL: dict[str, str] = {"op11_fim_capture": fim_capture.ORACLE_SQL, "op13_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_fim_capture": fim_capture.ORACLE_SQL, "op12_prefix_trie": prefix_trie.ORACLE_SQL,
+                              "op13_warc": warc.ORACLE_SQL}
