@@ -3,7 +3,6 @@
 Fixed values (must equal the original behaviour):
   node text separator          ". "
   synonym bracket              "["
-  word token pattern           [a-z0-9]+ over lower-cased text
   list separators in a column  see SEPARATORS
   score rounding               6 decimals, before ranking and cutoff tests
 """
@@ -14,7 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NODE_TEXT_SEP = ". "
-WORD_TOKEN = "[a-z0-9]+"
+# A word of any script: letters with their marks, and digits, over lower-cased text (the built-in encoder's choice).
+WORD_TOKEN = "[\\p{L}\\p{M}\\p{N}]+"
 # What separates ids inside one column (lists, quoted or bracketed values).
 # An id is a maximal run without these, so `part:1` does not match `part:10`
 # and an id keeps its dots and dashes.

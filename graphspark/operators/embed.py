@@ -1,7 +1,7 @@
 """Embedding a text column.
 
 The default encoder is feature hashing, entirely in Spark SQL: lower-case
-word tokens of the whole text, each hashed to one of ``dim`` buckets by md5,
+word tokens (of any script) of the whole text, each hashed to one of ``dim`` buckets by md5,
 counted, and L2-normalised. It is deterministic and needs no model file.
 A learned encoder plugs in through ``embed``: ``encoder_factory()`` is called
 once per task and returns ``encode(list[str]) -> array (n, dim)``; it is
@@ -22,29 +22,37 @@ from ..functions import md5_bucket, word_tokens
 HASH_ENCODER = "md5-hash"
 
 
-def hash_embed(docs: DataFrame, key_col: str, text_col: str, dim: int = 65536) -> DataFrame:
-    """Sparse hashed bag of words -> (key, bucket, weight), unit L2 norm per key.
+def hash_encoder(dim: int) -> str:
+    """Name of the built-in encoder with so many buckets; stored beside its vectors."""
+    return f"{HASH_ENCODER}-{dim}"
+
+
+def hash_embed(docs: DataFrame, key_col: str, text_col: str, dim: int = 65536, normalise: bool = True) -> DataFrame:
+    """Sparse hashed bag of words -> (key, bucket, weight), unit L2 norm per key; plain counts (of the same
+    direction, and exact in any float type) if not ``normalise``.
 
     A text without tokens has no rows. Counting is a grouped aggregation
     (partial per task), so a very long document never sits in one array."""
     tok = docs.select(key_col, F.explode(word_tokens(text_col)).alias("_tok"))
     counts = (tok.select(key_col, md5_bucket("_tok", dim).alias("bucket"))
               .groupBy(key_col, "bucket").agg(F.count(F.lit(1)).alias("_c")))
+    if not normalise:
+        return counts.withColumnRenamed("_c", "weight")
     # Per-key norm as a window: one shuffle by key instead of an aggregate
     # plus a join; a key's window holds at most ``dim`` rows.
     norm = F.sqrt(F.sum(F.col("_c") * F.col("_c")).over(Window.partitionBy(key_col)))
     return counts.select(key_col, "bucket", (F.col("_c") / norm).alias("weight"))
 
 
-def to_dense(sparse: DataFrame, key_col: str, dim: int) -> DataFrame:
-    """Sparse (key, bucket, weight) -> (key, embedding array<double>[dim]).
+def to_dense(sparse: DataFrame, key_col: str, dim: int, element: str = "double") -> DataFrame:
+    """Sparse (key, bucket, weight) -> (key, embedding array<element>[dim]).
 
     The per-key list is bounded by ``dim`` entries."""
     packed = sparse.groupBy(key_col).agg(
         F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("_m"))
     return packed.select(key_col, F.transform(
         F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0))).alias("embedding"))
+        lambda i: F.coalesce(F.element_at("_m", i).cast(element), F.lit(0).cast(element))).alias("embedding"))
 
 
 def embed(df: DataFrame, text_col: str, encoder_factory, *, out_col: str = "embedding",
@@ -66,10 +74,21 @@ def embed(df: DataFrame, text_col: str, encoder_factory, *, out_col: str = "embe
                                                                       "custom")))
 
 
-def check_same_encoder(a: DataFrame, b: DataFrame, col: str = "encoder") -> None:
-    """Refuse to compare vectors produced by different encoders."""
-    if col not in a.columns or col not in b.columns:
+def check_same_encoder(*tables: DataFrame, col: str = "encoder") -> None:
+    """Refuse to compare vectors of different encoders.
+
+    Every table has to name its vectors' encoder if any does: one without a name can't be shown to match. Two rows at
+    most of each table's names come to the driver; empty tables agree with any."""
+    named = [df for df in tables if col in df.columns]
+    if not named:
         return
-    names = {r[0] for df in (a, b) for r in df.select(col).distinct().limit(3).collect()}
+    if len(named) < len(tables):
+        raise ValueError(f"some tables name the encoder of their vectors in '{col}', others don't")
+    names = set()
+    for df in named:
+        row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count("*").alias("n"), F.count(col).alias("m")).first()
+        if row["n"] != row["m"]:
+            raise ValueError(f"'{col}' is NULL in some rows")
+        names |= {row["lo"], row["hi"]} - {None}
     if len(names) > 1:
         raise ValueError(f"vectors come from different encoders: {sorted(names)}")

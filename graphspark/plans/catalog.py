@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import display_name
-from ..operators import classify, corpus, embed, graph, knn, prompts, subgraph
+from ..functions import WORD_TOKEN, display_name, strip_prefix
+from ..operators import (classify, corpus, embed, graph, grounding, hierarchy, knn, phrases, prompts,
+                         subgraph)
 from .. import evaluation
 from . import kg_testdata as kg
-from . import rag
+from . import rag, umbrella
 from .kg_testdata import sql_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,7 +149,7 @@ HASH_DIM = 65536
 
 
 @register("hash_embed_docs", f"""
-    WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t
+    WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD_TOKEN}')) AS t
                  FROM documents),
          c AS (SELECT doc_id, (('0x' || substr(md5(t), 1, 15))::BIGINT) % {HASH_DIM} AS bucket,
                       count(*) AS c FROM tok GROUP BY 1, 2)
@@ -390,6 +391,274 @@ def q_graph_rag(spark, sf):
                          recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
 
 
+# ------------------------------------------------- umbrella questions (X5) ----
+
+_ANCESTORS_CTE = ("anc", f"""
+    SELECT DISTINCT subject AS node, object AS ancestor FROM kg_edges
+    WHERE predicate = '{kg.HIERARCHY}' AND subject IS NOT NULL AND object IS NOT NULL
+    UNION
+    SELECT a.node, h.object FROM anc a
+    JOIN kg_edges h ON h.subject = a.ancestor AND h.predicate = '{kg.HIERARCHY}' WHERE h.object IS NOT NULL""")
+_UMBRELLA_CTES = [
+    ("member", """
+    SELECT DISTINCT id AS anchor, id AS member FROM cands
+    UNION SELECT a.ancestor, a.node FROM anc a WHERE a.ancestor IN (SELECT id FROM cands) AND a.node <> a.ancestor"""),
+    ("rolled", """
+    SELECT m.anchor, d.predicate, sum(d.n) AS n_edges, sum(CASE WHEN m.anchor = m.member THEN d.n ELSE 0 END) AS n_direct
+    FROM member m JOIN (SELECT node, predicate, count(*) AS n FROM inc GROUP BY 1, 2) d ON d.node = m.member
+    GROUP BY 1, 2"""),
+    ("uhub", f"""
+    SELECT question_id, id, rank, n_edges, n_direct FROM (
+      SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY
+                  CASE WHEN sim >= {umbrella.NEARNESS} * best THEN 0 ELSE rank + 1 END, n_edges DESC, rank) AS rn
+      FROM (SELECT c.question_id, c.id, c.rank, c.sim, c.best, sum(r.n_edges) AS n_edges, sum(r.n_direct) AS n_direct
+            FROM (SELECT *, max(sim) OVER (PARTITION BY question_id) AS best FROM cands) c
+            JOIN picked p ON p.question_id = c.question_id
+            JOIN rolled r ON r.anchor = c.id AND r.predicate = p.predicate
+            GROUP BY c.question_id, c.id, c.rank, c.sim, c.best))
+    WHERE rn = 1"""),
+    ("uanchors", f"""
+    SELECT h.question_id, h.id AS anchor, p.predicate, {_DISPLAY.format(t="n.text")} AS anchor_name,
+           (SELECT count(*) FROM member m WHERE m.anchor = h.id) AS n_members, h.n_edges > h.n_direct AS widened
+    FROM uhub h JOIN kg_node_vectors n ON n.id = h.id
+    JOIN picked p ON p.question_id = h.question_id AND p.rank = 0"""),
+    ("ufacts", """
+    SELECT a.question_id, a.predicate, m.member, i.other AS other_id, i.dir
+    FROM uanchors a JOIN member m ON m.anchor = a.anchor
+    JOIN inc i ON i.node = m.member AND i.predicate = a.predicate
+    JOIN node_txt t ON t.other_id = i.other
+    WHERE NOT EXISTS (SELECT 1 FROM member x WHERE x.anchor = a.anchor AND x.member = i.other)"""),
+    ("ucapped", f"""
+    SELECT * FROM (
+      SELECT f.*, row_number() OVER (PARTITION BY question_id ORDER BY dir, other_id, member) - 1 AS rn,
+             count(*) OVER (PARTITION BY question_id) AS n_total
+      FROM ufacts f) WHERE rn < {kg.MAX_FACTS}"""),
+    ("uprompt", f"""
+    SELECT a.question_id, 'Facts about ' || a.anchor_name || ':' || chr(10) || coalesce(l.context, '')
+           || chr(10) || chr(10) || 'Question: ' || q.question AS user_prompt
+    FROM uanchors a JOIN kg_questions q ON q.question_id = a.question_id
+    LEFT JOIN (
+      SELECT c.question_id, string_agg(
+               CASE WHEN c.dir = 'out' THEN m.name || ' — ' || substr(c.predicate, {len(kg.PREFIX) + 1}) || ' — ' || o.name
+                    ELSE o.name || ' — ' || substr(c.predicate, {len(kg.PREFIX) + 1}) || ' — ' || m.name END,
+               chr(10) ORDER BY c.rn) AS context
+      FROM ucapped c
+      JOIN (SELECT other_id, {_DISPLAY.format(t="text")} AS name FROM node_txt) m ON m.other_id = c.member
+      JOIN (SELECT other_id, {_DISPLAY.format(t="text")} AS name FROM node_txt) o ON o.other_id = c.other_id
+      GROUP BY c.question_id) l ON l.question_id = a.question_id"""),
+]
+
+
+def _umbrella_sql(upto: str) -> str:
+    names = [n for n, _ in _UMBRELLA_CTES]
+    base = [c for c in _GRAPH_CTES if c[0] in ("scores", "picked", "cands", "inc", "node_txt")]
+    return sql_with("kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges", recursive=True,
+                    extra=[_ANCESTORS_CTE, *base, *_UMBRELLA_CTES[: names.index(upto) + 1]])
+
+
+def _umbrella(spark, sf, parts=None):
+    return umbrella.UmbrellaParts(parts or _graph_parts(spark, sf), _G(spark, sf).hierarchy)
+
+
+@register("hierarchy_index", sql_with("kg_edges", recursive=True, extra=[("up", f"""
+    SELECT DISTINCT subject AS node, object AS ancestor, 1 AS up FROM kg_edges
+    WHERE predicate = '{kg.HIERARCHY}' AND subject IS NOT NULL AND object IS NOT NULL AND subject <> object
+    UNION
+    SELECT u.node, h.object, u.up + 1 FROM up u
+    JOIN kg_edges h ON h.subject = u.ancestor AND h.predicate = '{kg.HIERARCHY}'
+    WHERE h.object <> u.node AND u.up < 20""")])
+          + "SELECT node, ancestor, min(up) AS up FROM up GROUP BY 1, 2")
+def q_hierarchy_index(spark, sf):
+    return hierarchy.ancestor_index(_G(spark, sf).edges, kg.HIERARCHY)
+
+
+@register("umbrella_anchor", _umbrella_sql("uanchors") + "SELECT * FROM uanchors")
+def q_umbrella_anchor(spark, sf):
+    return _umbrella(spark, sf).anchors.select(_Q, "anchor", "predicate", "anchor_name", "n_members", "widened")
+
+
+@register("umbrella_facts", _umbrella_sql("ufacts") + "SELECT DISTINCT question_id, other_id FROM ufacts")
+def q_umbrella_facts(spark, sf):
+    return _umbrella(spark, sf).fact_keys
+
+
+@register("graph_rag_umbrella", _umbrella_sql("uprompt") + f"""
+    SELECT q.question_id,
+           CASE WHEN p.predicate IS NULL THEN 'no_predicate'
+                WHEN a.anchor IS NULL THEN 'no_anchor' ELSE 'ok' END AS status,
+           a.anchor, p.predicate, coalesce(a.widened, false) AS widened, coalesce(a.n_members, 0) AS n_members,
+           coalesce(c.n, 0) AS n_facts, coalesce(c.n_total, 0) AS n_total,
+           coalesce(c.n_total, 0) > {kg.MAX_FACTS} AS truncated, u.user_prompt,
+           {_ANSWER_SQL.replace("user_prompt", "u.user_prompt")} AS answer
+    FROM kg_questions q
+    LEFT JOIN (SELECT question_id, predicate FROM picked WHERE rank = 0) p ON p.question_id = q.question_id
+    LEFT JOIN uanchors a ON a.question_id = q.question_id
+    LEFT JOIN (SELECT question_id, count(*) AS n, max(n_total) AS n_total FROM ucapped GROUP BY 1) c
+           ON c.question_id = q.question_id
+    LEFT JOIN uprompt u ON u.question_id = q.question_id""")
+def q_graph_rag_umbrella(spark, sf):
+    return umbrella.graph_rag_umbrella(_umbrella(spark, sf))
+
+
+# -------------------------------------------- phrases: keywords (X7), claims (X2) ----
+
+def _longest_sql(prefix: str, texts: str, key: str, text: str, index: str) -> list[tuple[str, str]]:
+    """CTEs <prefix>_matches (all places of the index's phrases) and <prefix>_longest (a scan's longest matches) over
+    a relation ``texts`` with the column(s) ``key``; ``index`` has (phrase, n_words). Needs WITH RECURSIVE."""
+    keys = key.split(", ")
+    on = " AND ".join(f"{{a}}.{k} = {{b}}.{k}" for k in keys)
+    cols = ", ".join(f"{{a}}.{k}" for k in keys)
+    return [
+        (f"{prefix}_matches", f"""
+    SELECT {key}, start, n_words, phrase FROM (
+      SELECT {key}, s.start, l.n_words, array_to_string(w[s.start:s.start + l.n_words - 1], ' ') AS phrase
+      FROM (SELECT {key}, regexp_extract_all(lower({text}), '{WORD_TOKEN}') AS w FROM {texts}) t
+      CROSS JOIN (SELECT DISTINCT n_words FROM {index}) l,
+      LATERAL (SELECT unnest(range(1, len(w) - l.n_words + 2)) AS start) s)
+    WHERE phrase IN (SELECT phrase FROM {index})"""),
+        (f"{prefix}_at", f"""
+    SELECT {key}, start, max(n_words) AS n_words, arg_max(phrase, n_words) AS phrase FROM {prefix}_matches GROUP BY {key}, start"""),
+        (f"{prefix}_next", f"""
+    SELECT {cols.format(a="a")}, a.start, a.n_words, a.phrase, min(b.start) AS next FROM {prefix}_at a
+    LEFT JOIN {prefix}_at b ON {on.format(a="a", b="b")} AND b.start >= a.start + a.n_words
+    GROUP BY {cols.format(a="a")}, a.start, a.n_words, a.phrase"""),
+        (f"{prefix}_longest", f"""
+    SELECT n.* FROM {prefix}_next n JOIN (SELECT {key}, min(start) AS start FROM {prefix}_at GROUP BY {key}) f
+      ON {on.format(a="n", b="f")} AND n.start = f.start
+    UNION ALL
+    SELECT n.* FROM {prefix}_longest l JOIN {prefix}_next n ON {on.format(a="n", b="l")} AND n.start = l.next"""),
+    ]
+
+
+def _phrase_sql(relation: str, phrase: str, id_: str) -> str:
+    return f"""
+    SELECT DISTINCT array_to_string(w, ' ') AS phrase, len(w) AS n_words, id FROM (
+      SELECT regexp_extract_all(lower({phrase}), '{WORD_TOKEN}') AS w, {id_} AS id FROM {relation}) WHERE len(w) > 0 AND id IS NOT NULL"""
+
+
+_KEYWORD_CTES = [
+    ("kw_index", _phrase_sql("kg_keywords", "phrase", "pos")),
+    *_longest_sql("kw", "kg_questions", "question_id", "question", "kw_index"),
+    ("kw_scores", """
+    SELECT question_id, pos, predicate, score,
+           row_number() OVER (PARTITION BY question_id ORDER BY score DESC, pos) - 1 AS rank
+    FROM (SELECT q.question_id, m.pos, m.predicate, round(coalesce(h.n / t.n, 0.0), 6) AS score
+          FROM kg_questions q CROSS JOIN (SELECT DISTINCT pos, predicate FROM kg_keywords) m
+          LEFT JOIN (SELECT l.question_id, i.id AS pos, sum(l.n_words) AS n FROM kw_longest l JOIN kw_index i USING (phrase)
+                     GROUP BY 1, 2) h ON h.question_id = q.question_id AND h.pos = m.pos
+          LEFT JOIN (SELECT question_id, sum(n_words) AS n FROM kw_longest GROUP BY 1) t ON t.question_id = q.question_id)"""),
+]
+
+
+@register("keyword_predicates", sql_with("kg_questions", "kg_keywords", recursive=True, extra=_KEYWORD_CTES)
+          + "SELECT question_id, rank, pos, predicate, score FROM kw_scores")
+def q_keyword_predicates(spark, sf):
+    return classify.keyword_predicates(_questions(spark, sf), kg.keywords(spark))
+
+
+@register("classifier_agreement", sql_with("kg_questions", "kg_keywords", "kg_predicates", recursive=True,
+                                           extra=[*_KEYWORD_CTES, ("scores", _SCORES_SQL)]) + f"""
+    SELECT q.question_id, a.top AS top_first, b.top AS top_second, coalesce(a.top = b.top, false) AS same_top,
+           coalesce(a.n, 0) AS n_first, coalesce(b.n, 0) AS n_second,
+           (SELECT count(*) FROM scores s JOIN kw_scores k USING (question_id, predicate)
+            WHERE s.question_id = q.question_id AND s.score >= {kg.CUTOFF} AND k.score >= {kg.KEYWORD_CUTOFF}) AS n_both
+    FROM kg_questions q
+    LEFT JOIN (SELECT question_id, count(*) AS n, max(predicate) FILTER (WHERE rank = 0) AS top FROM scores
+               WHERE score >= {kg.CUTOFF} GROUP BY 1) a ON a.question_id = q.question_id
+    LEFT JOIN (SELECT question_id, count(*) AS n, max(predicate) FILTER (WHERE rank = 0) AS top FROM kw_scores
+               WHERE score >= {kg.KEYWORD_CUTOFF} GROUP BY 1) b ON b.question_id = q.question_id""")
+def q_classifier_agreement(spark, sf):
+    ranked = classify.rank_predicates(_questions(spark, sf), _G(spark, sf).predicates)
+    return classify.agreement(ranked, classify.keyword_predicates(_questions(spark, sf), kg.keywords(spark)),
+                              kg.CUTOFF, kg.KEYWORD_CUTOFF)
+
+
+_CLAIM_KEY = "system, question_id, claim_no"
+_GROUND_CTES = [
+    *[c for c in _GRAPH_CTES], ("cands5", _cands_sql(kg.VECTOR_K)), ("tp", _TPROMPT_SQL.replace("FROM c WHERE", "FROM cands5 c WHERE")),
+    *_UMBRELLA_CTES,
+    ("said", f"""
+    SELECT 'graph' AS system, question_id, {_ANSWER_SQL} AS answer FROM gprompt
+    UNION ALL SELECT 'vector', question_id, {_ANSWER_SQL} FROM tp
+    UNION ALL SELECT 'umbrella', question_id,
+                     regexp_replace(split_part(user_prompt, chr(10) || chr(10) || 'Question: ', 1), '^[^\\n]*\\n', '') FROM uprompt"""),
+    ("claim", f"""
+    SELECT system, question_id, u.claim_no, parts[u.claim_no + 1] AS claim FROM (
+      SELECT system, question_id, list_filter(list_transform(flatten(list_transform(
+               string_split(answer, chr(10)), lambda line: CASE WHEN contains(line, '{prompts.SEP}') THEN [line]
+                 ELSE string_split(regexp_replace(line, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) END)),
+               lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g')), lambda p: p <> '') AS parts
+      FROM said WHERE answer <> '{prompts.NO_ANSWER}') s, LATERAL (SELECT unnest(range(len(parts))) AS claim_no) u"""),
+    ("names", _phrase_sql("node_txt", _DISPLAY.format(t="text"), "other_id")),
+    ("pnames", _phrase_sql("kg_menu", f"substr(predicate, {len(kg.PREFIX) + 1})", "predicate")),
+    *_longest_sql("nm", "claim", _CLAIM_KEY, "claim", "names"),
+    *_longest_sql("pm", "claim", _CLAIM_KEY, "claim", "pnames")[:1],
+    ("fact", """
+    SELECT DISTINCT c.question_id, CASE WHEN c.dir = 'out' THEN a.anchor ELSE c.other_id END AS subject, a.predicate,
+           CASE WHEN c.dir = 'out' THEN c.other_id ELSE a.anchor END AS object
+    FROM capped c JOIN anchors a ON a.question_id = c.question_id"""),
+    ("ends", """
+    SELECT question_id, subject AS id, predicate, object AS other FROM fact
+    UNION SELECT question_id, object, predicate, subject FROM fact"""),
+    ("mention", "SELECT l.system, l.question_id, l.claim_no, l.start, n.id FROM nm_longest l JOIN names n USING (phrase)"),
+    ("ctx", """
+    SELECT system, question_id, claim_no, id FROM mention
+    UNION SELECT c.system, c.question_id, c.claim_no, a.anchor FROM claim c JOIN anchors a ON a.question_id = c.question_id"""),
+    ("rel", "SELECT DISTINCT m.system, m.question_id, m.claim_no, p.id AS predicate FROM pm_matches m JOIN pnames p USING (phrase)"),
+    ("held", """
+    SELECT DISTINCT m.system, m.question_id, m.claim_no, m.start FROM mention m
+    JOIN ends e ON e.question_id = m.question_id AND e.id = m.id
+    JOIN ctx x ON x.system = m.system AND x.question_id = m.question_id AND x.claim_no = m.claim_no AND x.id = e.other
+    LEFT JOIN rel r ON r.system = m.system AND r.question_id = m.question_id AND r.claim_no = m.claim_no
+                   AND r.predicate = e.predicate
+    LEFT JOIN (SELECT DISTINCT system, question_id, claim_no, 1 AS asks FROM rel) k
+           ON k.system = m.system AND k.question_id = m.question_id AND k.claim_no = m.claim_no
+    WHERE k.asks IS NULL OR r.predicate IS NOT NULL"""),
+    ("judged", """
+    SELECT c.*, coalesce(n.n, 0) AS n_nodes, coalesce(h.n, 0) AS n_backed,
+           coalesce(n.n, 0) > 0 AND coalesce(n.n, 0) = coalesce(h.n, 0) AS supported
+    FROM claim c
+    LEFT JOIN (SELECT system, question_id, claim_no, count(*) AS n FROM nm_longest GROUP BY ALL) n USING (system, question_id, claim_no)
+    LEFT JOIN (SELECT system, question_id, claim_no, count(*) AS n FROM held GROUP BY ALL) h USING (system, question_id, claim_no)"""),
+]
+_GROUND_SQL = sql_with("kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges", "kg_menu", recursive=True,
+                       extra=[_ANCESTORS_CTE, *_GROUND_CTES])
+
+
+def _grounding_inputs(spark, sf):
+    """Answers of three systems, and the facts that the graph channel hands to its generator, to judge them by: the graph
+    channel's own answer, all lines of the umbrella channel, and the best text hit."""
+    parts = _graph_parts(spark, sf)
+    wide = _umbrella(spark, sf, parts)
+    hits = parts.vector_hits(kg.VECTOR_K).join(_node_vectors(spark, sf).select("id", "text"), "id")
+    text = prompts.generate(prompts.text_prompt(_questions(spark, sf), hits))
+    lines = F.regexp_replace(F.split("user_prompt", "\n\nQuestion: ")[0], "^[^\n]*\n", "")
+    answers = prompts.generate(parts.prompts).select(F.lit("graph").alias("system"), _Q, "answer")
+    answers = answers.unionByName(text.select(F.lit("vector").alias("system"), _Q, "answer"))
+    answers = answers.unionByName(wide.prompts.select(F.lit("umbrella").alias("system"), _Q, lines.alias("answer")))
+    out = F.col("dir") == "out"
+    facts = parts.capped.join(parts.anchors, _Q).select(
+        _Q, F.when(out, F.col("anchor")).otherwise(F.col("other_id")).alias("subject"), "predicate",
+        F.when(out, F.col("other_id")).otherwise(F.col("anchor")).alias("object"))
+    systems = F.explode(F.array(*[F.lit(x) for x in ("graph", "vector", "umbrella")])).alias("system")
+    names = phrases.phrase_index(parts.node_txt.select("other_id", display_name("text").alias("_n")), "_n", "other_id")
+    rels = phrases.phrase_index(kg.menu(spark).select("predicate", strip_prefix("predicate", kg.PREFIX).alias("_n")), "_n", "predicate")
+    return answers, facts.select("*", systems), parts.anchors.select(_Q, "anchor", systems), names, rels
+
+
+@register("claim_support", _GROUND_SQL + "SELECT system, question_id, claim_no, claim, n_nodes, n_backed, supported FROM judged")
+def q_claim_support(spark, sf):
+    return grounding.claim_support(*_grounding_inputs(spark, sf), "system", _Q)
+
+
+@register("groundedness", _GROUND_SQL + """
+    SELECT s.system, s.question_id, coalesce(j.n, 0) AS n_claims, coalesce(j.s, 0) AS n_supported, round(j.s / j.n, 6) AS score
+    FROM said s LEFT JOIN (SELECT system, question_id, count(*) AS n, sum(CASE WHEN supported THEN 1 ELSE 0 END) AS s
+                           FROM judged GROUP BY 1, 2) j USING (system, question_id)""")
+def q_groundedness(spark, sf):
+    return grounding.groundedness(*_grounding_inputs(spark, sf), "system", _Q)
+
+
 # ---------------------------------------------------------- evaluation ----
 
 SYSTEMS = ("vector", "graph")
@@ -551,13 +820,33 @@ def q_score_report(spark, sf):
     return evaluation.report(scores, _cases(spark, sf), info)
 
 
-@register("aggregation_gap", _eval_sql(*_PRF_CTES) + """
-    SELECT k.id AS case_id, round(coalesce(g.r, 0.0), 6) AS recall_single,
-           NULL::DOUBLE AS recall_expanded, coalesce(g.r, 0.0) >= 0.8 AS passes
-    FROM kg_cases k LEFT JOIN prf g ON g.case_id = k.id AND g.system = 'graph'
-    WHERE coalesce(k.expand_subclasses, false)""")
+_GAP_SQL = sql_with(
+    "kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges", "kg_cases", recursive=True,
+    extra=[_ANCESTORS_CTE, *_EVAL_CTES,
+           *[c for c in _PRF_CTES if c[0] in ("scores", "picked", "cands", "inc", "hub", "anchors", "node_txt", "facts")],
+           *[c for c in _UMBRELLA_CTES if c[0] in ("member", "rolled", "uhub", "uanchors", "ufacts")],
+           ("ret", """SELECT DISTINCT k.id AS case_id, 'graph' AS system, f.other_id AS entity FROM kg_cases k
+                      JOIN facts f ON f.question_id = k.question_id
+                      UNION SELECT DISTINCT k.id, 'umbrella', f.other_id FROM kg_cases k
+                      JOIN ufacts f ON f.question_id = k.question_id"""),
+           ("rec", """SELECT a.case_id, count(*) AS n_gold, count(g.entity) AS g, count(u.entity) AS u FROM answers a
+                      LEFT JOIN ret g ON g.system = 'graph' AND g.case_id = a.case_id AND g.entity = a.entity
+                      LEFT JOIN ret u ON u.system = 'umbrella' AND u.case_id = a.case_id AND u.entity = a.entity
+                      GROUP BY 1""")])
+
+
+@register("aggregation_gap", _GAP_SQL + """
+    SELECT k.id AS case_id, round(coalesce(r.g / r.n_gold, 0.0), 6) AS recall_single,
+           round(coalesce(r.u / r.n_gold, 0.0), 6) AS recall_expanded, coalesce(r.u / r.n_gold, 0.0) >= 0.8 AS passes
+    FROM kg_cases k LEFT JOIN rec r ON r.case_id = k.id WHERE coalesce(k.expand_subclasses, false)""")
 def q_aggregation_gap(spark, sf):
-    return evaluation.aggregation_gap(_prf(spark, sf), _cases(spark, sf), 0.8)
+    parts = _graph_parts(spark, sf)
+    wide = _umbrella(spark, sf, parts).fact_keys.select(_Q, F.col("other_id").alias("entity"))
+    asked = _cases(spark, sf).where(F.col("question_id").isNotNull()).select(F.col("id").alias("case_id"), _Q)
+    got = (_retrieved(spark, sf, parts).where("system = 'graph'")
+           .unionByName(asked.join(wide, _Q).select("case_id", F.lit("umbrella").alias("system"), "entity")))
+    scores = evaluation.prf(got, _answers(spark, sf), _cases(spark, sf), ("graph", "umbrella"))
+    return evaluation.aggregation_gap(scores, _cases(spark, sf), 0.8, expanded_system="umbrella")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,17 +12,22 @@ kg:ordered_from (customer->supplier, distinct).
 
 Vectors: every node's text is encoded by the built-in encoder, and every node
 with a word can be retrieved. Questions are the stated query set: nodes whose
-key is divisible by 100 ask about themselves in words, and questions and
-predicate descriptions are encoded by the same encoder.
+key is divisible by 100 ask about themselves in words, and every class of the
+hierarchy (nation, region) asks once for each predicate. Questions and
+predicate descriptions are encoded by the same encoder. A gold case's anchor is
+the node that its question is about; a class's answers are those of its members.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import node_text
-from ..operators.embed import hash_embed, to_dense
+from ..functions import WORD_TOKEN, node_text
+from ..operators.embed import hash_embed, hash_encoder, to_dense
+from ..operators.hierarchy import ancestor_index
 
 # Fixed values of the derived graph.
 HIERARCHY = "kg:part_of"
@@ -33,10 +38,17 @@ PREDICATE_MENU = [
     ("kg:supplies", "which parts a supplier supplies"),
     ("kg:ordered_from", "which suppliers a customer ordered from"),
 ]
+# Trigger phrases of the keyword classifier: (place in the menu, phrase); "order" alone points at two predicates.
+KEYWORDS = [(0, "belongs"), (0, "nation or region"), (1, "who placed"), (1, "order"), (2, "order"),
+            (2, "parts an order contains"), (3, "supplies"), (3, "parts a supplier"), (4, "ordered from"),
+            (4, "suppliers a customer")]
 CUTOFF = 0.10
+KEYWORD_CUTOFF = 0.20
 QUESTION_EVERY = 100         # stated query set: nodes whose key is divisible by this ask, all nodes answer
-VECTOR_DIM = 64              # buckets of the built-in text encoder
+VECTOR_DIM = 256             # buckets of the built-in text encoder
 QUESTION_KINDS = ["part", "customer", "order", "supplier"]
+ASKED = {"part": [2, 3], "customer": [0, 1, 4], "order": [1, 2], "supplier": [0, 3, 4]}   # menu places a kind asks for
+CLASS_KINDS = ["nation", "region"]   # their nodes ask for every predicate; their questions have ids below 0
 RECALL_K = 25                # anchor recall pool
 VECTOR_K = 5                 # plain vector retrieval
 MAX_FACTS = 40               # facts handed to the generator
@@ -149,8 +161,9 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, embedding): the built-in encoder over a text column; a text without words has no row."""
-    return to_dense(hash_embed(df, key, text, VECTOR_DIM), key, VECTOR_DIM)
+    """(key, embedding, encoder): the built-in encoder over a text column; a text without words has no row."""
+    return (to_dense(hash_embed(df, key, text, VECTOR_DIM, normalise=False), key, VECTOR_DIM, "float")
+            .withColumn("encoder", F.lit(hash_encoder(VECTOR_DIM))))
 
 
 def menu(spark: SparkSession) -> DataFrame:
@@ -158,48 +171,81 @@ def menu(spark: SparkSession) -> DataFrame:
                                  "pos int, predicate string, description string")
 
 
+def keywords(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, PREDICATE_MENU[i][0], phrase) for i, phrase in KEYWORDS],
+                                 "pos int, predicate string, phrase string")
+
+
+def _asked_pos(key, kind):
+    """Menu place of a single node's question: its kind's places take turns."""
+    turn = F.floor(key / QUESTION_EVERY)
+    out = None
+    for k, places in ASKED.items():
+        place = F.element_at(F.array(*[F.lit(p) for p in places]), (turn % len(places) + 1).cast("int"))
+        out = F.when(kind == k, place) if out is None else out.when(kind == k, place)
+    return out
+
+
+def _kind(kinds: list[str]):
+    return F.array_position(F.array(*[F.lit(k) for k in kinds]), F.substring_index("id", ":", 1)) - 1
+
+
 def questions(spark: SparkSession, sf_dir: str, node_df: DataFrame | None = None) -> DataFrame:
-    """The stated query set: every node whose key is divisible by QUESTION_EVERY asks about itself.
+    """The stated query set: every node whose key is divisible by QUESTION_EVERY asks about itself, and every class
+    of the hierarchy asks for each predicate.
 
-    (question_id, question, embedding); the question is a menu description and the node's text, encoded
-    by the same encoder as the nodes."""
+    (question_id, question, embedding, encoder); the question is a menu description and the node's text, encoded
+    by the same encoder as the nodes. :func:`about` tells what an id asks."""
     n = node_df if node_df is not None else nodes(spark, sf_dir)
-    kind, key = F.substring_index("id", ":", 1), F.substring_index("id", ":", -1).cast("bigint")
-    kinds = F.array(*[F.lit(k) for k in QUESTION_KINDS])
-    asked = (n.select(node_text().alias("_text"), key.alias("_key"), (F.array_position(kinds, kind) - 1).alias("_kind"))
-             .where((F.col("_kind") >= 0) & (F.col("_key") % QUESTION_EVERY == 0))
-             .withColumn("pos", (F.floor(F.col("_key") / QUESTION_EVERY) % len(PREDICATE_MENU)).cast("int")))
-    text = (asked.join(F.broadcast(menu(spark)), "pos")
-            .select((F.col("_key") * len(QUESTION_KINDS) + F.col("_kind")).alias("question_id"),
-                    F.concat_ws(": ", "description", "_text").alias("question")))
+    n = n.select(node_text().alias("_text"), F.substring_index("id", ":", 1).alias("_name"), F.substring_index("id", ":", -1).cast("bigint").alias("_key"),
+                 _kind(QUESTION_KINDS).alias("_kind"), _kind(CLASS_KINDS).alias("_class"))
+    asked = (n.where((F.col("_kind") >= 0) & (F.col("_key") % QUESTION_EVERY == 0))
+             .select("_text", _asked_pos(F.col("_key"), F.col("_name")).alias("pos"),
+                     (F.col("_key") * len(QUESTION_KINDS) + F.col("_kind")).alias("question_id")))
+    first = (F.col("_key") * len(CLASS_KINDS) + F.col("_class")) * len(PREDICATE_MENU)
+    classes = (n.where("_class >= 0").crossJoin(F.broadcast(menu(spark).select("pos")))
+               .select("_text", "pos", (-first - F.col("pos") - 1).alias("question_id")))
+    text = (asked.unionByName(classes).join(F.broadcast(menu(spark)), "pos")
+            .select("question_id", F.concat_ws(": ", "description", "_text").alias("question")))
     return text.join(encoded(text, "question_id", "question"), "question_id")
 
 
+def about(question_df: DataFrame) -> DataFrame:
+    """The questions with the node they are about (``anchor``), their menu place (``pos``) and whether they are about
+    a class (``expand_subclasses``), all read from the id."""
+    q = F.col("question_id")
+    place = -q - 1
+    rest = F.floor(place / len(PREDICATE_MENU))
+    key = F.when(q < 0, F.floor(rest / len(CLASS_KINDS))).otherwise(F.floor(q / len(QUESTION_KINDS)))
+    kind = (F.when(q < 0, F.element_at(F.array(*[F.lit(k) for k in CLASS_KINDS]), (rest % len(CLASS_KINDS) + 1).cast("int")))
+            .otherwise(F.element_at(F.array(*[F.lit(k) for k in QUESTION_KINDS]),
+                                    (F.abs(q) % len(QUESTION_KINDS) + 1).cast("int"))))
+    pos = F.when(q < 0, place % len(PREDICATE_MENU)).otherwise(_asked_pos(key, kind))
+    return question_df.select("*", F.concat_ws(":", kind, key.cast("string")).alias("anchor"), pos.cast("int").alias("pos"),
+                              (q < 0).alias("expand_subclasses"))
+
+
 def node_vectors(spark: SparkSession, sf_dir: str, node_df: DataFrame | None = None) -> DataFrame:
-    """Every node with its text and the text's vector: (id, category, text, embedding)."""
+    """Every node with its text and the text's vector: (id, category, text, embedding, encoder)."""
     n = node_df if node_df is not None else nodes(spark, sf_dir)
     n = n.select("id", "category", node_text().alias("text"))
-    return n.join(encoded(n, "id", "text"), "id").select("id", "category", "text", "embedding")
+    return n.join(encoded(n, "id", "text"), "id").select("id", "category", "text", "embedding", "encoder")
 
 
 def predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicate menu (pos, predicate, description, embedding): descriptions by the same encoder."""
+    """Predicate menu (pos, predicate, description, embedding, encoder): descriptions by the same encoder."""
     m = menu(spark)
-    return m.join(encoded(m, "pos", "description"), "pos").select("pos", "predicate", "description", "embedding")
+    return m.join(encoded(m, "pos", "description"), "pos").select(
+        "pos", "predicate", "description", "embedding", "encoder")
 
 
 def cases(spark: SparkSession, sf_dir: str, question_df: DataFrame | None = None) -> DataFrame:
-    """Gold cases, one per question plus the hand-written set.
+    """Gold cases: one per question, anchored at the node that it is about, plus the hand-written set.
 
     (id, question_id, question, anchor, predicate, direction, expand_subclasses)
     """
-    i = F.floor(F.col("question_id") / (QUESTION_EVERY * len(QUESTION_KINDS))).cast("bigint")
     asked = question_df if question_df is not None else questions(spark, sf_dir)
-    gen = (asked
-           .select("question_id", "question", (i % len(PREDICATE_MENU)).cast("int").alias("pos"),
-                   F.concat(F.lit("region:"), (F.floor(i / len(PREDICATE_MENU)) % 5).cast("string")).alias("anchor"),
-                   (i % 4 != 3).alias("expand_subclasses"))
-           .join(F.broadcast(menu(spark)), "pos")
+    gen = (about(asked).join(F.broadcast(menu(spark)), "pos")
            .select(F.concat(F.lit("q"), F.col("question_id").cast("string")).alias("id"), "question_id", "question",
                    "anchor", "predicate", F.lit("both").alias("direction"), "expand_subclasses"))
     hand = spark.createDataFrame(
@@ -229,7 +275,8 @@ class StoredGraph:
     def __init__(self, spark: SparkSession, sf_dir: str):
         from ..session import ensure_checkpoint_dir
 
-        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/graph/{abs(hash(sf_dir)):x}"
+        place = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/graph/{spark.sparkContext.applicationId}/{place}"
         self.spark, self.sf_dir, self.base = spark, sf_dir, base
         n = nodes(spark, sf_dir)
         n.write.mode("overwrite").parquet(f"{base}/nodes")
@@ -243,6 +290,9 @@ class StoredGraph:
         predicates(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/predicates")
         self.predicates = spark.read.parquet(f"{base}/predicates")
 
+        ancestor_index(self.edges, HIERARCHY).write.mode("overwrite").parquet(f"{base}/hierarchy")
+        self.hierarchy = spark.read.parquet(f"{base}/hierarchy")
+
     def questions(self) -> DataFrame:
         return self._questions
 
@@ -266,6 +316,7 @@ def stored(spark: SparkSession, sf_dir: str) -> StoredGraph:
 # The same graph as DuckDB SQL (oracle side).
 # --------------------------------------------------------------------------
 
+_KEYWORD_VALUES = ", ".join(f"({i}, '{PREDICATE_MENU[i][0]}', '{phrase}')" for i, phrase in KEYWORDS)
 _MENU_VALUES = ", ".join(f"({i}, '{p}', '{d}')" for i, (p, d) in enumerate(PREDICATE_MENU))
 _HAND_VALUES = ", ".join(
     f"('{c}', NULL::BIGINT, NULL::VARCHAR, '{a}', '{p}', '{d}', {str(x).upper()})"
@@ -279,11 +330,14 @@ def _encode_sql(txt: str) -> str:
         SELECT k, list(c ORDER BY b) AS embedding FROM (
             SELECT k, b, sum(CASE WHEN bucket = b THEN n ELSE 0 END)::DOUBLE AS c
             FROM (SELECT k, ('0x' || substr(md5(w), 1, 15))::BIGINT % {VECTOR_DIM} AS bucket, count(*) AS n
-                  FROM (SELECT k, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM {txt})
+                  FROM (SELECT k, unnest(regexp_extract_all(lower(text), '{WORD_TOKEN}')) AS w FROM {txt})
                   GROUP BY 1, 2) CROSS JOIN range({VECTOR_DIM}) r(b)
             GROUP BY 1, 2) GROUP BY k"""
 
 
+_ASKED_SQL = ("CASE kind " + " ".join(f"WHEN '{k}' THEN ({places}::INT[])[1 + (key // {QUESTION_EVERY}) % {len(places)}]"
+                                      for k, places in ASKED.items()) + " END")
+
 _CTES = {
     "kg_nodes": ([], """
         SELECT 'region:' || r_regionkey AS id, 'kg:Region' AS category, r_name AS name,
@@ -327,30 +381,43 @@ _CTES = {
           FROM (SELECT DISTINCT o.o_custkey, l.l_suppkey FROM orders o
                 JOIN lineitem l ON l.l_orderkey = o.o_orderkey)"""),
     "kg_questions": (["kg_nodes", "kg_menu"], f"""
-        WITH asked AS (
-            SELECT *, list_position({QUESTION_KINDS}, split_part(id, ':', 1)) - 1 AS kind,
-                   split_part(id, ':', 2)::BIGINT AS key FROM kg_nodes),
+        WITH keyed AS (
+            SELECT concat_ws('. ', name, synonym, description) AS node_text, split_part(id, ':', 2)::BIGINT AS key,
+                   split_part(id, ':', 1) AS kind, list_position({QUESTION_KINDS}, split_part(id, ':', 1)) - 1 AS place,
+                   list_position({CLASS_KINDS}, split_part(id, ':', 1)) - 1 AS class FROM kg_nodes),
         txt AS (
-            SELECT a.key * {len(QUESTION_KINDS)} + a.kind AS k,
-                   m.description || ': ' || concat_ws('. ', a.name, a.synonym, a.description) AS text
-            FROM asked a JOIN kg_menu m ON m.pos = (a.key // {QUESTION_EVERY}) % {len(PREDICATE_MENU)}
-            WHERE a.kind >= 0 AND a.key % {QUESTION_EVERY} = 0)
+            SELECT a.key * {len(QUESTION_KINDS)} + a.place AS k, m.description || ': ' || a.node_text AS text
+            FROM (SELECT *, {_ASKED_SQL} AS pos FROM keyed) a JOIN kg_menu m ON m.pos = a.pos
+            WHERE a.place >= 0 AND a.key % {QUESTION_EVERY} = 0
+            UNION ALL
+            SELECT -1 - ((a.key * {len(CLASS_KINDS)} + a.class) * {len(PREDICATE_MENU)} + m.pos),
+                   m.description || ': ' || a.node_text
+            FROM keyed a CROSS JOIN kg_menu m WHERE a.class >= 0)
         SELECT k AS question_id, text AS question, embedding FROM txt JOIN ({_encode_sql("txt")}) v USING (k)"""),
     "kg_node_vectors": (["kg_nodes"], f"""
         WITH txt AS (SELECT id AS k, concat_ws('. ', name, synonym, description) AS text FROM kg_nodes)
         SELECT n.id, n.category, t.text, v.embedding
         FROM kg_nodes n JOIN txt t ON t.k = n.id JOIN ({_encode_sql("txt")}) v ON v.k = n.id"""),
+    "kg_keywords": ([], f"SELECT * FROM (VALUES {_KEYWORD_VALUES}) t(pos, predicate, phrase)"),
     "kg_menu": ([], f"SELECT * FROM (VALUES {_MENU_VALUES}) t(pos, predicate, description)"),
     "kg_predicates": (["kg_menu"], f"""
         WITH txt AS (SELECT pos AS k, description AS text FROM kg_menu)
         SELECT m.pos, m.predicate, m.description, v.embedding
         FROM kg_menu m JOIN ({_encode_sql("txt")}) v ON v.k = m.pos"""),
-    "kg_cases": (["kg_questions", "kg_menu"], f"""
-        SELECT 'q' || q.question_id AS id, q.question_id, q.question,
-               'region:' || ((q.i // {len(PREDICATE_MENU)}) % 5) AS anchor,
-               m.predicate, 'both' AS direction, (q.i % 4) <> 3 AS expand_subclasses
-        FROM (SELECT *, question_id // {QUESTION_EVERY * len(QUESTION_KINDS)} AS i FROM kg_questions) q
-        JOIN kg_menu m ON m.pos = q.i % {len(PREDICATE_MENU)}
+    "kg_cases": (["kg_nodes", "kg_menu", "kg_questions"], f"""
+        SELECT 'q' || q.question_id AS id, q.question_id, q.question, a.id AS anchor, m.predicate,
+               'both' AS direction, a.expand AS expand_subclasses
+        FROM kg_questions q JOIN (
+            SELECT id, false AS expand, {_ASKED_SQL} AS pos,
+                   key * {len(QUESTION_KINDS)} + list_position({QUESTION_KINDS}, kind) - 1 AS question_id
+            FROM (SELECT id, split_part(id, ':', 2)::BIGINT AS key, split_part(id, ':', 1) AS kind FROM kg_nodes)
+            WHERE kind IN ({", ".join(f"'{k}'" for k in QUESTION_KINDS)})
+            UNION ALL
+            SELECT id, true, pos, -1 - ((key * {len(CLASS_KINDS)} + list_position({CLASS_KINDS}, kind) - 1)
+                                        * {len(PREDICATE_MENU)} + pos)
+            FROM (SELECT id, split_part(id, ':', 2)::BIGINT AS key, split_part(id, ':', 1) AS kind FROM kg_nodes)
+            CROSS JOIN kg_menu WHERE kind IN ({", ".join(f"'{k}'" for k in CLASS_KINDS)})) a USING (question_id)
+        JOIN kg_menu m ON m.pos = a.pos
         UNION ALL SELECT * FROM (VALUES {_HAND_VALUES})
             t(id, question_id, question, anchor, predicate, direction, expand_subclasses)"""),
     "kg_roots": ([], "SELECT 'region:' || r_regionkey AS root FROM region"),

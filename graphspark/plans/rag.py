@@ -59,7 +59,7 @@ class GraphParts:
         if exclude_negated and "negated" in edges.columns:
             edges = edges.where(~F.coalesce(F.lower(F.col("negated")).isin("true", "1"),
                                             F.lit(False)))
-        check_same_encoder(questions, node_vectors)
+        check_same_encoder(questions, node_vectors, predicates)
         self.questions, self.node_vectors, self.nodes, self.edges = (
             questions, node_vectors, nodes, edges)
         self.predicates, self.cutoff, self.recall_k = predicates, cutoff, recall_k
