@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import WORD_TOKEN, display_name, strip_prefix
-from ..operators import (classify, corpus, embed, graph, grounding, hierarchy, knn, phrases, prompts,
-                         subgraph)
+from ..operators import (classify, corpus, embed, graph, grounding, hierarchy, inference, knn, paths, phrases,
+                         prompts, subgraph)
 from .. import evaluation
 from . import kg_testdata as kg
 from . import rag, umbrella
@@ -659,6 +659,121 @@ def q_groundedness(spark, sf):
     return grounding.groundedness(*_grounding_inputs(spark, sf), "system", _Q)
 
 
+# ------------------------------------------------------------ paths (X8) ----
+
+def _paths_ctes(hops: int) -> list[tuple[str, str]]:
+    """CTEs path0 .. path<hops>: one round each, cut to the beam."""
+    out = [("linked!", """
+    SELECT DISTINCT node, predicate, other, CASE WHEN dir = 'out' THEN '>' ELSE '<' END || predicate AS step
+    FROM inc WHERE other IS NOT NULL"""),
+           ("deg!", "SELECT node, predicate, count(*) AS n FROM inc GROUP BY 1, 2"),
+           ("path0!", "SELECT question_id, [anchor] AS nodes, []::VARCHAR[] AS steps FROM anchors")]
+    for hop in range(1, hops + 1):
+        out += [(f"front{hop}!", f"""
+    SELECT w.question_id, w.nodes, w.steps, w.nodes[-1] AS node, p.predicate
+    FROM path{hop - 1} w JOIN picked p ON p.question_id = w.question_id"""),
+                (f"longer{hop}!", f"""
+    SELECT w.question_id, list_append(w.nodes, l.other) AS nodes, list_append(w.steps, l.step) AS steps, l.other
+    FROM front{hop} w JOIN linked l ON l.node = w.node AND l.predicate = w.predicate
+    WHERE NOT list_contains(w.nodes, l.other)"""),
+                (f"ask{hop}!", f"""
+    SELECT DISTINCT l.question_id, l.other, p.predicate FROM longer{hop} l JOIN picked p ON p.question_id = l.question_id"""),
+                (f"weight{hop}!", f"""
+    SELECT a.question_id, a.other, sum(d.n) AS degree FROM ask{hop} a
+    JOIN deg d ON d.node = a.other AND d.predicate = a.predicate GROUP BY 1, 2"""),
+                (f"path{hop}!", f"""
+    SELECT * FROM (
+      SELECT l.question_id, l.nodes, l.steps, {hop} AS hops, count(*) OVER (PARTITION BY l.question_id) AS n_total,
+             row_number() OVER (PARTITION BY l.question_id
+                                ORDER BY w.degree, array_to_string(l.nodes, ' '), array_to_string(l.steps, ' ')) - 1 AS rn
+      FROM longer{hop} l JOIN weight{hop} w ON w.question_id = l.question_id AND w.other = l.other)
+    WHERE rn < {kg.BEAM}""")]
+    return out
+
+
+def _paths_sql(hops: int) -> str:
+    names = [n for n, _ in _GRAPH_CTES]
+    rounds = " UNION ALL ".join(
+        f"SELECT question_id, hops, rn, n_total, n_total > {kg.BEAM} AS truncated, array_to_string(nodes, ' ') AS nodes, "
+        f"array_to_string(steps, ' ') AS steps FROM path{h}" for h in range(1, hops + 1))
+    return sql_with("kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges",
+                    extra=[(n + "!" if n == "picked" else n, c) for n, c in _GRAPH_CTES[: names.index("anchors") + 1]]
+                    + _paths_ctes(hops)) + rounds
+
+
+def _paths(spark, sf, hops):
+    parts = _graph_parts(spark, sf)
+    found = paths.paths(parts.anchors, parts.picked, _G(spark, sf).edges, hops, kg.BEAM)
+    return found.withColumn("nodes", F.array_join("nodes", " ")).withColumn("steps", F.array_join("steps", " "))
+
+
+@register("paths_2", _paths_sql(2))
+def q_paths_2(spark, sf):
+    return _paths(spark, sf, 2)
+
+
+@register("paths_3", _paths_sql(kg.MAX_HOPS))
+def q_paths_3(spark, sf):
+    return _paths(spark, sf, kg.MAX_HOPS)
+
+
+# -------------------------------------------------------- inference (X9) ----
+
+_MOST = 12  # longer chains than any of the derived graph's, so that recursion ends on its cycles
+
+
+def _distance_sql(steps: str, name: str) -> list[tuple[str, str]]:
+    return [(f"{name}_walk", f"""
+    SELECT low, high, n FROM {steps} WHERE low <> high
+    UNION SELECT w.low, s.high, w.n + s.n FROM {name}_walk w JOIN {steps} s ON s.low = w.high
+    WHERE w.n + s.n <= {_MOST} AND s.high <> w.low"""),
+            (f"{name}_dist", f"SELECT low, high, min(n) AS n FROM {name}_walk GROUP BY 1, 2")]
+
+
+_INFER_CTES = [
+    ("named", """
+    SELECT subject, predicate, object FROM kg_edges WHERE subject IS NOT NULL AND object IS NOT NULL
+    UNION SELECT * FROM kg_axioms"""),
+    # subproperties of the subproperty predicate first, then what they state besides
+    ("p0", f"SELECT subject AS low, object AS high, 1 AS n FROM named WHERE predicate = '{kg.SUBPROPERTY}'"),
+    *_distance_sql("p0", "p0"),
+    ("p1", f"""
+    SELECT * FROM p0 UNION ALL SELECT e.subject, e.object, 1 + d.n FROM named e
+    JOIN p0_dist d ON d.low = e.predicate AND d.high = '{kg.SUBPROPERTY}'"""),
+    *_distance_sql("p1", "p1"),
+    ("c0", f"""
+    SELECT subject AS low, object AS high, 1 AS n FROM named WHERE predicate = '{kg.HIERARCHY}'
+    UNION ALL SELECT e.subject, e.object, 1 + d.n FROM named e
+    JOIN p1_dist d ON d.low = e.predicate AND d.high = '{kg.HIERARCHY}'"""),
+    *_distance_sql("c0", "c0"),
+    ("wider", f"""
+    SELECT subject, predicate, object, min(p) AS p FROM (
+      SELECT *, 0 AS p FROM named
+      UNION ALL SELECT e.subject, d.high, e.object, d.n FROM named e JOIN p1_dist d ON d.low = e.predicate)
+    WHERE predicate NOT IN ('{kg.HIERARCHY}', '{kg.SUBPROPERTY}') GROUP BY 1, 2, 3"""),
+    ("climb", "SELECT low, high, n FROM c0_dist UNION ALL SELECT id, id, 0 FROM (SELECT subject AS id FROM wider UNION SELECT object FROM wider)"),
+    ("lifted", f"""
+    SELECT s.high AS subject, w.predicate, o.high AS object, w.p, s.n + o.n AS c
+    FROM wider w JOIN climb s ON s.low = w.subject JOIN climb o ON o.low = w.object
+    WHERE s.n + o.n = 0 OR w.predicate NOT IN (
+        SELECT low FROM p1_dist WHERE high IN ('{kg.HIERARCHY}', '{kg.SUBPROPERTY}'))"""),
+    ("derived", f"""
+    SELECT subject, predicate, object, p + c AS depth, CASE WHEN c = 0 THEN 0 WHEN p = 0 THEN 1 ELSE 2 END AS rule
+    FROM lifted WHERE p + c > 0
+    UNION ALL SELECT low, '{kg.HIERARCHY}', high, n - 1, 3 FROM c0_dist
+    UNION ALL SELECT low, '{kg.SUBPROPERTY}', high, n - 1, 3 FROM p1_dist"""),
+]
+
+
+@register("inferred_edges", sql_with("kg_edges", "kg_axioms", recursive=True, extra=_INFER_CTES) + f"""
+    SELECT d.subject, d.predicate, d.object, {list(inference.RULES)}[1 + min(d.depth * 4 + d.rule) % 4] AS rule,
+           min(d.depth * 4 + d.rule) // 4 AS depth
+    FROM derived d ANTI JOIN named e ON e.subject = d.subject AND e.predicate = d.predicate AND e.object = d.object
+    GROUP BY 1, 2, 3""")
+def q_inferred_edges(spark, sf):
+    return inference.inferred_edges(kg.edges_with_axioms(spark, _G(spark, sf).edges), kg.HIERARCHY, kg.SUBPROPERTY)
+
+
 # ---------------------------------------------------------- evaluation ----
 
 SYSTEMS = ("vector", "graph")

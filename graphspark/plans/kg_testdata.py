@@ -44,6 +44,21 @@ KEYWORDS = [(0, "belongs"), (0, "nation or region"), (1, "who placed"), (1, "ord
             (4, "suppliers a customer")]
 CUTOFF = 0.10
 KEYWORD_CUTOFF = 0.20
+SUBPROPERTY = "kg:subproperty_of"
+# Property statements added to the graph for inference (subject, predicate, object): a chain, a cycle, a refinement of the
+# hierarchy and one of the subproperty predicate itself.
+PROPERTY_AXIOMS = [
+    ("kg:ordered_from", SUBPROPERTY, "kg:trades_with"),
+    ("kg:trades_with", SUBPROPERTY, "kg:involves"),
+    ("kg:involves", SUBPROPERTY, "kg:trades_with"),
+    ("kg:refines", SUBPROPERTY, SUBPROPERTY),
+    ("kg:placed_by", "kg:refines", "kg:involves"),
+    ("kg:located_in", "kg:refines", HIERARCHY),
+    ("region:0", "kg:located_in", "world:0"),
+    ("region:1", "kg:located_in", "world:0"),
+]
+MAX_HOPS = 3
+BEAM = 20                    # paths that a question keeps a hop
 QUESTION_EVERY = 100         # stated query set: nodes whose key is divisible by this ask, all nodes answer
 VECTOR_DIM = 256             # buckets of the built-in text encoder
 QUESTION_KINDS = ["part", "customer", "order", "supplier"]
@@ -160,6 +175,12 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def edges_with_axioms(spark: SparkSession, edge_df: DataFrame) -> DataFrame:
+    """(subject, predicate, object) of the graph and of the property statements."""
+    axioms = spark.createDataFrame(PROPERTY_AXIOMS, "subject string, predicate string, object string")
+    return edge_df.select("subject", "predicate", "object").unionByName(axioms)
+
+
 def encoded(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, embedding, encoder): the built-in encoder over a text column; a text without words has no row."""
     return (to_dense(hash_embed(df, key, text, VECTOR_DIM, normalise=False), key, VECTOR_DIM, "float")
@@ -316,6 +337,7 @@ def stored(spark: SparkSession, sf_dir: str) -> StoredGraph:
 # The same graph as DuckDB SQL (oracle side).
 # --------------------------------------------------------------------------
 
+_AXIOM_VALUES = ", ".join(f"('{s}', '{p}', '{o}')" for s, p, o in PROPERTY_AXIOMS)
 _KEYWORD_VALUES = ", ".join(f"({i}, '{PREDICATE_MENU[i][0]}', '{phrase}')" for i, phrase in KEYWORDS)
 _MENU_VALUES = ", ".join(f"({i}, '{p}', '{d}')" for i, (p, d) in enumerate(PREDICATE_MENU))
 _HAND_VALUES = ", ".join(
@@ -398,6 +420,7 @@ _CTES = {
         WITH txt AS (SELECT id AS k, concat_ws('. ', name, synonym, description) AS text FROM kg_nodes)
         SELECT n.id, n.category, t.text, v.embedding
         FROM kg_nodes n JOIN txt t ON t.k = n.id JOIN ({_encode_sql("txt")}) v ON v.k = n.id"""),
+    "kg_axioms": ([], f"SELECT * FROM (VALUES {_AXIOM_VALUES}) t(subject, predicate, object)"),
     "kg_keywords": ([], f"SELECT * FROM (VALUES {_KEYWORD_VALUES}) t(pos, predicate, phrase)"),
     "kg_menu": ([], f"SELECT * FROM (VALUES {_MENU_VALUES}) t(pos, predicate, description)"),
     "kg_predicates": (["kg_menu"], f"""
@@ -427,7 +450,8 @@ _CTES = {
 def sql_with(*names: str, extra: list[tuple[str, str]] | None = None,
              recursive: bool = False) -> str:
     """A WITH clause defining the named derived tables and their dependencies,
-    followed by ``extra`` (name, sql) CTEs in the given order."""
+    followed by ``extra`` (name, sql) CTEs in the given order; one whose name ends
+    in '!' is materialized, so that joins aren't reordered across it."""
     order: list[str] = []
 
     def visit(n):
@@ -440,5 +464,5 @@ def sql_with(*names: str, extra: list[tuple[str, str]] | None = None,
     for n in names:
         visit(n)
     parts = [f"{n} AS ({_CTES[n][1]})" for n in order]
-    parts += [f"{n} AS ({s})" for n, s in (extra or [])]
+    parts += [f"{n.removesuffix('!')} AS {'MATERIALIZED ' if n.endswith('!') else ''}({s})" for n, s in (extra or [])]
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
