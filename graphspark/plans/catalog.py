@@ -16,7 +16,7 @@ from ..operators import (classify, corpus, embed, graph, grounding, hierarchy, i
                          prompts, subgraph)
 from .. import evaluation
 from . import kg_testdata as kg
-from . import rag, umbrella
+from . import hybrid, rag, umbrella
 from .kg_testdata import sql_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,15 @@ def q_seed_edges_any_column(spark, sf):
     return out.select(*_EDGE_OUT.split(", "))
 
 
+@register("seed_edges_substring", sql_with("kg_nodes", "kg_edges", extra=[("seeds", _SEEDS_SQL)]) + f"""
+    SELECT {_EDGE_OUT} FROM kg_edges e
+    WHERE EXISTS (SELECT 1 FROM seeds s WHERE contains(
+      {" || chr(9) || ".join(f"coalesce({c}, '')" for c in _ALL_EDGE_COLS.split(", "))}, s.id))""")
+def q_seed_edges_substring(spark, sf):
+    out = subgraph.extract_edges(_G(spark, sf).edges, _seeds(spark, sf), "substring")
+    return out.select(*_EDGE_OUT.split(", "))
+
+
 # ---------------------------------------------------------------- O5-O8 ----
 
 @register("named_triples", sql_with("kg_nodes", "kg_edges") + """
@@ -391,6 +400,50 @@ def q_graph_rag(spark, sf):
                          recall_k=kg.RECALL_K, max_facts=kg.MAX_FACTS, prefix=kg.PREFIX)
 
 
+# ---------------------------------------------------------- hybrid (X3) ----
+
+_HYBRID_CTES = [
+    ("hline", f"""
+    SELECT c.question_id, c.id, 'text' AS channel, c.rank AS rn, '[' || c.id || '] ' || c.text AS line
+    FROM cands c WHERE c.rank < {kg.VECTOR_K}
+    UNION ALL SELECT l.question_id, c.other_id, 'fact', l.rn, l.line
+    FROM lines l JOIN capped c ON c.question_id = l.question_id AND c.rn = l.rn"""),
+    ("hscore", f"""
+    SELECT question_id, id, round(sum(1.0::DOUBLE / ({hybrid.RRF + 1} + r)), 12) AS score
+    FROM (SELECT question_id, id, channel, min(rn) AS r FROM hline GROUP BY 1, 2, 3) GROUP BY 1, 2"""),
+    ("htaken", f"""
+    SELECT *, used <= {hybrid.BUDGET} AS taken FROM (
+      SELECT h.*, row_number() OVER w AS place,
+             sum(length(h.line) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
+      FROM hline h JOIN hscore s USING (question_id, id)
+      WINDOW w AS (PARTITION BY h.question_id ORDER BY s.score DESC, h.id, h.channel DESC, h.rn))"""),
+    ("hjoined", """
+    SELECT question_id, count(*) FILTER (WHERE taken AND channel = 'text') AS n_text,
+           count(*) FILTER (WHERE taken AND channel = 'fact') AS n_facts, count(*) FILTER (WHERE NOT taken) AS n_dropped,
+           string_agg(line, chr(10) ORDER BY place) FILTER (WHERE taken AND channel = 'text') AS texts,
+           string_agg(line, chr(10) ORDER BY place) FILTER (WHERE taken AND channel = 'fact') AS facts
+    FROM htaken GROUP BY 1"""),
+    ("hboth", """
+    SELECT question_id, count(*) AS n_both FROM (
+      SELECT question_id, id FROM htaken WHERE taken GROUP BY 1, 2 HAVING count(DISTINCT channel) = 2) GROUP BY 1"""),
+    ("hprompt", """
+    SELECT q.question_id, coalesce(j.n_text, 0) AS n_text, coalesce(j.n_facts, 0) AS n_facts,
+           coalesce(j.n_dropped, 0) AS n_dropped, coalesce(b.n_both, 0) AS n_both,
+           'Context:' || chr(10) || coalesce(j.texts, '')
+           || coalesce(chr(10) || chr(10) || 'Facts about ' || a.anchor_name || ':' || chr(10) || coalesce(j.facts, ''), '')
+           || chr(10) || chr(10) || 'Question: ' || q.question AS user_prompt
+    FROM kg_questions q LEFT JOIN hjoined j USING (question_id) LEFT JOIN hboth b USING (question_id)
+    LEFT JOIN anchors a USING (question_id)"""),
+]
+
+
+@register("hybrid_rag", sql_with("kg_questions", "kg_predicates", "kg_node_vectors", "kg_nodes", "kg_edges",
+                                 extra=_GRAPH_CTES + _HYBRID_CTES)
+          + f"SELECT *, {_ANSWER_SQL} AS answer FROM hprompt")
+def q_hybrid_rag(spark, sf):
+    return hybrid.hybrid_rag(_graph_parts(spark, sf), k=kg.VECTOR_K)
+
+
 # ------------------------------------------------- umbrella questions (X5) ----
 
 _ANCESTORS_CTE = ("anc", f"""
@@ -834,6 +887,30 @@ def q_oracle_answers(spark, sf):
     return _answers(spark, sf)
 
 
+_SYN_HASH = "md5(concat_ws('|', '0', anchor, predicate, direction"
+
+
+@register("synthetic_gold", sql_with("kg_edges", "kg_nodes", "kg_menu", extra=[
+    ("named", f"""SELECT id AS anchor, {_DISPLAY.format(t="concat_ws('. ', name, synonym, description)")} AS name FROM kg_nodes"""),
+    ("pairs", """
+    SELECT DISTINCT predicate, 'out' AS direction, subject AS anchor, object AS target FROM kg_edges WHERE subject <> object
+    UNION SELECT DISTINCT predicate, 'in', object, subject FROM kg_edges WHERE subject <> object"""),
+    ("degrees", f"""
+    SELECT anchor, predicate, direction, count(*) AS degree, arg_min(target, {_SYN_HASH}, target))) AS target
+    FROM pairs WHERE predicate IN (SELECT predicate FROM kg_menu)
+      AND anchor IN (SELECT anchor FROM named WHERE name <> '') GROUP BY 1, 2, 3"""),
+    ("placed", f"""
+    SELECT *, floor({{b}} * (rank() OVER w - 1) / count(*) OVER (PARTITION BY predicate, direction))::INT AS bucket
+    FROM degrees WINDOW w AS (PARTITION BY predicate, direction ORDER BY degree)""".replace("{b}", "3"))]) + f"""
+    SELECT 'syn-' || substr({_SYN_HASH})), 1, 16) AS id, m.description || ': ' || n.name AS question, anchor, predicate,
+           direction, false AS expand_subclasses, target, degree, bucket
+    FROM (SELECT *, row_number() OVER (PARTITION BY predicate, direction, bucket ORDER BY {_SYN_HASH})), anchor) AS rn
+          FROM placed) JOIN kg_menu m USING (predicate) JOIN named n USING (anchor) WHERE rn <= {kg.PER_STRATUM}""")
+def q_synthetic_gold(spark, sf):
+    g = _G(spark, sf)
+    return evaluation.synthetic_gold(g.edges, g.nodes, kg.menu(spark), per_stratum=kg.PER_STRATUM)
+
+
 @register("gold_resolved", _eval_sql() + """
     SELECT c.id AS case_id, a.pos, a.entity
     FROM kg_cases c LEFT JOIN (

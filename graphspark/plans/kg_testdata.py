@@ -57,6 +57,7 @@ PROPERTY_AXIOMS = [
     ("region:0", "kg:located_in", "world:0"),
     ("region:1", "kg:located_in", "world:0"),
 ]
+PER_STRATUM = 5              # synthetic cases of a stratum
 MAX_HOPS = 3
 BEAM = 20                    # paths that a question keeps a hop
 QUESTION_EVERY = 100         # stated query set: nodes whose key is divisible by this ask, all nodes answer
