@@ -16,7 +16,7 @@ from ..operators import (classify, corpus, embed, graph, grounding, hierarchy, i
                          prompts, subgraph)
 from .. import evaluation
 from . import kg_testdata as kg
-from . import hybrid, rag, umbrella
+from . import hybrid, rag, source_queries, umbrella
 from .kg_testdata import sql_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1041,6 +1041,10 @@ def q_aggregation_gap(spark, sf):
     return evaluation.aggregation_gap(scores, _cases(spark, sf), 0.8, expanded_system="umbrella")
 
 
+QUERIES.update(source_queries.QUERIES)
+ORACLES.update(source_queries.oracles(_eval_sql, _cands_sql(kg.VECTOR_K), _TPROMPT_SQL))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
