@@ -3,6 +3,8 @@
 The default encoder is feature hashing, entirely in Spark SQL: lower-case
 word tokens (of any script) of the whole text, each hashed to one of ``dim`` buckets by md5,
 counted, and L2-normalised. It is deterministic and needs no model file.
+``fit_grams`` and ``gram_embed`` are an encoder learned from the corpus: character
+grams of any script weighted by how rare they are in it, randomly projected.
 A learned encoder plugs in through ``embed``: ``encoder_factory()`` is called
 once per task and returns ``encode(list[str]) -> array (n, dim)``; it is
 applied per Arrow batch. The encoder name is stored with the vectors, and
@@ -44,6 +46,53 @@ def hash_embed(docs: DataFrame, key_col: str, text_col: str, dim: int = 65536, n
     return counts.select(key_col, "bucket", (F.col("_c") / norm).alias("weight"))
 
 
+def gram_counts(docs: DataFrame, key_col: str, text_col: str, gram: int, buckets: int) -> DataFrame:
+    """(key, gram bucket, n): hashed character grams of every word, the word's ends marked; a short word is one gram."""
+    words = docs.select(key_col, F.explode(word_tokens(text_col)).alias("_w"))
+    marked = words.select(key_col, F.concat(F.lit("^"), F.col("_w"), F.lit("$")).alias("_w"))
+    last = F.greatest(F.lit(1), F.char_length("_w") - F.lit(gram - 1))
+    pieces = marked.select(key_col, "_w", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
+    pieces = pieces.select(key_col, F.substring("_w", F.col("_at"), F.lit(gram)).alias("_g"))
+    return (pieces.groupBy(key_col, "_g").agg(F.count("*").alias("_n"))
+            .select(key_col, md5_bucket("_g", buckets).alias("gram"), "_n")
+            .groupBy(key_col, "gram").agg(F.sum("_n").alias("n")))
+
+
+GRAM, GRAM_BUCKETS = 3, 1 << 18
+
+
+def fit_grams(corpus: DataFrame, key_col: str, text_col: str, gram: int = GRAM, buckets: int = GRAM_BUCKETS) -> DataFrame:
+    """The learned part of the gram encoder: (gram, weight), log((1 + texts) / (1 + texts with the gram)) + 1 over all texts
+    of the corpus with a word. At most ``buckets`` rows, counted in Spark; grams that no text has aren't listed."""
+    counts = gram_counts(corpus, key_col, text_col, gram, buckets)
+    texts = counts.agg(F.count_distinct(key_col).alias("_all"))
+    df = counts.groupBy("gram").agg(F.count("*").alias("_df"))
+    return (df.join(F.broadcast(texts))  # one row
+            .select("gram", (F.log((F.lit(1.0) + F.col("_all")) / (F.lit(1.0) + F.col("_df"))) + 1).alias("weight")))
+
+
+def gram_embed(docs: DataFrame, key_col: str, text_col: str, weights: DataFrame, dim: int, gram: int = GRAM,
+               buckets: int = GRAM_BUCKETS) -> DataFrame:
+    """Sparse (key, bucket, weight) of unit length: the fitted weights times 1 + log(count), projected by signed hashing.
+
+    A gram's sign and place among ``dim`` come from its bucket, the same for every text, so no projection matrix is kept.
+    Grams that the corpus doesn't have are left out; a text without any other has no row, nor has one whose projected
+    weights cancel out. Works on any script, and misspelt or inflected words still share most of their grams."""
+    counts = gram_counts(docs, key_col, text_col, gram, buckets)
+    weights = F.broadcast(weights)  # at most ``buckets`` rows of two numbers
+    place = F.floor(F.col("gram") / 2) % dim
+    sign = F.lit(1.0) - 2 * (F.col("gram") % 2)
+    rows = (counts.join(weights, "gram").select(key_col, place.cast("int").alias("bucket"),
+                                                (sign * F.col("weight") * (F.log(F.col("n").cast("double")) + 1)).alias("_w"))
+            .groupBy(key_col, "bucket").agg(F.sum("_w").alias("_w")))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key_col)))
+    return rows.withColumn("_norm", norm).where("_norm > 0").select(key_col, "bucket", (F.col("_w") / F.col("_norm")).alias("weight"))
+
+
+def gram_encoder(dim: int, gram: int = GRAM) -> str:
+    return f"idf-grams-{gram}-{dim}"
+
+
 def to_dense(sparse: DataFrame, key_col: str, dim: int, element: str = "double") -> DataFrame:
     """Sparse (key, bucket, weight) -> (key, embedding array<element>[dim]).
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import WORD_TOKEN, display_name, strip_prefix
-from ..operators import (classify, corpus, embed, graph, grounding, hierarchy, inference, knn, paths, phrases,
+from ..operators import (cells, classify, corpus, embed, graph, grounding, hierarchy, inference, knn, paths, phrases,
                          prompts, subgraph)
 from .. import evaluation
 from . import kg_testdata as kg
@@ -207,6 +207,69 @@ def q_vector_top_k(spark, sf):
         _Q, "rank", "id", "sim")
 
 
+@register("vector_top_k_index", sql_with("kg_questions", "kg_node_vectors",
+                                         extra=[("c", _cands_sql(kg.VECTOR_K))])
+          + "SELECT question_id, rank, id, sim FROM c")
+def q_vector_top_k_index(spark, sf):
+    index = cells.build(_node_vectors(spark, sf))
+    return cells.top_k(index, _questions(spark, sf), kg.VECTOR_K)[0]
+
+
+def _gram_sql(texts: str) -> str:
+    return f"""
+    SELECT k, (('0x' || substr(md5(g), 1, 15))::BIGINT) % {embed.GRAM_BUCKETS} AS gram, count(*) AS n
+    FROM (SELECT k, substr(w, p.place, {embed.GRAM}) AS g
+          FROM (SELECT k, '^' || unnest(regexp_extract_all(lower(text), '{WORD_TOKEN}')) || '$' AS w FROM {texts}) t,
+          LATERAL (SELECT unnest(range(1, greatest(1, length(w) - {embed.GRAM - 1}) + 1)) AS place) p)
+    GROUP BY 1, 2"""
+
+
+_LEARNED_CTES = [
+    ("node_in", "SELECT id AS k, text FROM kg_node_vectors"),
+    ("node_gram", _gram_sql("node_in")),
+    ("fitted", """
+    SELECT gram, ln((1.0::DOUBLE + (SELECT count(DISTINCT k) FROM node_gram)) / (1.0::DOUBLE + count(*))) + 1 AS weight
+    FROM node_gram GROUP BY 1"""),
+    ("ask_in", "SELECT question_id AS k, question AS text FROM kg_questions"),
+    ("ask_gram", _gram_sql("ask_in")),
+]
+LEARNED_DIM = 256
+
+
+def _projected_sql(grams: str) -> str:
+    return f"""
+    SELECT k, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS weight FROM (
+      SELECT g.k, (g.gram // 2) % {LEARNED_DIM} AS bucket, sum((1 - 2 * (g.gram % 2)) * f.weight * (ln(g.n::DOUBLE) + 1)) AS w
+      FROM {grams} g JOIN fitted f USING (gram) GROUP BY 1, 2)"""
+
+
+@register("learned_embed", sql_with("kg_node_vectors", extra=_LEARNED_CTES[:3])
+          + f"SELECT k AS id, bucket, weight FROM ({_projected_sql('node_gram')})")
+def q_learned_embed(spark, sf):
+    texts = _node_vectors(spark, sf).select("id", "text")
+    return embed.gram_embed(texts, "id", "text", embed.fit_grams(texts, "id", "text"), LEARNED_DIM)
+
+
+@register("learned_top_k", sql_with("kg_node_vectors", "kg_questions", extra=[
+    *_LEARNED_CTES, ("nv", _projected_sql("node_gram")), ("qv", _projected_sql("ask_gram")),
+    ("sims", "SELECT q.k AS question_id, n.k AS id, round(sum(q.weight * n.weight), 6) AS sim FROM qv q JOIN nv n USING (bucket) GROUP BY 1, 2")])
+    + f"""
+    SELECT question_id, rank, id, sim FROM (
+      SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY sim DESC, id) - 1 AS rank FROM sims)
+    WHERE rank < {kg.VECTOR_K}""")
+def q_learned_top_k(spark, sf):
+    texts = _node_vectors(spark, sf).select("id", "text")
+    fitted = embed.fit_grams(texts, "id", "text")
+
+    def vectors(df, key, text):
+        dense = embed.to_dense(embed.gram_embed(df, key, text, fitted, LEARNED_DIM), key, LEARNED_DIM)
+        return dense.withColumn("encoder", F.lit(embed.gram_encoder(LEARNED_DIM)))
+
+    asked, items = vectors(_questions(spark, sf), _Q, "question"), vectors(texts, "id", "text")
+    embed.check_same_encoder(asked, items)
+    return knn.top_k(asked, items, kg.VECTOR_K)
+
+
 @register("anchor_candidates", sql_with("kg_questions", "kg_node_vectors",
                                         extra=[("c", _cands_sql(kg.RECALL_K))])
           + "SELECT question_id, rank, id, category, sim FROM c")

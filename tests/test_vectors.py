@@ -1,3 +1,4 @@
+import re
 import pytest
 from conftest import rows
 
@@ -106,3 +107,76 @@ def test_vectors_of_two_encoders_are_refused(spark, question, node_vectors):
     from graphspark.plans import rag
     with pytest.raises(ValueError):
         rag.vector_rag(question.withColumn("encoder", F.lit("a")), node_vectors.withColumn("encoder", F.lit("b")))
+
+
+def _vectors(spark, n, dim, seed, spread):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim))
+    rows = [(f"i{k:04d}", (centres[k % 12] + spread * rng.normal(size=dim)).round(2).tolist()) for k in range(n)]
+    rows += [("same1", rows[0][1]), ("same0", rows[0][1]), ("zero", [0.0] * dim), ("none", None)]
+    return spark.createDataFrame(rows, "id string, embedding array<double>")
+
+
+def test_cell_index_gives_the_rows_of_the_full_scan(spark):
+    from graphspark.operators import cells
+    items = _vectors(spark, 600, 8, 1, 0.1)
+    asked = items.where("id < 'i0040' OR id IN ('zero', 'none', 'same0')").selectExpr("id AS question_id", "embedding")
+    for k, n_cells, block in ((3, None, 50_000), (7, 40, 20), (1, 1, 50_000), (700, 12, 50_000)):
+        index = cells.build(items, n_cells=n_cells, item_block=block)
+        assert index.n_items == 602
+        hits, met = cells.top_k(index, asked, k, query_block=16)
+        want = rows(knn.top_k(asked, items, k), "question_id", "rank", "id", "sim")
+        assert rows(hits, "question_id", "rank", "id", "sim") == want
+        assert all(0 <= r["pruned"] <= 1 and r["n_items"] == 602 for r in met.collect())
+    near = cells.top_k(cells.build(items, n_cells=60), asked, 3)[1].selectExpr("avg(pruned)").first()[0]
+    assert near > 0.5  # clustered vectors: most items are never compared
+
+
+def test_cell_index_of_nothing(spark):
+    from graphspark.operators import cells
+    items = _vectors(spark, 20, 4, 2, 1.0)
+    asked = items.selectExpr("id AS question_id", "embedding")
+    assert cells.top_k(cells.build(items.limit(0)), asked, 2)[0].count() == 0
+    assert cells.top_k(cells.build(items), asked.limit(0), 2)[0].count() == 0
+    with pytest.raises(ValueError):
+        cells.top_k(cells.build(items), asked, 0)
+
+
+def test_learned_encoder_against_plain_counting(spark):
+    import hashlib
+    import math
+    from collections import Counter
+    from graphspark.operators import embed
+    texts = {"a": "Rare word rare", "b": "word of the day", "c": "слово дня", "d": "東京 word", "e": "...", "f": None, "g": "I"}
+    docs = spark.createDataFrame(list(texts.items()), "id string, text string")
+
+    def grams(text):
+        out = Counter()
+        for w in re.findall(r"[^\W_]+", (text or "").lower()):
+            w = f"^{w}$"
+            out.update(w[i:i + 3] for i in range(max(1, len(w) - 2)))
+        bucket = Counter()
+        for g, n in out.items():
+            bucket[int(hashlib.md5(g.encode()).hexdigest()[:15], 16) % embed.GRAM_BUCKETS] += n
+        return bucket
+
+    counts = {k: grams(t) for k, t in texts.items()}
+    df = Counter(g for c in counts.values() for g in c)
+    n = sum(bool(c) for c in counts.values())
+    weight = {g: math.log((1 + n) / (1 + d)) + 1 for g, d in df.items()}
+    fitted = embed.fit_grams(docs, "id", "text")
+    assert {r["gram"]: pytest.approx(r["weight"]) for r in fitted.collect()} == weight
+    got = {}
+    for r in embed.gram_embed(docs, "id", "text", fitted, 64).collect():
+        got.setdefault(r["id"], {})[r["bucket"]] = r["weight"]
+    assert set(got) == {"a", "b", "c", "d", "g"}  # every script has vectors
+    for k in got:
+        want = Counter()
+        for g, c in counts[k].items():
+            want[g // 2 % 64] += (1 - 2 * (g % 2)) * weight[g] * (math.log(c) + 1)
+        size = math.sqrt(sum(w * w for w in want.values()))
+        assert got[k] == pytest.approx({b: w / size for b, w in want.items()})
+    unseen = spark.createDataFrame([("x", "Rares"), ("y", "qqqq")], "id string, text string")
+    found = {r["id"] for r in embed.gram_embed(unseen, "id", "text", fitted, 64).collect()}
+    assert found == {"x"}  # an inflected word shares grams, an unknown one has none
