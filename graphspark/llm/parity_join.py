@@ -36,10 +36,11 @@ from graphspark.session import materialize
 SHINGLE = 4
 #: Two documents link from this similarity, in percent.
 PERCENT = 85
-#: Ratio of a size band's bounds.
+#: Ratio of a size band's bounds. Narrower bands have fewer, larger blocks, which are seldom equal by chance, but a set
+#: lies in more of them: worth it where a low similarity makes blocks small.
 BAND_RATIO = 1.5
 #: One spare block for so many that may differ: a link shares more than the spare blocks, chance seldom does.
-SPARE_SHARE = 6
+SPARE_SHARE = 3
 #: Bits of a block; a key holds the digest of the odd ones.
 BLOCK_BITS = 1_024
 #: Groups of up to so many members are joined as they are; at most so many pairs a member.
@@ -67,12 +68,12 @@ def most_different(both: int, percent: int = PERCENT) -> int:
 class Bands:
     """Size bands with their number of blocks; a pair belongs to the band of its larger set."""
 
-    def __init__(self, percent: int = PERCENT):
+    def __init__(self, percent: int = PERCENT, ratio: float = BAND_RATIO):
         self.percent = percent
         self.low, self.high, self.blocks, self.spare, self.words = [], [], [], [], []
         low = 1
-        while low < 1 << 40 and len(self.low) < 63:
-            high = max(low, int(low * BAND_RATIO))
+        while low < 1 << 40 and len(self.low) < 250:
+            high = max(low, int(low * ratio))
             while low == 1 and most_different(2 * (high + 1), percent) == 0:
                 high += 1  # in the first band only equal sets link
             d = most_different(2 * high, percent)
@@ -111,7 +112,7 @@ def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray
 
 
 def block_keys(hashes: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
-    """Keys of the blocks to join on, the band in the lowest six bits; how many of them any link must share.
+    """Keys of the blocks to join on, the band in the lowest eight bits; how many of them any link must share.
 
     The high bits of a hash choose the block and the low ones its bit. XOR over a block's bits cancels those that
     occur an even number of times, so equal digests mean equal parities. At least 1 + spare blocks of linked sets
@@ -130,7 +131,7 @@ def block_keys(hashes: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray,
     if need < 1:
         gaps = np.setdiff1d(np.arange(p, dtype=np.uint64), block[first][odd])
         key, need = np.r_[key, mix64((gaps + np.uint64(1)) * _M2 + np.uint64(band))], 1
-    return ((key & ~np.uint64(63)) | np.uint64(band)).view(np.int64), need
+    return ((key & ~np.uint64(255)) | np.uint64(band)).view(np.int64), need
 
 
 def short_sketch(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
@@ -140,7 +141,7 @@ def short_sketch(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, ratio: float = BAND_RATIO) -> DataFrame:
     """doc_id, hi, lo (digest of the set), n, own, band, need, sketch, keys: a row for each document and band, ``own``
     for the first of a document.
 
@@ -153,7 +154,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent), set()
+        bands, seen = Bands(percent, ratio), set()
         for batch in batches:
             rows = []
             for doc, hashes in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), shingle)):
@@ -175,14 +176,19 @@ def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
 def _groups(signed: DataFrame, nodes: DataFrame) -> DataFrame:
     """key, node, center, _n: blocks that two or more sets share, with the smallest of them.
 
-    A set that shares fewer blocks in a band than any link of it must share has none there, and is left out: this
-    takes most of the blocks that are equal by chance or by one common passage. Near copies share many blocks with
-    the same members; of these one is kept, as it meets the same pairs."""
-    keys = signed.where("band is not null").select("hi", F.explode("keys").alias("key"))
-    shared = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("_n > 1").drop("_n")
-    needs = signed.where("band is not null").select("hi", "lo", "band", "need").distinct().join(nodes, ["hi", "lo"])
-    known = (shared.withColumn("band", _band()).join(needs.select("hi", "band", "need", "node"), ["hi", "band"])
-             .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("hi", "band"))).where("_m >= need"))
+    A link shares at least ``need`` blocks of a band. So a set that shares fewer with anything has no link there, and of
+    the s that it shares the s - need + 1 rarest are enough: two sets that share ``need`` can't share them all among the
+    more common rest (prefix filtering, in the order of a block's members, then its key). This takes most of the blocks
+    that are equal by chance or by one common passage. Near copies share many blocks with the same members; of these
+    one is kept, as it meets the same pairs. A set that several tasks met has a row for each, which only raises s."""
+    rows = signed.where("band is not null")
+    keys = rows.select("doc_id", F.explode("keys").alias("key"))
+    shared = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("_n > 1")
+    needs = rows.select("doc_id", "hi", "lo", "band", "need").join(nodes, ["hi", "lo"])
+    mine = Window.partitionBy("doc_id", "band")
+    known = (shared.withColumn("band", _band())
+             .withColumn("_m", F.count(F.lit(1)).over(mine)).withColumn("_r", F.row_number().over(mine.orderBy("_n", "key")))
+             .join(needs.select("doc_id", "band", "need", "node"), ["doc_id", "band"]).where("_r <= _m - need + 1"))
     known = materialize(known.select("key", "node").distinct())
     digests = [F.bit_xor(F.xxhash64("node", *more)) for more in ([], [F.lit(1)])]  # of the members, 128 bits
     per = known.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("_n"),
@@ -234,7 +240,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int = SHI
 
 
 def _band():
-    return F.col("key").bitwiseAND(F.lit(63)).cast("int")
+    return F.col("key").bitwiseAND(F.lit(255)).cast("int")
 
 
 def _open_groups(groups: DataFrame, comps: DataFrame) -> DataFrame:
@@ -308,11 +314,12 @@ def _spanning(left: np.ndarray, right: np.ndarray) -> list[int]:
     return out
 
 
-def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
+         ratio: float = BAND_RATIO) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, n_shingles, component_id of every document; spanning links between class representatives: a, b).
 
     Pairs already in one component are not tested, so the links give the components, not every similar pair."""
-    signed = materialize(signatures(docs, percent, shingle))
+    signed = materialize(signatures(docs, percent, shingle, ratio))
     sets = signed.where("own and n > 0 and doc_id is not null").select("doc_id", "hi", "lo")
     nodes = materialize(sets.groupBy("hi", "lo").agg(F.min("doc_id").alias("node")))
     # rows with one id and several texts: their classes belong together
@@ -352,10 +359,10 @@ def _all(links: list[DataFrame]) -> DataFrame:
     return out
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, ratio: float = BAND_RATIO) -> DataFrame:
     """The rows of ``docs`` but one document for each component, that with the smallest id; of rows equal in id
     one stays. Rows without shingles or without id all stay."""
-    rows, _ = join(docs, percent, shingle)
+    rows, _ = join(docs, percent, shingle, ratio)
     extra = materialize(rows.where("n_shingles > 0 and component_id != doc_id").select("doc_id").distinct())
     again = materialize(rows.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"))
