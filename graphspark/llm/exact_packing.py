@@ -30,7 +30,7 @@ from graphspark.session import materialize
 LENGTH = 2_048
 END = 0
 #: Words, and pieces of words, whose ids a worker keeps at most.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 
 #: Latin letters in lower case that stand for themselves in the vocabulary's normal form.
 _LETTERS = "a-z\xdf-\xf6\xf8-\xff"
