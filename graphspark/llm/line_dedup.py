@@ -1,14 +1,20 @@
-"""Operator 9: line dedup by equal windows of lines.
+"""Operator 9: line dedup by winnowing over line hashes.
 
 The lines with a word of a text are its sequence. Its windows are the shortest run of lines from each line on, and the
-shortest run up to each line, that have ``RUN_WORDS`` words or more; each is kept with its place, its smallest line hash
-and a hash of its lines. A window is deleted where an equal one stands in an earlier place.
+shortest run up to each line, that have ``RUN_WORDS`` words or more. Each window selects its smallest line hash, the
+rightmost of equal ones; the selected lines are the fingerprints of the text, one row each with its place. Equal windows
+select the same line of themselves, so two places that share a run of ``RUN_WORDS`` words share a fingerprint inside it.
 
-All windows are joined by their hash; none is left out by its smallest line hash, which only widens the key.
+Places are joined by the hash of their fingerprint; what stands in one place only goes no further. A match is then
+extended to both sides. A fingerprint is extended in steps, one for each window that selected it: left to the first and
+right to the last line of the window, so that every step has its ``RUN_WORDS`` words. A step is known by a 128-bit hash
+of its lines and looks for its own earliest place, by partial aggregation. So every different continuation is compared,
+a line that stands in a third of all texts makes no pairs, and a step goes where an equal one stands in an earlier
+place. Steps that overlap or touch merge to the whole run.
 
 This is every run of that many words that stands in an earlier place, whole: a line of such a run either begins a
 window inside the run, or fewer than ``RUN_WORDS`` words of the run are left from it on, and then it lies in the window
-up to the run's end. Each window has an earliest place of its own, so no run hangs on what follows it elsewhere.
+up to the run's end. Each step has an earliest place of its own, so no run hangs on what follows it elsewhere.
 
 Places are ordered by (doc_id, text hash, line), null ids last. A line is deleted only if an equal line stands
 earlier, so every different line survives somewhere. Runs repeated inside one text count too; a text shorter than
@@ -23,15 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphspark.llm.common import WORD, sized_broadcast, text_batches, words_of
+from graphspark.llm.common import WORD, text_batches, words_of
 from graphspark.session import materialize
 
 RUN_WORDS = 50
-_WINDOW = "_fp long, _lines long, _id long, _sha long, _start int, _stop int"
+#: Bytes of all runs that may be broadcast.
+BROADCAST_BYTES = 16 << 20
+_FINGERPRINT = ("_fp long, _id long, _sha long, _at int, "
+                "_steps array<struct<x: long, y: long, a: int, b: int>>")
 
 
 def line_sequence(text: str) -> tuple[list[int], list[int], list[int]]:
@@ -46,18 +56,22 @@ def line_sequence(text: str) -> tuple[list[int], list[int], list[int]]:
     return hashes, words, numbers
 
 
-def windows(hashes: list[int], words: list[int], run_words: int = RUN_WORDS) -> list[tuple]:
-    """(smallest line hash, hash of the window's lines, first, one past the last) of each window, once."""
-    edge, n = np.r_[0, np.cumsum(words, dtype=np.int64)], len(hashes)
+def windows(words: list[int], run_words: int = RUN_WORDS) -> list[tuple[int, int]]:
+    """(first, one past the last) of each window, once, in order."""
+    edge, n = np.r_[0, np.cumsum(words, dtype=np.int64)], len(words)
     stops = np.searchsorted(edge, edge[:-1] + run_words)  # n + 1: too few words from here on
     starts = np.searchsorted(edge, edge[1:] - run_words, "right") - 1  # -1: too few words up to here
     places = {(a, b) for a, b in enumerate(stops.tolist()) if b <= n}
-    places |= {(a, b) for b, a in enumerate(starts.tolist(), 1) if a >= 0}
-    lines, out = np.array(hashes, np.int64), []
-    for a, b in sorted(places):
-        code = xxhash.xxh64_intdigest(lines[a:b].tobytes())
-        out.append((min(hashes[a:b]), code - (1 << 64) if code >> 63 else code, a, b))
-    return out
+    return sorted(places | {(a, b) for b, a in enumerate(starts.tolist(), 1) if a >= 0})
+
+
+def winnow(hashes: list[int], words: list[int], run_words: int = RUN_WORDS) -> dict[int, list[tuple[int, int]]]:
+    """Place of each selected line, with the windows that selected it."""
+    chosen: dict[int, list[tuple[int, int]]] = {}
+    for a, b in windows(words, run_words):
+        back = hashes[a:b][::-1]
+        chosen.setdefault(b - 1 - back.index(min(back)), []).append((a, b))
+    return chosen
 
 
 def _text_key() -> list[Column]:
@@ -65,35 +79,61 @@ def _text_key() -> list[Column]:
 
 
 def fingerprints(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """The windows of every text: one pass, texts read whole."""
+    """One row for each selected line: its hash, text, place and steps. One pass, texts read whole."""
     text_batches(docs.sparkSession)
+    step = pa.struct([("x", pa.int64()), ("y", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in _WINDOW.split(", ")]
-        for pdf in batches:
-            rows = []
-            for doc, sha, text in zip(pdf["_id"], pdf["_sha"], pdf["text"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, steps, edge = [], [], [0]
+            for doc, sha, text in zip(*(batch[c].to_pylist() for c in ("_id", "_sha", "text"))):
                 hashes, words, _ = line_sequence(text)
-                rows += [(fp, code, doc, sha, a, b) for fp, code, a, b in windows(hashes, words, run_words)]
-            yield pd.DataFrame(rows, columns=names)
+                lines = np.array(hashes, np.int64)
+                for at, chosen in winnow(hashes, words, run_words).items():
+                    places.append((hashes[at], doc, sha, at))
+                    steps += [(xxhash.xxh3_128_digest(lines[a:b].tobytes()), a, b) for a, b in chosen]
+                    edge.append(len(steps))
+            fp, doc, sha, at = zip(*places) if places else ((),) * 4
+            codes, a, b = zip(*steps) if steps else ((),) * 3
+            code = np.frombuffer(b"".join(codes), "<i8").reshape(-1, 2)
+            ladder = pa.StructArray.from_arrays(
+                [pa.array(np.ascontiguousarray(code[:, 0])), pa.array(np.ascontiguousarray(code[:, 1])),
+                 pa.array(a, pa.int32()), pa.array(b, pa.int32())], fields=list(step))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(fp, pa.int64()), pa.array(doc, pa.int64()), pa.array(sha, pa.int64()), pa.array(at, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(edge, pa.int32()), ladder)], ["_fp", "_id", "_sha", "_at", "_steps"])
+
+    return docs.where("text is not null").select(*_text_key(), "text").mapInArrow(run, _FINGERPRINT)
+
+
+def shared_places(places: DataFrame) -> DataFrame:
+    """The fingerprints whose hash stands in two places or more; a hot hash sends one count a task."""
+    shared = places.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_fp")
+    return places.join(shared, "_fp", "left_semi")
+
+
+def extended(places: DataFrame) -> DataFrame:
+    """_id, _sha, a, b: the steps of matched fingerprints that have an equal one in an earlier place."""
+    steps = places.select("_id", "_sha", F.explode("_steps").alias("_step")).select("_id", "_sha", "_step.*")
+    here = F.struct("_id", "_sha", "a")
+    firsts = (steps.groupBy("x", "y").agg(F.min(here).alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .where("_n > 1").drop("_n"))
+    return steps.join(firsts, ["x", "y"]).where(here > F.col("_first")).select("_id", "_sha", "a", "b").distinct()
 
-    return docs.where("text is not null").select(*_text_key(), "text").mapInPandas(run, _WINDOW)
+
+def merged(steps: DataFrame) -> DataFrame:
+    """_id, _sha, _runs: the steps of each text, those that overlap or touch made one. Bounded by the text's lines."""
+    order = Window.partitionBy("_id", "_sha").orderBy("a", "b")
+    reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (steps.withColumn("_new", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
+            .withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("_id", "_sha", "_run").agg(F.min("a").alias("a"), F.max("b").alias("b")))
+    return runs.groupBy("_id", "_sha").agg(F.collect_list(F.struct("a", "b")).alias("_runs"))
 
 
 def repeated_runs(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """_id, _sha, _runs: runs (first, one past the last line of the sequence) to delete from each text.
-
-    The earliest place of a window comes from a partial aggregation, so a window that stands in a third of all
-    texts sends one row a task. Only windows that repeat go on."""
-    places = materialize(fingerprints(docs, run_words))
-    key = ["_fp", "_lines"]
-    here = F.struct("_id", "_sha", "_start")
-    firsts = (places.groupBy(*key).agg(F.min(here).alias("_first"), F.count(F.lit(1)).alias("_n"))
-              .where("_n > 1").drop("_n"))
-    later = places.join(firsts, key).where(here > F.col("_first"))
-    runs = later.select("_id", "_sha", F.col("_start").alias("a"), F.col("_stop").alias("b")).distinct()
-    # a text's runs are bounded by its own lines
-    return runs.groupBy("_id", "_sha").agg(F.collect_list(F.struct("a", "b")).alias("_runs"))
+    """_id, _sha, _runs: runs (first, one past the last line of the sequence) to delete from each text."""
+    return merged(extended(shared_places(materialize(fingerprints(docs, run_words)))))
 
 
 def without_runs(text: str, runs) -> tuple[str, list[int]]:
@@ -111,8 +151,11 @@ def without_runs(text: str, runs) -> tuple[str, list[int]]:
 def cleaned(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """All rows: ``_row`` (the columns of ``docs``), ``_text`` (without repeated runs), ``_gone`` (line numbers).
 
-    Texts are shuffled only if there are too many texts with runs to broadcast their runs."""
-    runs = sized_broadcast(materialize(repeated_runs(docs, run_words)))
+    Texts are shuffled only if the runs have more bytes than ``BROADCAST_BYTES``."""
+    runs = materialize(repeated_runs(docs, run_words))
+    bytes_of_runs = runs.agg(F.sum(32 + 8 * F.size("_runs"))).first()[0] or 0
+    if bytes_of_runs <= BROADCAST_BYTES:
+        runs = F.broadcast(runs)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), *_text_key())
     joined = rows.join(runs, ["_id", "_sha"], "left")
 

@@ -187,6 +187,36 @@ def test_line_dedup_takes_the_tail_of_a_run(spark):
     assert {r["doc_id"]: r["_gone"] for r in out.collect()} == gone
 
 
+def test_line_fingerprints_are_window_minima(spark):
+    rng = np.random.default_rng(4)
+    words = [int(x) for x in rng.integers(1, 30, 200)]
+    hashes = [int(x) for x in rng.integers(0, 9, 200)]  # many ties
+    chosen = line_dedup.winnow(hashes, words)
+    for a, b in line_dedup.windows(words):
+        assert sum(words[a:b]) >= 50 and (sum(words[a + 1:b]) < 50 or sum(words[a:b - 1]) < 50)
+        place = max(i for i in range(a, b) if hashes[i] == min(hashes[a:b]))
+        assert (a, b) in chosen[place]
+    rows = [(1, f"{said('a', 60)}\n{said('b', 60)}"), (2, f"{said('b', 60)}\n{said('c', 60)}"), (3, None), (4, "")]
+    places = line_dedup.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["_id"], r["_at"]) for r in places.collect()) == [(1, 0), (1, 1), (2, 0), (2, 1)]
+    shared = line_dedup.shared_places(places)
+    assert sorted((r["_id"], r["_at"]) for r in shared.collect()) == [(1, 1), (2, 0)]
+    runs = line_dedup.merged(line_dedup.extended(shared)).collect()
+    assert [(r["_id"], [tuple(x) for x in r["_runs"]]) for r in runs] == [(2, [(0, 1)])]
+
+
+def test_line_dedup_runs_merge_and_may_be_shuffled(spark, monkeypatch):
+    lines = [said(f"l{i}_", 7) for i in range(60)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["own"] + lines + ["end"] + lines[20:40])), (2, "\n".join(lines))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    runs = {(r["_id"], len(r["_runs"])): sorted(tuple(x) for x in r["_runs"])
+            for r in line_dedup.repeated_runs(docs).collect()}
+    assert runs == {(2, 2): [(1, 61), (62, 82)], (2, 1): [(0, 60)]}
+    sent = sorted(r["_text"] for r in line_dedup.cleaned(docs).collect())
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    assert sorted(r["_text"] for r in line_dedup.cleaned(docs).collect()) == sent == ["", "\n".join(lines), "own\nend"]
+
+
 def test_line_dedup_edges(docs, no_docs):
     out = line_dedup.dedup(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
