@@ -4,8 +4,10 @@ Two zstandard dictionaries are built from good and from bad labelled text. A tex
 by block; the difference of the two sizes per byte says whose text it is like. A logistic curve fitted on
 labelled rows turns it into a score.
 
-Dictionaries and curve use a bounded sample of labelled rows outside the held-out fold; every text is scored
-whole. Null and empty texts have a difference of 0 and the score that the curve gives it. Equal texts have
+Dictionaries and curve use a bounded sample of labelled documents outside the held-out fold (``FIT_ROWS`` a class), each
+read whole. Tasks train a dictionary on all blocks of their share of the sample and the driver trains the final one on
+these; tasks compress the other half of the sample for the curve. The driver gets dictionaries and numbers, no texts. Of
+several rows of a labelled document the smallest text is learnt from. Every text is scored whole. Null and empty texts have a difference of 0 and the score that the curve gives it. Equal texts have
 equal scores. Several labels of a document count as bad if one says so. With only one class of labels, or
 none, the score is the share of good labels (1 without any). A null id is in no fold and teaches nothing. Extra
 columns don't matter.
@@ -20,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphspark.llm.common import in_fold, text_batches
+from graphspark.session import materialize
 
 #: Labelled rows of each class that are fitted on (smallest hash of the id first), half for the dictionaries.
 FIT_ROWS = 4_000
 #: Bytes of a dictionary, of a training sample, and of a block that is compressed by itself.
 DICTIONARY_BYTES = 32_768
 SAMPLE_BYTES = 512
-SAMPLES_PER_TEXT = 4
+#: Shares of the sample that are trained on by themselves, for each class.
+SHARES = 8
 BLOCK_BYTES = 4_096
 LEVEL = 3
 CUT = 0.7
@@ -36,12 +40,9 @@ def _blocks(raw: bytes, size: int) -> list[bytes]:
     return [raw[i:i + size] for i in range(0, len(raw), size)]
 
 
-def dictionary(texts: list[str]) -> bytes:
-    """A dictionary trained on blocks spread over each text; plain content where there is too little to train."""
-    samples = []
-    for text in texts:
-        blocks = _blocks(text.encode("utf-8", "surrogatepass"), SAMPLE_BYTES)
-        samples += blocks[::max(1, -(-len(blocks) // SAMPLES_PER_TEXT))]
+def dictionary(raws: list[bytes]) -> bytes:
+    """A dictionary trained on all blocks; plain content where there is too little to train."""
+    samples = [block for raw in raws for block in _blocks(raw, SAMPLE_BYTES)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -91,20 +92,45 @@ def fit(docs: DataFrame, labels: DataFrame):
     order = [F.xxhash64("doc_id"), "doc_id"]
     ids = known.where("_good").orderBy(*order).limit(FIT_ROWS).unionByName(
         known.where("not _good").orderBy(*order).limit(FIT_ROWS))
-    sample = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null and text != ''")
-              .orderBy(*order, "text").limit(2 * FIT_ROWS).toPandas())
-    texts, good = sample["text"].to_numpy(object), sample["_good"].to_numpy(bool)
-    if not len(good) or good.all() or not good.any():
-        return float(good.mean()) if len(good) else 1.0
+    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null and text != ''")
+                         .groupBy("doc_id", "_good").agg(F.min("text").alias("text"))
+                         .withColumn("_first", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0))
+    seen = {(r["_good"], r["_first"]): r["count"] for r in sample.groupBy("_good", "_first").count().collect()}
+    n_good, n = sum(v for k, v in seen.items() if k[0]), sum(seen.values())
+    if n_good in (0, n):
+        return n_good / n if n else 1.0
     # the curve is fitted on texts that the dictionaries have not seen, unless there are too few
-    nth = np.zeros(len(good), np.int64)
-    nth[good], nth[~good] = np.arange(good.sum()), np.arange((~good).sum())
-    first = nth % 2 == 0
-    dictionaries = [dictionary(list(texts[first & side])) for side in (good, ~good)]
-    pair = Pair(*dictionaries)
-    rest = ~first if (~first & good).any() and (~first & ~good).any() else np.ones(len(good), bool)
-    x = np.array([pair.difference(t) for t in texts[rest]])
-    return (*dictionaries, *logistic(x, good[rest].astype(float)))
+    halves = len(seen) == 4
+    pair = dictionaries(sample.where("_first") if halves else sample)
+    rest = differences(sample.where("not _first") if halves else sample, pair, "_good").orderBy("_x", "_good").toPandas()
+    return (*pair, *logistic(rest["_x"].to_numpy(), rest["_good"].to_numpy(float)))
+
+
+def dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
+    """Good and bad dictionary: of each class ``SHARES`` are trained in tasks, and one on the content of these."""
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        raws = [t.encode("utf-8", "surrogatepass") for t in pdf.sort_values("doc_id")["text"]]
+        return pd.DataFrame({"_good": pdf["_good"][:1], "_share": pdf["_share"][:1], "raw": [dictionary(raws)]})
+
+    rows = (sample.select("doc_id", "_good", "text", F.pmod(F.xxhash64("doc_id", F.lit("share")), F.lit(SHARES)).alias("_share"))
+            .groupBy("_good", "_share").applyInPandas(train, "_good boolean, _share long, raw binary")
+            .orderBy("_good", "_share").collect())
+    good, bad = ([bytes(r["raw"]) for r in rows if r["_good"] == side] for side in (True, False))
+    return tuple(raws[0] if len(raws) == 1 else dictionary(raws) for raws in (good, bad))
+
+
+def differences(docs: DataFrame, pair: tuple[bytes, bytes], *keep: str) -> DataFrame:
+    """``keep`` columns and ``_x``, the size difference of each text."""
+    state: dict[str, Pair] = {}
+
+    @F.pandas_udf("double")
+    def difference(texts: pd.Series) -> pd.Series:
+        if "pair" not in state:
+            state["pair"] = Pair(*pair)
+        return pd.Series([state["pair"].difference(t) for t in texts], dtype="float64")
+
+    return docs.select(*keep, difference("text").alias("_x"))
 
 
 def score(docs: DataFrame, labels: DataFrame, *keep: str) -> DataFrame:

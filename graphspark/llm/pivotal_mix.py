@@ -3,12 +3,14 @@
 Each source gets a target of words; each of its documents the expected copies target / source size. Whole
 copies are taken at once. The fractions left over are rounded dependently: two documents of a source meet, and
 words move at random from one to the other until one fraction is 0 or 1, so that the source's words stay the
-same and each document keeps its expectation. Groups of documents are reduced to one open fraction each; open
+same and each document keeps its expectation. Within a group the largest documents meet first, and one that is large
+beside all that follow meets these together, so that what stays open is mostly small. Groups of documents are reduced to one open fraction each; open
 fractions meet again, group by group, in a tree; the last one of a source is drawn.
 
 All chance is a hash of (source, group, level) over a fixed order, so reruns and lost executors give the same
-mix. A null source is a source of its own; null and empty texts have size 0 and add nothing. Repeated rows are
-documents of their own. An empty table gives an empty mix. Extra columns don't matter.
+mix. A null source is a source of its own; null and empty texts have size 0 and add nothing. Rows equal in the kept
+columns and size are counted first and their copies rounded together, then dealt evenly, so no group of equal rows meets
+in one task. An empty table gives an empty mix. Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -28,9 +30,13 @@ SHARE = 1.5
 MAX_REPEATS = 2
 #: Documents that one task rounds together, and open fractions that meet in one group of the tree.
 GROUP = 1_024
+#: Equal rows that are dealt their copies in one go.
+EQUAL_ROWS = 100_000
 FAN_IN = 256
 #: Fractions nearer than this to 0 or 1 are whole.
 EPS = 1e-9
+#: A document with more than this part of the words of those that follow it in its group is large.
+LARGE = 1 / 64
 
 
 def sizes(docs: DataFrame, *keep: str) -> DataFrame:
@@ -70,11 +76,29 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     return per.select("_source", "_size_sum", "_n", F.least(most, F.col("_weight") * F.lit(level)).alias("_target"))
 
 
+def _round_large(size: np.ndarray, part: np.ndarray, rng: np.random.Generator) -> None:
+    """Large documents, first to last, each against all open ones after it taken together: words move at random one way
+    or the other until the large one is whole or one of the others is. The others change by the same fraction each."""
+    for i in range(len(part) - 1):
+        if not EPS < part[i] < 1 - EPS:
+            continue
+        others = i + 1 + np.flatnonzero((part[i + 1:] > EPS) & (part[i + 1:] < 1 - EPS))
+        words = size[others].sum()
+        if size[i] <= LARGE * words or not len(others):
+            return
+        up = min((1 - part[i]) * size[i], part[others].min() * words)  # words that the large one can gain
+        down = min(part[i] * size[i], (1 - part[others].max()) * words)
+        move = up if rng.random() * (up + down) < down else -down
+        part[i] += move / size[i]
+        part[others] -= move / words
+
+
 def _round_group(size: np.ndarray, part: np.ndarray, seed: int) -> int | None:
     """Make all fractions of ``part`` whole but one at most; the place of that one, if any.
 
     Words, not copies, are kept: moving d words changes the fractions by d / size."""
     rng = np.random.default_rng(seed)
+    _round_large(size, part, rng)
     held = None
     for i in range(len(part)):
         if part[i] <= EPS or part[i] >= 1 - EPS:
@@ -97,17 +121,20 @@ def _round_group(size: np.ndarray, part: np.ndarray, seed: int) -> int | None:
     return held
 
 
-def copies(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` columns (narrow ones) with ``_size``, ``_size_sum``, ``_target`` and ``_copies``: how often the
-    mix takes each row. ``docs`` has ``source`` and ``text``; texts are counted where they are read, and only
-    narrow rows are stored and shuffled."""
+def counted(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns (narrow ones) and ``source`` of each different row, with ``_size``, ``_size_sum``, ``_target``,
+    ``_rows`` (how many rows are equal in these) and ``_copies``: how often the mix takes them together. ``docs`` has
+    ``source`` and ``text``; texts are counted where they are read, and only narrow rows are stored and shuffled."""
+    names = list(dict.fromkeys([*keep, "source"]))
     sized = materialize(sizes(docs, *keep, *[c for c in ["source"] if c not in keep]))
     key = "concat('s', {})"  # null is a source of its own
     per = targets(sized).selectExpr(f"coalesce({key.format('_source')}, '-') as _key", "_size_sum", "_n", "_target")
-    rows = (sized.withColumn("_key", F.expr(f"coalesce({key.format('source')}, '-')"))
+    rows = (sized.groupBy(*names, "_size").agg(F.count(F.lit(1)).alias("_rows"))
+            .withColumn("_key", F.expr(f"coalesce({key.format('source')}, '-')"))
             .join(sized_broadcast(per), "_key")
             .withColumn("_mean", F.when(F.col("_size_sum") > 0, F.col("_target") / F.col("_size_sum")).otherwise(0.0))
-            .withColumn("_copies", F.floor(F.col("_mean") + F.lit(EPS)).cast("int"))
+            .withColumn("_mean", F.col("_mean") * F.col("_rows"))
+            .withColumn("_copies", F.floor(F.col("_mean") + F.lit(EPS)).cast("long"))
             .withColumn("_part", F.when(F.col("_size") > 0, F.greatest(F.col("_mean") - F.col("_copies"), F.lit(0.0)))
                         .otherwise(0.0))
             .withColumn("_order", F.xxhash64(*keep, "_size"))
@@ -126,7 +153,20 @@ def copies(docs: DataFrame, *keep: str) -> DataFrame:
         rows = left.withColumn("_group", F.lit(0).cast("long") if width <= FAN_IN
                                else F.floor(F.col("_group") / FAN_IN))
     out = out.unionByName(_draw(left))
-    return out.select(*dict.fromkeys([*keep, "source"]), "_size", "_size_sum", "_target", "_copies")
+    return out.select(*names, "_size", "_size_sum", "_target", "_rows", "_copies")
+
+
+def copies(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns and ``source`` of each row with ``_size``, ``_size_sum``, ``_target`` and ``_copies``: how often
+    the mix takes it. Of equal rows the first ones get the odd copies."""
+    rows = counted(docs, *keep)
+    names = [c for c in rows.columns if c not in ("_rows", "_copies")]
+    parts = rows.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_rows - 1) div {EQUAL_ROWS}"))))
+    few, many = parts.where(f"_rows <= {EQUAL_ROWS}"), parts.where(f"_rows > {EQUAL_ROWS}").repartition("_part", *names)
+    first = f"_part * {EQUAL_ROWS}"
+    return (few.unionByName(many)
+            .withColumn("_nth", F.explode(F.expr(f"sequence({first} + 1, least(_rows, {first} + {EQUAL_ROWS}))")))
+            .select(*names, F.expr("cast(_copies div _rows + if(_nth <= _copies % _rows, 1, 0) as int)").alias("_copies")))
 
 
 def _reduce(rows: DataFrame, level: int) -> DataFrame:
@@ -134,7 +174,7 @@ def _reduce(rows: DataFrame, level: int) -> DataFrame:
     names = rows.columns
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_order", "_size"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["_size", "_order"], ascending=[False, True], kind="stable").reset_index(drop=True)
         part = pdf["_part"].to_numpy(float).copy()
         seed = _seed(pdf["_key"][0], int(pdf["_group"][0]), level)
         held = _round_group(pdf["_size"].to_numpy(float), part, seed)
@@ -162,15 +202,15 @@ def mix(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with the columns of ``docs``.
 
     The decision is made on narrow rows and joined to the texts by (doc_id, hash of the text, source). Rows
-    equal in these are alike: the copies of such a group are dealt evenly to its rows."""
+    equal in these are alike: the copies of such a group are dealt evenly to its rows, the odd ones to the first in
+    the order of a hash of all columns."""
     ident = ["coalesce(cast(doc_id as string), '-') as _doc", "coalesce(sha2(text, 256), '-') as _sha"]
-    taken = (copies(docs.selectExpr(*ident, "source", "text"), "_doc", "_sha", "source")
-             .groupBy("_doc", "_sha", F.expr("coalesce(concat('s', source), '-')").alias("_src"))
-             .agg(F.sum("_copies").alias("_all"), F.count(F.lit(1)).alias("_rows")).where("_all > 0"))
+    taken = (counted(docs.selectExpr(*ident, "source", "text"), "_doc", "_sha", "source").where("_copies > 0")
+             .selectExpr("_doc", "_sha", "coalesce(concat('s', source), '-') as _src", "_copies as _all", "_rows"))
     rows = docs.select(F.struct(*docs.columns).alias("_row")).selectExpr(
         "_row", "coalesce(cast(_row.doc_id as string), '-') as _doc", "coalesce(sha2(_row.text, 256), '-') as _sha",
         "coalesce(concat('s', _row.source), '-') as _src")
-    same = Window.partitionBy("_doc", "_sha", "_src").orderBy(F.lit(1))
+    same = Window.partitionBy("_doc", "_sha", "_src").orderBy(F.xxhash64("_row"))
     dealt = rows.join(taken, ["_doc", "_sha", "_src"]).withColumn("_nth", F.row_number().over(same))
     times = F.expr("cast(_all div _rows + if(_nth <= _all % _rows, 1, 0) as int)")
     return dealt.select("_row", F.explode(F.array_repeat(F.lit(1), times)).alias("_one")).select("_row.*")

@@ -27,9 +27,9 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pivotal_mix.copies(table(spark, sf_dir, "documents"), "doc_id", "source")
-    return rows.select("doc_id", "source", F.col("_size").alias("size"), F.col("_size_sum").alias("source_size"),
-                       F.col("_target").alias("target"), F.col("_copies").alias("copies"),
-                       (F.col("_copies") * F.col("_size")).alias("taken"))
+    return rows.select("doc_id", F.col("_size").alias("size"), F.col("_size_sum").alias("source_size"),
+                       F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"), "source",
+                       F.col("_copies").alias("copies"))
 
 
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,20 +135,30 @@ def _buckets(docs: DataFrame) -> DataFrame:
     Bucket bounds are quantiles of the ids: one number a bucket on the driver."""
     spark = docs.sparkSession
     n = BUCKETS_PER_PARTITION * partitions(spark)
-    bounds = sorted({int(b) for b in docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n)})
-    bounds = [float(b) for b in bounds]
+    cuts = Counter(float(int(b)) for b in docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n))
+    bounds = sorted(cuts)
+    total = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    nulls = -(-n * (total[0] - total[1]) // total[0]) if total[0] else 0
     row = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # high ids first, null last; ids beyond 2 ** 53 are compared as doubles by all rows alike
     edges = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
     row = row.withColumn("_bucket", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(
         F.lit(len(bounds)) - _at_most(edges, F.col("doc_id"))))
+    # an id that is a bound k times, and null, hold many buckets' rows: they go on by the hash of the text, the order of
+    # equal ids; a bound is the lowest id of its bucket, so its rows come after the others there
+    hot = [(F.col("doc_id").cast("double") == b, k) for b, k in cuts.items() if k > 1 and abs(b) < 1 << 53] + [(F.col("doc_id").isNull(), nulls)]
+    sub = F.lit(0)
+    for holds, k in hot:
+        place = F.floor((F.xxhash64("text").cast("double") / float(1 << 64) + 0.5) * float(k))
+        sub = F.when(holds, F.least(place, F.lit(k - 1)) + 1).otherwise(sub)
+    row = row.withColumn("_bucket", F.col("_bucket").cast("long") * (n + 2) + sub)
     firsts = {r["_bucket"]: r["_first"] for r in
               row.groupBy("_bucket").agg(F.max("doc_id").alias("_first")).collect()}
     used = sorted(firsts)
     tails = [(used[(i + 1) % len(used)], b) for i, b in enumerate(used)]  # (bucket that follows, bucket)
     if not tails:
         return row.withColumn("_tail", F.lit(False)).limit(0)
-    heads = spark.createDataFrame([(f, firsts[f], b) for f, b in tails], "_bucket int, _first long, _for int")
+    heads = spark.createDataFrame([(f, firsts[f], b) for f, b in tails], "_bucket long, _first long, _for long")
     first = (row.join(F.broadcast(heads), "_bucket").where(F.col("doc_id").eqNullSafe(F.col("_first")))
              .groupBy("_for").agg(F.min_by(F.struct("doc_id", "text"), F.struct(F.xxhash64("text"), "text")).alias("r"))
              .select("r.doc_id", "r.text", F.col("_for").alias("_bucket"), F.lit(True).alias("_tail")))

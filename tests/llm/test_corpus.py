@@ -277,6 +277,36 @@ def test_mix_repeats_rows_and_keeps_columns(docs, no_docs):
     assert pivotal_mix.mix(no_docs).count() == 0 and pivotal_mix.copies(no_docs, "doc_id").count() == 0
 
 
+def test_large_documents_are_rounded_against_the_rest():
+    size = np.array([20_000.0] + [300.0] * 200)
+    total, first = 0.4 * size.sum(), []
+    for seed in range(400):
+        part = np.full(len(size), 0.4)
+        held = pivotal_mix._round_group(size, part, seed)
+        assert part @ size == pytest.approx(total) and (held is None or size[held] == 300)
+        first.append(part[0])
+    assert set(np.round(first, 6)) == {0, 1} and abs(np.mean(first) - 0.4) < 0.1
+
+
+def test_equal_rows_share_their_copies(spark, monkeypatch):
+    rows = [(None, "s", "two words")] * 5000 + [(i, "s", "one two three") for i in range(50)] + [(1, "t", "x y")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    monkeypatch.setattr(pivotal_mix, "EQUAL_ROWS", 300)
+    out = pivotal_mix.copies(docs, "doc_id", "source").collect()
+    assert Counter((r["doc_id"], r["source"]) for r in out) == Counter((d, s) for d, s, _ in rows)
+    nulls = [r["_copies"] for r in out if r["doc_id"] is None]
+    assert set(nulls) <= {1, 2} and max(nulls) <= 2
+    want = {r["source"]: r["_target"] for r in out}
+    for s in want:
+        assert abs(sum(r["_copies"] * r["_size"] for r in out if r["source"] == s) - want[s]) <= 3
+    groups = pivotal_mix.counted(docs, "doc_id", "source").collect()
+    assert len(groups) == 52 and sum(r["_rows"] for r in groups) == len(rows)
+    ident = docs.selectExpr("coalesce(cast(doc_id as string), '-') as _doc", "coalesce(sha2(text, 256), '-') as _sha",
+                            "source", "text")
+    taken = sum(r["_copies"] for r in pivotal_mix.counted(ident, "_doc", "_sha", "source").collect())
+    assert pivotal_mix.mix(docs).count() == taken
+
+
 def test_rounding_is_unbiased():
     size, want = np.array([3.0, 5, 7, 11, 2, 9]), np.array([0.2, 0.5, 0.7, 0.35, 0.9, 0.6])
     total = np.zeros(6)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from graphspark.llm import compression_quality, host_reputation, language_mixture, license_rules, quality_rules, winnowing
 from graphspark.llm.common import coded_words, words_of
@@ -145,6 +146,23 @@ def fold(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
+def test_hot_and_null_ids_spread_over_buckets(spark):
+    rows = [(None, f"text number {i} " * 3) for i in range(300)] + [(7, f"seven {i} " * 4) for i in range(300)]
+    rows += [(i, f"other {i} " * 5) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = df.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text").collect()
+    want = []
+    for row, after in zip(order, order[1:] + order[:1]):
+        changed = winnowing.edited(row["text"], after["text"])
+        want.append((str(row["doc_id"]), winnowing.to_string(*winnowing.winnow(row["text"])),
+                     winnowing.to_string(*winnowing.winnow(changed)), hashlib.sha256(changed.encode()).hexdigest()))
+    out = [(str(r["doc_id"]), r["fingerprint"], r["edited_fingerprint"], r["edited_sha256"])
+           for r in winnowing.compare_edited(df).collect()]
+    assert sorted(out) == sorted(want)
+    sizes = [r["count"] for r in winnowing._buckets(df).groupBy("_bucket").count().collect()]
+    assert max(sizes) < 120
+
+
 def test_languages_held_out(real, docs, no_docs):
     out = {r["doc_id"]: r for r in language_mixture.identify(real["documents"], "doc_id").collect()}
     held = [r for r in real["documents"].collect() if fold(r["doc_id"])]
@@ -166,7 +184,9 @@ def test_mixture_finds_both_languages():
     top, score, chosen = language_mixture.infer(texts["a"][:600] + texts["b"][:300], langs, table)
     assert top == "a" and sorted(chosen) == ["a", "b"] and 0.6 < score < 0.75
     assert language_mixture.infer(texts["b"], langs, table)[2] == ["b"]
-    assert language_mixture.infer("123 !!", langs, table) == ("und", 0.0, [])
+    for signs in ("123 !!", "\u00bd", "\u00b2 \u2462", "\u2167", "_"):  # numerals and signs, no letter
+        assert language_mixture.infer(signs, langs, table) == ("und", 0.0, [])
+    assert language_mixture.infer("1 \u0436", langs, table)[0] in langs
 
 
 def test_compression_scores(spark, real, docs, no_docs, labels):
