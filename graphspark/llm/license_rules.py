@@ -4,7 +4,9 @@ A text is cut into sentences; each is normalised and looked up among known licen
 sequence of sentences with places. The known ones are cut by the same rule, so that one written with ``:``, ``;`` or a
 blank line inside is a row of parts. Licence rules are ordered lists of identifiers; a rule matches where the parts of
 its sentences follow one another in the text with at most ``MAX_GAP`` other sentences in between (``GAPS`` has the
-rules that allow more). Rules with more parts are tried first and a sentence serves one match only.
+rules that allow more). Rules with more parts are tried first and a sentence serves one match only. Sentences with free
+words that name a licence in a known form (short grants, SPDX tags, licence fields: ``license_names``) are found besides,
+where no rule matches.
 
 Null, empty and licence-free texts give no rows. A notice that stands several times is found each time. Repeated
 rows give repeated rows. Sentences are found at any length of text and over line breaks. Extra columns don't
@@ -14,6 +16,7 @@ matter.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import product
 
@@ -21,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from graphspark.llm.common import text_batches
+from graphspark.llm.license_names import named
 
 MAX_GAP = 1
 
@@ -64,6 +68,16 @@ SENTENCES = {
         "option any later version" for a in ("", ";"))
        for name, kind, versions in (("gpl", "", ("2", "3")), ("lgpl", "lesser", ("2_1", "3")), ("agpl", "affero", ("3",)))
        for n in versions},
+    **{f"{name}{n}_only": tuple(
+        f"you can redistribute it and or modify it under the terms of the gnu {kind} general public license {terms}"
+        for v in [n.replace("_", " ")] for terms in (
+            f"version {v} as published by the free software foundation",
+            f"version {v} only as published by the free software foundation",
+            f"as published by the free software foundation version {v} of the license",
+            f"as published by the free software foundation; version {v} of the license",
+            f"as published by the free software foundation; version {v}"))
+       for name, kind, versions in (("gpl", "", ("2", "3")), ("lgpl", "lesser", ("2_1", "3")), ("agpl", "affero", ("3",)))
+       for n in versions},
     "gpl_hope": tuple(f"this {what} is distributed in the hope that it will be useful but without any warranty{a} "
                       "without even the implied warranty of merchantability or fitness for a particular purpose"
                       for what in ("program", "library", "file") for a in ("", ";")),
@@ -114,7 +128,9 @@ RULES = (
     ("MIT", ("mit_licensed",)),
     *((licence, keys) for licence, terms in (
         ("GPL-3.0-or-later", "gpl3_terms"), ("GPL-2.0-or-later", "gpl2_terms"), ("LGPL-3.0-or-later", "lgpl3_terms"),
-        ("LGPL-2.1-or-later", "lgpl2_1_terms"), ("AGPL-3.0-or-later", "agpl3_terms"))
+        ("LGPL-2.1-or-later", "lgpl2_1_terms"), ("AGPL-3.0-or-later", "agpl3_terms"),
+        ("GPL-3.0-only", "gpl3_only"), ("GPL-2.0-only", "gpl2_only"), ("LGPL-3.0-only", "lgpl3_only"),
+        ("LGPL-2.1-only", "lgpl2_1_only"), ("AGPL-3.0-only", "agpl3_only"))
       for keys in (("gpl_free", terms, "gpl_hope"), ("gpl_free", terms), (terms, "gpl_hope"), (terms,))),
     ("GPL-3.0-only", ("gpl3_short",)),
     ("GPL-3.0-only", ("gpl3_licensed",)),
@@ -225,8 +241,19 @@ class Scanner:
 
     def scan(self, text: str | None) -> list[tuple[str, str, int, int]]:
         """(licence, identifiers, start, end) of each match, by place."""
-        if not text or not self.opening.search(text):
+        if not text:
             return []
+        found = self.matches(text) if self.opening.search(text) else []
+        taken = sorted((a, b) for *_, a, b in found)
+        starts = [a for a, _ in taken]
+        for name in named(text):
+            before = bisect_left(starts, name[3]) - 1  # matches don't overlap, so the last one that starts before its end
+            if before < 0 or taken[before][1] <= name[2]:
+                found.append(name)
+        return sorted(found, key=lambda f: f[2:])
+
+    def matches(self, text: str) -> list[tuple[str, str, int, int]]:
+        """(licence, identifiers, start, end) of each match of a rule, by place."""
         seen, used, found, places = self.sequence(text), set(), [], {}
         for i, (_, key, _, _) in enumerate(seen):
             places.setdefault(key, []).append(i)

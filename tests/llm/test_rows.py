@@ -257,6 +257,11 @@ NOTICES = [
     ("BSD", BSD.format("3. All advertising materials mentioning features or use of this software must display the following "
                        "acknowledgement:\n   This product includes software developed by X.\n4. The name of X may not be used.\n\n",
                        OWNERS, "")),
+    ("GPL-2.0-only", GPL.format(";", "", "", "2").replace(" as published by\nthe Free Software Foundation either version 2 of the "
+                                                          "License, or\n(at your option) any later version",
+                                                          " version 2 as\npublished by the Free Software Foundation")),
+    ("LGPL-3.0-only", GPL.format(":", "Lesser ", ",", "3").replace("either version", "version")
+     .replace(" of the License, or\n(at your option) any later version", " of the License")),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
      "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
@@ -284,6 +289,42 @@ def test_standard_notices_are_found_whole(licence, notice):
             assert (before + text + after)[found[0][2]:found[0][3]] == text.strip(), form
 
 
+NAMED = [
+    ("SPDX-License-Identifier: MIT", ["MIT"]), ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR 0BSD */",
+                                                ["GPL-2.0-only", "0BSD"]),
+    ("This program is licensed under the MIT License.", ["MIT"]), ("Licensed under GPLv3.", ["GPL-3.0-only"]),
+    ("Released under the Apache 2.0 license.", ["Apache-2.0"]), ("dual licensed under MIT / Apache-2.0", ["MIT", "Apache-2.0"]),
+    ("Licensed under the Apache License, Version 2.0 and MIT.", ["Apache-2.0", "MIT"]),
+    ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"]), ("released under the zlib licence", ["Zlib"]),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike\n4.0 International License.",
+     ["CC-BY-NC-SA-4.0"]), ("licensed under a Creative Commons Attribution 4.0 International License", ["CC-BY-4.0"]),
+    ("released under the terms of the GNU General Public License version 2.", ["GPL-2.0-only"]),
+    ("distributed under the GPL v2 or (at your option) any later version", ["GPL-2.0-or-later"]),
+    ("available under LGPL-2.1+", ["LGPL-2.1-or-later"]), ("subject to the terms of the Eclipse Public License 2.0", ["EPL-2.0"]),
+    ("licensed under the EUPL v1.2", ["EUPL-1.2"]), ("licensed under\n# the MPL 2.0.", ["MPL-2.0"]),
+    ("x\nLicense: BSD 3-Clause\ny", ["BSD-3-Clause"]), ("covered by a BSD-style license", ["BSD"]),
+    ("licensed under the GPL. 2 cats", ["GPL"]),
+    # a name alone, a verb alone, a word that begins like a name
+    ("We talk of the Apache License, Version 2.0 at length.", []), ("subject to change", []),
+    ("He was released under the mitigating rules, covered by iscariot.", []), ("licensed under. The MIT", []),
+]
+
+
+@pytest.mark.parametrize("text, licences", NAMED)
+def test_named_licences(text, licences):
+    scanner = license_rules.Scanner()
+    for before, after in (("", ""), ("Some words.\n", "\nMore words."), ("é" * 50 + " \n", "\n")):
+        found = scanner.scan(before + text + after)
+        assert [f[0] for f in found] == licences
+        assert all(len(before) <= a < b <= len(before + text) for *_, a, b in found)
+
+
+def test_long_runs_between_words_of_a_name_are_read_once():
+    blank = " " * 200_000
+    assert license_rules.Scanner().scan(f"licensed under{blank}the MIT{blank}license{blank}version{blank}") [0][0] == "MIT"
+    assert license_rules.Scanner().scan(f"licensed under{blank}the " * 3) == []
+
+
 def test_licenses_equal_a_pattern_search(real):
     fixed = {"MIT": "Released under the MIT License", "Apache-2.0": "Licensed under the Apache License, Version 2\\.0",
              "CC-BY-NC-4.0": "Licensed under CC BY-NC 4\\.0",
