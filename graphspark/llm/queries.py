@@ -33,7 +33,8 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    rows = host_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("bad_mean", "bad_bound")})  # sums of doubles have no fixed order
 
 
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,5 +85,5 @@ QUERIES = {"op1_quality_rules": quality, "op2_winnowing": fingerprints, "op3_par
            "op10_compression_quality": quality_scores, "op11_fim_capture": fill_in_middle, "op12_prefix_trie": conversation_trie,
            "op13_warc": archives}
 
-ORACLE_SQL: dict[str, str] = {"op11_fim_capture": fim_capture.ORACLE_SQL, "op12_prefix_trie": prefix_trie.ORACLE_SQL,
-                              "op13_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_host_reputation": host_reputation.ORACLE_SQL, "op11_fim_capture": fim_capture.ORACLE_SQL, 
+                              "op12_prefix_trie": prefix_trie.ORACLE_SQL, "op13_warc": warc.ORACLE_SQL}

@@ -5,8 +5,11 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from graphspark.llm import compression_quality, host_reputation, language_mixture, license_rules, quality_rules, winnowing
@@ -77,6 +80,34 @@ def test_rules_keep_prose_and_reject_junk(spark, real, docs, no_docs, labels):
     assert left.columns == docs.columns and left.where("_row != 'r'").count() == 0
 
 
+def test_path_lengths_equal_a_plain_walk():
+    rng = np.random.default_rng(5)
+    x = np.r_[rng.normal(0, 1, (300, 4)), rng.normal(6, 1, (5, 4)), np.zeros((3, 4))]
+    forest, expected, limit = model = quality_rules.fit_forest(x[:300], x)
+
+    def walk(tree, row, at=0):
+        feature, cut, left, right, length = (col[at] for col in tree)
+        return length if feature < 0 else walk(tree, row, left if row[feature] <= cut else right)
+
+    def leaves(tree, rows, at=0, depth=0):
+        """Each leaf's length is its depth and what its rows would still need."""
+        feature, cut, left, right, length = (col[at] for col in tree)
+        if feature < 0:
+            n = len(rows)
+            more = 0 if n < 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+            assert length == pytest.approx(depth + more) and depth <= limit
+            return n
+        side = rows[:, feature] <= cut
+        return leaves(tree, rows[side], left, depth + 1) + leaves(tree, rows[~side], right, depth + 1)
+
+    got = quality_rules.anomaly(model, x)
+    assert got == pytest.approx([2 ** (-np.mean([walk(t, row) for t in forest]) / expected) for row in x])
+    assert got[300:305].min() > np.quantile(got[:300], 0.95)  # rows far from the others have short paths
+    everything = np.random.default_rng(quality_rules.SEED)
+    part = x[:300][everything.choice(300, min(quality_rules.TREE_ROWS, 300), replace=False)]
+    assert leaves(forest[0], part) == len(part)
+
+
 def test_winnowing_guarantee_and_ties():
     rng = np.random.default_rng(3)
     letters = np.array(list("abc "))
@@ -108,7 +139,9 @@ def test_fingerprints_of_edited_texts(spark, docs, no_docs):
         assert r["n_chars"] == len(t)
         assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
         assert r["fingerprint"] == winnowing.to_string(*winnowing.winnow(t))
-        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        own, other, following = (set(winnowing.winnow(x)[0].tolist()) for x in (t, changed, after))
+        for near, of in (("near_edited", other), ("near_next", following)):
+            assert r[near] == pytest.approx(len(own & of) / len(own | of) if own | of else 1.0)
     assert out[6]["fingerprint"] == out[7]["fingerprint"] and out[7]["near_next"] == 1.0
     assert out[2]["near_next"] == 1.0 and out[2]["fingerprint"] == ""  # two empty texts
     assert winnowing.compare_edited(docs).count() == len(ROWS)
@@ -142,6 +175,35 @@ def test_reputation_shrinks_to_domain_and_blocks_bad_hosts(spark):
     assert all(0 <= r["bad_bound"] <= r["bad_mean"] <= 1 for r in out.values())
 
 
+def test_reputation_of_domains_below_suffixes_of_two_labels(spark):
+    """The whole query equals its SQL, and unrelated domains below one suffix don't share a reputation."""
+    rng = np.random.default_rng(3)
+    hosts = ["a.evil.co.uk", "b.evil.co.uk", "a.good.co.uk", "b.good.co.uk", "x.evil.com:8080", "u@y.evil.com", "good.org.",
+             "10.0.0.1", "10.0.0.2:80", "co.uk", "uk", "", "a.net", "m.example.com", "www.example.com"]
+    bad = {h: 0.9 if "evil" in h else 0.1 for h in hosts}
+    rows = [(i, f"http://{h}/en/{i}" + ("#t" if i % 3 else "?q=/"), int(rng.random() >= bad[h])) for h in hosts
+            for i in range(1_000 * hosts.index(h), 1_000 * hosts.index(h) + int(rng.integers(20, 60)))]
+    new = [(90_000 + k, f"https://{h}/es/x") for k, h in enumerate(
+        ("new.evil.co.uk", "new.good.co.uk", "other.co.uk", "z.evil.com:1", "else.com", "none.zz", "10.0.0.3", "N.Good.Org"))]
+    pages = [(i, u) for i, u, _ in rows] + new + [(None, None), (5, "x"), (5, "x")]
+    known = [(i, q) for i, _, q in rows] + [(0, 0), (None, 0), (1, None)]
+    out = host_reputation.judge(spark.createDataFrame(pages, "page_id long, url string"),
+                                spark.createDataFrame(known, "doc_id long, quality int")).toPandas()
+    mean = dict(zip(out["host"], out["bad_mean"]))
+    assert mean["new.evil.co.uk"] > 0.6 > 0.4 > mean["new.good.co.uk"] and mean["z.evil.com:1"] > 0.6
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(pages, columns=["page_id", "url"]).astype({"page_id": "Int64"}))
+    con.register("labels", pd.DataFrame(known, columns=["doc_id", "quality"]).astype("Int64"))
+    want = con.execute(host_reputation.ORACLE_SQL).df()
+    assert list(want.columns) == list(out.columns) and len(want) == len(out) == len(pages)
+
+    def plain(df):
+        return sorted((tuple(None if pd.isna(v) else round(v, 6) if isinstance(v, float) else v for v in r)
+                       for r in df.astype({"page_id": "Int64"}).itertuples(index=False)), key=repr)
+
+    assert plain(out) == plain(want)
+
+
 def fold(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
@@ -189,6 +251,48 @@ def test_mixture_finds_both_languages():
     assert language_mixture.infer("1 \u0436", langs, table)[0] in langs
 
 
+def test_mixture_equals_a_plain_loop():
+    rng = np.random.default_rng(9)
+    likely, n = rng.random((40, 4)) + 0.01, rng.integers(1, 9, 40).astype(float)
+    share = [0.25] * 4
+    for _ in range(language_mixture.STEPS):
+        mass = [0.0] * 4
+        for g in range(40):
+            whole = sum(share[k] * likely[g, k] for k in range(4))
+            for k in range(4):  # each gram is shared out among the languages
+                mass[k] += n[g] * share[k] * likely[g, k] / whole
+        share = [m / sum(mass) for m in mass]
+    value = sum(n[g] * np.log(sum(share[k] * likely[g, k] for k in range(4))) for g in range(40))
+    got, fit = language_mixture.proportions(likely, n, np.full(4, 0.25))
+    assert got == pytest.approx(share) and fit == pytest.approx(value)
+
+
+def test_size_difference_and_curve_equal_plain_ones():
+    rng = np.random.default_rng(2)
+    good, bad = ([" ".join(rng.choice(w, 60)).encode() for _ in range(300)] for w in (
+        ["river", "stone", "letter", "morning", "garden"], ["$$$", "click", "xxx", "buy!!", "zzz"]))
+    dictionaries = [compression_quality.dictionary(raws) for raws in (good, bad)]
+    pair = compression_quality.Pair(*dictionaries)
+
+    def size(raw, dictionary):
+        made = zstandard.ZstdCompressor(level=compression_quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary),
+                                        write_content_size=False, write_dict_id=False)
+        k = compression_quality.BLOCK_BYTES
+        return sum(len(made.compress(raw[i:i + k])) for i in range(0, len(raw), k))
+
+    for raw in (good[0], bad[0], good[1] + bad[1], b"a", b"letter xxx " * 30_000):
+        want = (size(raw, dictionaries[1]) - size(raw, dictionaries[0])) / len(raw)
+        assert pair.difference(raw.decode()) == pytest.approx(want, abs=2e-3 + 2 / len(raw))
+    assert pair.difference(good[2].decode()) > 0 > pair.difference(bad[2].decode())
+    assert pair.difference(None) == pair.difference("") == 0.0
+    # at the fitted curve the sum of the errors is 0, and that of the errors times x but for the ridge
+    x = np.r_[rng.normal(1, 1, 400), rng.normal(-1, 1, 300)]
+    is_good = np.r_[np.ones(400), np.zeros(300)]
+    a, b = compression_quality.logistic(x, is_good)
+    error = is_good - 1 / (1 + np.exp(-(a + b * x)))
+    assert abs(error.sum()) < 1e-3 and abs((error * x).sum()) < 0.1 and b > 0
+
+
 def test_compression_scores(spark, real, docs, no_docs, labels):
     out = {r["doc_id"]: r for r in compression_quality.score(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet"),
