@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,19 @@ def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, codes, starts
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of consecutive rows with at most ``most`` bytes of text each, or one row.
+
+    What a task makes of a slice (codes, ids, places) grows with its text, so this bounds its working memory."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, start = np.cumsum(size), 0
+    while start < len(size):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each (start, length), one after the other."""
     ends = np.cumsum(lengths)

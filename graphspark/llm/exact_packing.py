@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphspark.llm.common import coded_words, ordered_table, ranges, text_batches, worker_state
+from graphspark.llm.common import byte_slices, coded_words, ordered_table, ranges, text_batches, worker_state
 from graphspark.session import materialize
 
 LENGTH = 2_048
 END = 0
 #: Words, and pieces of words, whose ids a worker keeps at most.
 KNOWN_WORDS = 100_000
+#: Bytes of text that a task encodes at a time; a longer text is encoded by itself.
+SLICE_BYTES = 2_000_000
 
 #: Latin letters in lower case that stand for themselves in the vocabulary's normal form.
 _LETTERS = "a-z\xdf-\xf6\xf8-\xff"
@@ -129,7 +131,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, *keep: str) -> DataFrame:
     types = dict(source.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, "text", SLICE_BYTES)):
             ids, edges = encode(batch.column("text"), tokenizer_path)
             size = np.diff(edges)
             cuts = -(-size // LENGTH)

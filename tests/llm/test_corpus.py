@@ -14,7 +14,7 @@ import corpus_pipeline
 from graphspark.llm import exact_packing, line_dedup, parity_join, pivotal_mix
 from graphspark.llm.components import components
 
-from .conftest import LONG, ROWS, RUN, SF
+from .conftest import BASE, LONG, ROWS, RUN, SF
 
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -373,3 +373,25 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert packed.where("piece = 0").count() == docs.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "mix", "packing"]
+
+
+def test_pipeline_on_edge_rows(spark, docs, no_docs):
+    """Null, empty, long, equal and repeated rows with clashing columns through all stages, one after the other."""
+    kept = corpus_pipeline.materialize(corpus_pipeline.quality(spark, docs, SF))
+    words = {None: 0} | {t: len((t or "").split()) for t in (r["text"] for r in docs.collect())}
+    assert all(words[r["text"]] >= 10 for r in kept.collect())
+    for start in (docs, no_docs):
+        rows = start
+        for name, stage in corpus_pipeline.STAGES[1:-1]:
+            before = rows
+            rows = corpus_pipeline.materialize(stage(spark, rows, SF))
+            assert rows.columns == docs.columns and rows.where("_row != 'r' or _size != 's' or hi != 'h'").count() == 0
+            if name == "line_dedup":
+                assert rows.count() == before.count()
+                assert sum(RUN in (r["text"] or "") for r in rows.collect()) == min(1, start.count())
+            if name == "ngram_join":
+                texts = [r["text"] for r in rows.collect()]
+                assert len([t for t in texts if t and t.startswith(BASE[:200])]) == min(1, start.count())
+                assert {r["doc_id"] for r in rows.collect()} >= ({1, 2, 3, 4, 5, 6, 11} if start is docs else set())
+        packed = corpus_pipeline.packing(spark, rows, SF).collect()
+        assert sum(r["piece"] == 0 for r in packed) == rows.count()
