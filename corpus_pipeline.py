@@ -2,6 +2,12 @@
 
 Each stage takes what its predecessor kept. A stage's result is written as Parquet in the shared checkpoint folder
 and read again, so that a lost executor costs tasks of one stage only.
+
+Null, empty and blank texts and those of fewer than ten words are rejected by the first stage; were they in a later one's
+input, line dedup and the join would keep them as they are, the mix takes no rows without words, and packing makes a
+sequence entry of one token of them. Texts of any length go through whole. Of equal rows and near copies one stays (the
+smallest doc_id). A null doc_id is judged like any other row. Other columns, whatever their names, come through the first
+four stages unchanged. Empty tables give empty tables.
 """
 
 from __future__ import annotations
