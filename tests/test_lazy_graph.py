@@ -72,3 +72,23 @@ def test_rows_of_one_question_key_share_its_ranks(spark):
     got = [(r["rank"], r["id"]) for r in knn.top_k(twice, items, 4).orderBy("rank").collect()]
     once = [r["id"] for r in knn.top_k(twice.limit(1), items, 4).orderBy("rank").collect()]
     assert got == list(enumerate([once[0], once[0], once[1], once[1]]))
+
+
+def test_each_different_vector_is_compared_once(spark):
+    asked, items = _vectors(spark, 600)
+    known = items.unionByName(items.where("id = 'i0001'"))
+    once, ids = knn.firsts(known, "id", "embedding", 4)
+    assert once.count() == 6 and ids.count() == 6 * 4  # before, all of these ids entered the grid
+    assert {r["id"] for r in once.collect()} == {f"i{n:04d}" for n in range(1, 7)}
+
+
+def test_single_rows_are_encoded_without_shuffling_them(spark):
+    rows = spark.createDataFrame([("a", "one two two"), ("b", "Three"), ("c", "?"), ("d", None), (None, "one"), ("e", ""), ("f", "été 5")],
+                                 "k string, t string")
+    several = rows.unionByName(spark.createDataFrame([("b", "four"), ("b", "three")], "k string, t string"))
+    for df in (rows, several, rows.limit(0)):
+        want = df.join(kg.encoded(df, "k", "t").drop("encoder"), "k")
+        got = embed.with_bags(df, "k", "t", kg.VECTOR_DIM)
+        assert sorted((r["k"], r["t"] or "", r["embedding"]) for r in got.collect()) == sorted(
+            (r["k"], r["t"] or "", r["embedding"]) for r in want.collect())
+    assert "Exchange" not in embed.with_bags(rows, "k", "t", 16)._jdf.queryExecution().executedPlan().toString()
