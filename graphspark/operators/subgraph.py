@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,7 +95,7 @@ def extract_substring(edges: DataFrame, seeds: DataFrame, seed_col: str = "id",
     """O2 by literal substring: edges whose text (columns joined by tabs, NULL as empty) holds a seed; each row once.
 
     Seeds proven to be at most ``max_automaton_seeds`` make one Aho-Corasick automaton that every scan task runs
-    over its rows: one pass over the text whatever their number, and no shuffle. More seeds are joined (:func:`_gram_join`).
+    over its rows, a batch at a time: one pass over the text whatever their number, and no shuffle. More seeds are joined (:func:`_gram_join`).
     An empty seed is in every row; a NULL one in none."""
     ids = seeds.select(F.col(seed_col).cast("string").alias("_seed")).where("_seed IS NOT NULL").distinct()
     if not ids.where("_seed = ''").isEmpty():
@@ -104,10 +106,11 @@ def extract_substring(edges: DataFrame, seeds: DataFrame, seed_col: str = "id",
     if not few:
         return edges.limit(0)
     shared = edges.sparkSession.sparkContext.broadcast(few)
+    between = next(c for c in map(chr, range(0x110000)) if not any(c in seed for seed in few))  # no match goes across it
     built = []
 
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
         if not built:  # once a Python worker and scan
             import ahocorasick
             automaton = ahocorasick.Automaton()
@@ -115,7 +118,12 @@ def extract_substring(edges: DataFrame, seeds: DataFrame, seed_col: str = "id",
                 automaton.add_word(seed, True)
             automaton.make_automaton()
             built.append(automaton)
-        return texts.map(lambda text: next(built[0].iter(text), None) is not None)
+        # The rows of a batch are one text, so that Python meets matches only, not rows.
+        starts = np.r_[0, np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)]
+        ends = np.fromiter((end for end, _ in built[0].iter(between.join(texts.to_pylist()))), np.int64)
+        out = np.zeros(len(texts), bool)
+        out[np.searchsorted(starts, ends, "right") - 1] = True
+        return pa.array(out)
 
     return edges.where(holds(_row_text(edges)))
 

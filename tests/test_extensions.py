@@ -113,3 +113,12 @@ def test_many_substring_seeds_on_both_ways(spark):
     one, other = (subgraph.extract_edges(edges, seeds, "substring", max_broadcast_seeds=n) for n in (1000, 5))
     assert rows(one, "subject", "object") == rows(other, "subject", "object")
     assert 0 < one.count() < len(table)
+
+
+def test_substring_seeds_stay_within_their_row(spark):
+    """Rows of a batch are searched as one text: no match may go across two of them, and the first and last row count."""
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(["xab", "cab", "c", "", "bca", "é\u0000ab", None, "ab"])],
+                                 "n int, t string").coalesce(1)
+    edges = rows.select("t")
+    seeds = spark.createDataFrame([("ca",), ("é\u0000a",), ("abc",)], "id string")
+    assert sorted(r["t"] for r in subgraph.extract_substring(edges, seeds).collect()) == ["bca", "cab", "é\u0000ab"]
