@@ -92,3 +92,16 @@ def test_single_rows_are_encoded_without_shuffling_them(spark):
         assert sorted((r["k"], r["t"] or "", r["embedding"]) for r in got.collect()) == sorted(
             (r["k"], r["t"] or "", r["embedding"]) for r in want.collect())
     assert "Exchange" not in embed.with_bags(rows, "k", "t", 16)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bags_of_single_rows_are_counted_without_a_shuffle(spark):
+    rows = spark.createDataFrame([("a", "one two two"), ("b", "?"), ("c", None), ("d", "é 5")], "k string, t string")
+    assert "Exchange" not in embed.hash_embed(rows, "k", "t", 64)._jdf.queryExecution().executedPlan().toString()
+    parts = spark.createDataFrame([("a", "one"), ("a", "two"), ("a", "two"), (None, "x"), (None, "x y"), ("d", "é"), ("d", "5")],
+                                  "k string, t string")
+    for normalise in (True, False):
+        got = {(r["k"], r["bucket"]): r["weight"] for r in embed.hash_embed(parts, "k", "t", 64, normalise).where("k IS NOT NULL").collect()}
+        want = {(r["k"], r["bucket"]): r["weight"] for r in embed.hash_embed(rows, "k", "t", 64, normalise).collect()}
+        assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in got)
+    nulls = embed.hash_embed(parts, "k", "t", 64, False).where("k IS NULL").collect()
+    assert sorted(r["weight"] for r in nulls) == [1, 2]
