@@ -116,12 +116,15 @@ def rule_stats(text: str | None) -> tuple:
 
 
 def stats_of(text: str) -> Column:
-    """Rule statistics of whole texts as a struct; other columns never leave the JVM."""
+    """Rule statistics of whole texts as a struct; other columns never leave the JVM.
+
+    Marked as not deterministic so that Spark doesn't push a filter on the statistics below them: it would compute them
+    a second time, in a second Python worker beside the first."""
     @F.pandas_udf(STATS_SCHEMA)
     def stats(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([rule_stats(t) for t in texts], columns=BASE + FEATURES)
 
-    return stats(text)
+    return stats.asNondeterministic()(text)
 
 
 def harmonic(n):

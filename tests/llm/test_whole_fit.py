@@ -30,3 +30,11 @@ def test_counts_and_cut_come_from_all_labelled_rows(spark, monkeypatch):
     best = max((((bad > c).mean() - (good > c).mean()), -c) for c in np.unique(scores) if (good > c).mean() <= rules.MAX_GOOD_LOSS)
     assert cut == -best[1]
     assert (bad > cut).mean() > 0.9
+
+
+def test_statistics_are_computed_once_a_text(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "# # #"), (3, None)], "doc_id long, text string")
+    stats = docs.select("doc_id", rules.stats_of("text").alias("_s")).select("doc_id", "_s.*").where("n_words > 0")
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # not once more below the filter
+    assert sorted((r["doc_id"], r["n_symbols"]) for r in stats.collect()) == [(1, 0), (2, 3)]
