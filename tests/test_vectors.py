@@ -180,3 +180,25 @@ def test_learned_encoder_against_plain_counting(spark):
     unseen = spark.createDataFrame([("x", "Rares"), ("y", "qqqq")], "id string, text string")
     found = {r["id"] for r in embed.gram_embed(unseen, "id", "text", fitted, 64).collect()}
     assert found == {"x"}  # an inflected word shares grams, an unknown one has none
+
+
+def test_grams_of_keys_with_one_row_stay_in_the_scan_task(spark, monkeypatch):
+    from graphspark.operators import embed
+    rows = [("a", "rare word"), ("a", "word again"), ("b", "word ab ab"), (None, "null key"), (None, "key word"), ("c", ""), ("d", None), ("e", "東京 ab")]
+    docs = spark.createDataFrame(rows, "id string, text string")
+
+    def all_rows():
+        fitted = embed.fit_grams(docs, "id", "text")
+        return ({r["gram"]: pytest.approx(r["weight"]) for r in fitted.collect()},
+                {(r["id"], r["bucket"]): pytest.approx(r["weight"]) for r in embed.gram_embed(docs, "id", "text", fitted, 16).collect()})
+
+    got = all_rows()
+    monkeypatch.setattr(embed, "SLICE_WORDS", 1)
+    assert all_rows() == got  # in slices of one text
+    monkeypatch.setattr(embed, "_by_rows", lambda df, key: (df.limit(0), df))
+    assert all_rows() == got  # all keys counted by grouped aggregation
+    monkeypatch.undo()
+    single = docs.where("id IN ('b', 'e')")
+    weights = spark.createDataFrame(embed.fit_grams(single, "id", "text").collect(), "gram int, weight double")
+    plan = embed.gram_embed(single, "id", "text", weights, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan  # the text's grams aren't shuffled
