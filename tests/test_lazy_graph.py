@@ -35,6 +35,14 @@ def test_a_table_is_built_when_it_is_read(spark, tables):
     assert sorted(graph.edges.columns) == sorted(graph.edge_rows.columns) and graph.edges.count() == 9
 
 
+def test_distinct_pairs_take_tasks_by_the_line_items(spark, tables, monkeypatch):
+    monkeypatch.setattr(kg, "PAIR_ROWS", 1)
+    rows = kg.edges(spark, tables)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2  # supplies, ordered_from: two line items, two tasks each
+    assert rows.count() == 9 and rows.where("predicate IN ('kg:supplies', 'kg:ordered_from')").count() == 2
+
+
 def test_dense_rows_of_any_bucket_order(spark):
     sparse = spark.createDataFrame([("a", 3, 2), ("a", 0, 1), ("b", 2, 5), (None, 1, 1)], "k string, bucket int, weight bigint")
     got = {r["k"]: r["embedding"] for r in embed.to_dense(sparse, "k", 4, "float").collect()}
