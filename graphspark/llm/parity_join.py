@@ -47,6 +47,8 @@ BLOCK_BITS = 1_024
 SMALL_GROUP = 8
 #: Members of one group that are compared in one task; larger groups are compared in blocks.
 GROUP_ROWS = 4_096
+#: Block keys after which a task hands on what it has; bounds its memory where texts are long.
+KEY_ROWS = 500_000
 #: Ids whose texts are picked by a broadcast; beyond, by a shuffle.
 ID_ROWS = 1_000_000
 
@@ -142,15 +144,13 @@ def short_sketch(hashes: np.ndarray, band: int, bands: Bands) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, ratio: float = BAND_RATIO) -> DataFrame:
-    """doc_id, hi, lo (digest of the set), n, own, band, need, sketch, keys: a row for each document and band, ``own``
+    """doc_id, hi, lo (digest of the set), n, own, band, need, sketch: a row for each document and band, ``own``
     for the first of a document.
 
-    Band, sketch and keys are left out (null) for texts whose set the task has met before, so that a set that
-    a third of all documents share sends its keys once a task."""
+    Band and sketch are left out (null) for texts whose set the task has met before."""
     text_batches(docs.sparkSession)
-    schema = ("doc_id long, hi long, lo long, n long, own boolean, band int, need int, sketch array<long>, "
-              "keys array<long>")
-    kinds = [pa.int64()] * 4 + [pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    schema = "doc_id long, hi long, lo long, n long, own boolean, band int, need int, sketch array<long>"
+    kinds = [pa.int64()] * 4 + [pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,30 +161,63 @@ def signatures(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
                 raw = xxhash.xxh128_digest(hashes.tobytes())
                 hi, lo = (int.from_bytes(raw[k:k + 8], "little", signed=True) for k in (0, 8))
                 if raw in seen or not len(hashes) or doc is None:
-                    rows.append((doc, hi, lo, len(hashes), True, None, None, None, None))
+                    rows.append((doc, hi, lo, len(hashes), True, None, None, None))
                     continue
                 seen.add(raw)
                 for k, band in enumerate(bands.of(len(hashes))):
-                    keys, need = block_keys(hashes, band, bands)
-                    rows.append((doc, hi, lo, len(hashes), k == 0, band, need, short_sketch(hashes, band, bands), keys))
+                    need = block_keys(hashes, band, bands)[1]
+                    rows.append((doc, hi, lo, len(hashes), k == 0, band, need, short_sketch(hashes, band, bands)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
                                              if rows else [pa.array([], t) for t in kinds], names)
 
     return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, schema)
 
 
-def _groups(signed: DataFrame, nodes: DataFrame) -> DataFrame:
+def key_rows(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, ratio: float = BAND_RATIO) -> DataFrame:
+    """doc_id, key: the block keys of all bands, once a task for texts with one set, so that a set that a third of all
+    documents share sends its keys once a task.
+
+    All keys take more room than the texts, so they are not stored but made from the texts where they are shuffled.
+    Which of the documents with one set sends the keys may differ from the one with the sketch in ``signatures``."""
+    text_batches(docs.sparkSession)
+
+    def rows(ids: list[int], keys: list[np.ndarray]) -> pa.RecordBatch:
+        all_ids = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+        return pa.RecordBatch.from_arrays([pa.array(all_ids), pa.array(np.concatenate(keys))], ["doc_id", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, seen = Bands(percent, ratio), set()
+        for batch in batches:
+            ids, keys, held = [], [], 0
+            for doc, hashes in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), shingle)):
+                raw = xxhash.xxh128_digest(hashes.tobytes())
+                if raw in seen or not len(hashes) or doc is None:
+                    continue
+                seen.add(raw)
+                for band in bands.of(len(hashes)):
+                    keys.append(block_keys(hashes, band, bands)[0])
+                    ids.append(doc)
+                    held += len(keys[-1])
+                if held > KEY_ROWS:
+                    yield rows(ids, keys)
+                    ids, keys, held = [], [], 0
+            if keys:
+                yield rows(ids, keys)
+
+    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(run, "doc_id long, key long")
+
+
+def _groups(signed: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
     """key, node, center, _n: blocks that two or more sets share, with the smallest of them.
 
     A link shares at least ``need`` blocks of a band. So a set that shares fewer with anything has no link there, and of
     the s that it shares the s - need + 1 rarest are enough: two sets that share ``need`` can't share them all among the
     more common rest (prefix filtering, in the order of a block's members, then its key). This takes most of the blocks
     that are equal by chance or by one common passage. Near copies share many blocks with the same members; of these
-    one is kept, as it meets the same pairs. A set that several tasks met has a row for each, which only raises s."""
-    rows = signed.where("band is not null")
-    keys = rows.select("doc_id", F.explode("keys").alias("key"))
+    one is kept, as it meets the same pairs. A set that several tasks met has its keys from each, which only raises s."""
     shared = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("_n > 1")
-    needs = rows.select("doc_id", "hi", "lo", "band", "need").join(nodes, ["hi", "lo"])
+    bands = signed.where("band is not null").select("hi", "lo", "band", "need").distinct().join(nodes, ["hi", "lo"])
+    needs = signed.where("own").select("doc_id", "hi", "lo").distinct().join(bands, ["hi", "lo"])
     mine = Window.partitionBy("doc_id", "band")
     known = (shared.withColumn("band", _band())
              .withColumn("_m", F.count(F.lit(1)).over(mine)).withColumn("_r", F.row_number().over(mine.orderBy("_n", "key")))
@@ -328,10 +361,11 @@ def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     versions = sets.join(several.select("doc_id"), "doc_id").join(nodes, ["hi", "lo"])
     links = [materialize(versions.select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a != b").distinct())]
 
+    groups = _groups(signed, nodes, key_rows(docs, percent, shingle, ratio))
+    meeting = groups.select("node", _band().alias("band")).distinct()
     sketches = materialize(signed.where("band is not null").select("hi", "lo", "band", "n", "sketch")
-                           .dropDuplicates(["hi", "lo", "band"]).join(nodes, ["hi", "lo"])
-                           .select("node", "band", "n", "sketch"))
-    groups = _groups(signed, nodes)
+                           .join(nodes, ["hi", "lo"]).join(meeting, ["node", "band"], "left_semi")
+                           .dropDuplicates(["hi", "lo", "band"]).select("node", "band", "n", "sketch"))
     star = (groups.select(F.col("node").alias("b"), F.col("center").alias("a"), _band().alias("band"))
             .where("a != b").distinct())
     tested = materialize(_pass_bounds(star, sketches, percent))

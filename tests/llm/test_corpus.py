@@ -75,6 +75,30 @@ def test_join_of_edited_copies_and_edges(spark, docs, no_docs):
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 1, 2, 3, 4, 5, 6, 11, 12]
 
 
+def test_join_stores_less_than_the_texts(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(d, " ".join(map(str, rng.integers(0, 10 ** 6, 300)))) for d in range(60)]
+    rows.append((60, rows[0][1] + " more words"))
+    stored, keep = [], parity_join.materialize
+    monkeypatch.setattr(parity_join, "materialize", lambda df: stored.append(keep(df)) or stored[-1])
+    left = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(60))
+    values = sum(len(r[c]) if isinstance(r[c], list) else 1 for df in stored for r in df.collect() for c in df.columns)
+    assert 8 * values < sum(len(t) for _, t in rows)  # the keys of all blocks would take more
+
+
+def test_join_does_not_need_the_same_document_to_send_keys(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    base = rng.integers(0, 10 ** 6, 60)
+    text, near = (" ".join(map(str, w)) for w in (base, np.r_[base[:-1], 7]))
+    rows = [(1, text), (2, near), (3, near), (4, text), (5, near), (5, text), (6, "other words " + near[::-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    keys = parity_join.key_rows
+    monkeypatch.setattr(parity_join, "key_rows", lambda d, *more: keys(d.orderBy("doc_id", ascending=False).coalesce(1), *more))
+    got = sorted((r["doc_id"], r["component_id"]) for r in parity_join.join(docs)[0].collect())
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (5, 1), (6, 6)]
+
+
 def test_pipeline_takes_near_copies_of_five_words(spark):
     rng = np.random.default_rng(8)
     base = [f"w{k}" for k in range(200)]
