@@ -1,9 +1,15 @@
 import ast
+import hashlib
+import os
 import pathlib
 
 from conftest import rows
 
-from graphspark import evaluation
+from pyspark.sql import functions as F
+
+from graphspark import evaluation, session
+from graphspark.evaluation import synthetic
+from graphspark.plans import source_queries
 from graphspark.sources import cases_frame
 
 
@@ -72,3 +78,35 @@ def test_oracle_is_independent_of_retrieval_code():
             if isinstance(node, ast.ImportFrom) and node.module:
                 assert "graph" not in node.module.split(".")[-1] or node.module.endswith("graphspark")
                 assert "operators" not in node.module
+
+
+def test_key_filter_loses_no_key_and_drops_most_others(spark):
+    keys = spark.range(0, 3000, 3).select(F.concat(F.lit("n"), "id").alias("k"))
+    many = spark.range(9000).select(F.concat(F.lit("n"), F.col("id") % 6000).alias("node"))
+    kept = session.prefiltered(many, "node", session.key_filter(keys, "k"))
+    assert kept.columns == ["node"] and kept.join(keys, kept["node"] == keys["k"]).count() == many.join(keys, many["node"] == keys["k"]).count()
+    assert kept.count() < 0.4 * many.count()  # a sixth have a key
+    assert session.prefiltered(many, "node", session.key_filter(keys.limit(0), "k")).count() == 0
+
+
+def test_oracle_answers_shuffle_only_edges_of_the_sets(spark, edges):
+    cases = _cases(spark)
+    plan = evaluation.oracle_answers(cases, edges, "kg:subclass_of")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_words") >= 2  # one filter for each side of an edge
+
+
+def test_oracle_answers_of_every_direction_match_brute_force(spark):
+    plain = [(f"n{i * 7 % 23}", "p" if i % 3 else "q", f"n{i * 5 % 19}") for i in range(150)] + [
+        ("n1", "sub", "n0"), ("n2", "sub", "n1"), ("n0", "sub", "n2"), (None, "p", "n1"), ("n2", "p", None)]
+    spec = [(f"c{k}", a, p, d, x) for k, (a, p, d, x) in enumerate(
+        (a, p, d, x) for a in ("n0", "n3", "gone", None) for p in ("p", "sub") for d in ("out", "in", "both", None) for x in (True, False))]
+    spec.append(spec[0])  # a case that comes twice keeps both rows
+    cases = spark.createDataFrame(spec, "id string, anchor string, predicate string, direction string, expand_subclasses boolean")
+    graph = spark.createDataFrame(plain, "subject string, predicate string, object string")
+    want = []
+    for case, anchor, predicate, direction, wide in spec:
+        own = ({"n0", "n1", "n2"} if wide and anchor == "n0" else {anchor}) - {None}
+        found = {o for s, p, o in plain if p == predicate and s in own and direction != "in"}
+        found |= {s for s, p, o in plain if p == predicate and o in own and direction != "out"}
+        want += [(case, e) for e in found - own - {None}]
+    assert rows(evaluation.oracle_answers(cases, graph, "sub"), "case_id", "entity") == sorted(want)

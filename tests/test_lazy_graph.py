@@ -35,6 +35,14 @@ def test_a_table_is_built_when_it_is_read(spark, tables):
     assert sorted(graph.edges.columns) == sorted(graph.edge_rows.columns) and graph.edges.count() == 9
 
 
+def test_stored_triples_hold_only_what_queries_read_again(spark, tables):
+    graph = kg.StoredGraph(spark, tables)
+    assert sorted(graph.triples.columns) == ["object", "predicate", "subject"] and graph.triples.count() == 9
+    built = graph.base.removeprefix("file:")
+    assert os.path.isdir(f"{built}/triples") and not os.path.exists(f"{built}/edges")
+    assert all(f.endswith(".zstd.parquet") or not f.startswith("part-") for _, _, fs in os.walk(f"{built}/triples") for f in fs)
+
+
 def test_distinct_pairs_take_tasks_by_the_line_items(spark, tables, monkeypatch):
     monkeypatch.setattr(kg, "PAIR_ROWS", 1)
     rows = kg.edges(spark, tables)
