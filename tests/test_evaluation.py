@@ -110,3 +110,17 @@ def test_oracle_answers_of_every_direction_match_brute_force(spark):
         found |= {s for s, p, o in plain if p == predicate and o in own and direction != "out"}
         want += [(case, e) for e in found - own - {None}]
     assert rows(evaluation.oracle_answers(cases, graph, "sub"), "case_id", "entity") == sorted(want)
+
+
+def test_placed_answers_meet_the_case_ids_without_a_shuffle(spark, edges):
+    cases = _cases(spark)
+    answers = evaluation.oracle_answers(cases, edges, "kg:subclass_of")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        resolved = evaluation.resolve_gold(cases.union(cases.limit(1)), answers)
+        assert "BroadcastHashJoin" in resolved._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r[0], -1 if r[1] is None else r[1]) for r in resolved.collect())
+        assert got == [("a", 0), ("a", 0), ("a", 1), ("a", 1), ("a", 2), ("a", 2), ("b", -1), ("c", -1), ("d", 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
