@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import display_name, node_text
-from ..session import materialize
+from ..session import bounded_rows, materialize
+
+#: Sampled anchors that may be broadcast into the edge scans that look their targets up.
+MAX_BROADCAST_PICKED = 200_000
 
 _STRATUM = ["predicate", "direction", "bucket"]
 
@@ -23,19 +26,31 @@ def _hash(seed: int, *parts) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
-def anchor_degrees(edges: DataFrame, predicates: DataFrame, seed: int) -> DataFrame:
-    """(anchor, predicate, direction, degree, target): different far ends of each anchor, and the one with the smallest
-    hash. Counted with partial aggregations, so a hub is a few rows."""
+def _asked(edges: DataFrame, predicates: DataFrame) -> DataFrame:
     asked = edges.join(F.broadcast(predicates.select("predicate").distinct()), "predicate", "left_semi")
-    ends = asked.where("subject IS NOT NULL AND object IS NOT NULL AND subject <> object").select(
-        "predicate", F.explode(F.array(
-            F.struct(F.lit("out").alias("direction"), F.col("subject").alias("anchor"), F.col("object").alias("target")),
-            F.struct(F.lit("in").alias("direction"), F.col("object").alias("anchor"), F.col("subject").alias("target")))).alias("e"))
-    ends = ends.select("predicate", "e.*").distinct()
-    return (ends.groupBy("anchor", "predicate", "direction")
-            .agg(F.count("*").alias("degree"),
-                 F.min(F.struct(_hash(seed, "anchor", "predicate", "direction", "target").alias("h"), "target")).alias("_t"))
-            .select("anchor", "predicate", "direction", "degree", F.col("_t.target").alias("target")))
+    return asked.where("subject IS NOT NULL AND object IS NOT NULL AND subject <> object").select("subject", "predicate", "object")
+
+
+def anchor_degrees(edges: DataFrame, predicates: DataFrame) -> DataFrame:
+    """(anchor, predicate, direction, degree): different far ends of each anchor. Edges are made distinct once, then
+    counted from both ends with partial aggregations, so a hub is a few rows."""
+    ends = _asked(edges, predicates).distinct().select("predicate", F.explode(F.array(
+        F.struct(F.lit("out").alias("direction"), F.col("subject").alias("anchor")),
+        F.struct(F.lit("in").alias("direction"), F.col("object").alias("anchor")))).alias("e"))
+    return ends.select("predicate", "e.*").groupBy("anchor", "predicate", "direction").agg(F.count("*").alias("degree"))
+
+
+def anchor_targets(edges: DataFrame, predicates: DataFrame, picked: DataFrame, seed: int) -> DataFrame:
+    """(anchor, predicate, direction, target): the far end with the smallest hash, of the picked anchors only."""
+    found = None
+    for direction, near, far in (("out", "subject", "object"), ("in", "object", "subject")):
+        keys = picked.where(F.col("direction") == direction).select("anchor", "predicate")
+        keys = F.broadcast(keys) if bounded_rows(keys, MAX_BROADCAST_PICKED) else keys
+        part = (_asked(edges, predicates).withColumnRenamed(near, "anchor").join(keys, ["anchor", "predicate"])
+                .select("anchor", "predicate", F.lit(direction).alias("direction"), F.col(far).alias("target")))
+        found = part if found is None else found.unionByName(part)
+    least = F.min(F.struct(_hash(seed, "anchor", "predicate", "direction", "target").alias("h"), "target")).alias("_t")
+    return found.groupBy("anchor", "predicate", "direction").agg(least).select("anchor", "predicate", "direction", F.col("_t.target").alias("target"))
 
 
 def degree_buckets(degrees: DataFrame, buckets: int) -> DataFrame:
@@ -56,10 +71,11 @@ def synthetic_gold(edges: DataFrame, nodes: DataFrame, templates: DataFrame, *,
     is one right answer; the oracle (``oracle_answers``) gives all of them for the same cases."""
     text = F.col("text") if "text" in nodes.columns else node_text()
     named = nodes.select(F.col("id").alias("anchor"), display_name(text).alias("_name")).where("_name <> ''")
-    degrees = materialize(anchor_degrees(edges, templates, seed).join(named.select("anchor"), "anchor", "left_semi"))
+    degrees = materialize(anchor_degrees(edges, templates).join(named.select("anchor"), "anchor", "left_semi"))
     rank = Window.partitionBy(*_STRATUM).orderBy(_hash(seed, "anchor", "predicate", "direction"), "anchor")
-    picked = (degrees.join(degree_buckets(degrees, buckets), ["predicate", "direction", "degree"])
-              .withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= per_stratum).drop("_rn"))
+    picked = materialize(degrees.join(degree_buckets(degrees, buckets), ["predicate", "direction", "degree"])
+                         .withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= per_stratum).drop("_rn"))
+    picked = picked.join(anchor_targets(edges, templates, picked, seed), ["anchor", "predicate", "direction"])
     return (picked.join(F.broadcast(templates.select("predicate", "description")), "predicate").join(named, "anchor")
             .select(F.concat(F.lit("syn-"), F.substring(_hash(seed, "anchor", "predicate", "direction"), 1, 16)).alias("id"),
                     F.concat_ws(": ", "description", "_name").alias("question"), "anchor", "predicate", "direction",

@@ -124,3 +124,15 @@ def test_placed_answers_meet_the_case_ids_without_a_shuffle(spark, edges):
         assert got == [("a", 0), ("a", 0), ("a", 1), ("a", 1), ("a", 2), ("a", 2), ("b", -1), ("c", -1), ("d", 0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_synthetic_degrees_carry_no_target_and_picked_ones_get_the_smallest_hash(spark, edges):
+    menu = spark.createDataFrame([("kg:has_phenotype", "d")], "predicate string, description string")
+    degrees = synthetic.anchor_degrees(edges, menu)
+    assert rows(degrees, "anchor", "direction", "degree") == [
+        ("D:1", "out", 2), ("D:2", "out", 2), ("P:1", "in", 1), ("P:2", "in", 2), ("P:9", "in", 1)]
+    assert "target" not in degrees.columns
+    far = {("D:1", "out"): ["P:1", "P:2"], ("P:2", "in"): ["D:1", "D:2"]}
+    picked = spark.createDataFrame([(a, "kg:has_phenotype", d) for a, d in far], "anchor string, predicate string, direction string")
+    want = [(a, d, min(v, key=lambda t: hashlib.md5(f"0|{a}|kg:has_phenotype|{d}|{t}".encode()).hexdigest())) for (a, d), v in far.items()]
+    assert rows(synthetic.anchor_targets(edges, menu, picked, 0), "anchor", "direction", "target") == sorted(want)
