@@ -136,3 +136,19 @@ def test_synthetic_degrees_carry_no_target_and_picked_ones_get_the_smallest_hash
     picked = spark.createDataFrame([(a, "kg:has_phenotype", d) for a, d in far], "anchor string, predicate string, direction string")
     want = [(a, d, min(v, key=lambda t: hashlib.md5(f"0|{a}|kg:has_phenotype|{d}|{t}".encode()).hexdigest())) for (a, d), v in far.items()]
     assert rows(synthetic.anchor_targets(edges, menu, picked, 0), "anchor", "direction", "target") == sorted(want)
+
+
+def test_written_dumps_are_packed(spark, edges, tmp_path, monkeypatch):
+    class Graph:
+        edge_rows = triples = edges
+
+        def cases(self):
+            return _cases(spark)
+
+    monkeypatch.setattr(source_queries.kg, "stored", lambda *_: Graph())
+    for name, query, n in (("tsv", source_queries.edge_tsv, 10), ("gold", source_queries.gold_jsonl, 4)):
+        monkeypatch.setattr(source_queries, "_folder", lambda _, name=name: f"{tmp_path}/{name}")
+        monkeypatch.setattr(source_queries, "EDGE_OUT", ["id", "subject"])
+        monkeypatch.setattr(source_queries.kg, "HIERARCHY", "kg:subclass_of")
+        assert query(spark, "").count() == n
+        assert all(f.endswith(".gz") for f in os.listdir(f"{tmp_path}/{name}") if f.startswith("part-"))
