@@ -81,8 +81,9 @@ def extract_edges(edges: DataFrame, seeds: DataFrame, mode: str = "endpoint",
     return keyed.join(hit_rows, "_rid", "left_semi").select(*out_cols)
 
 
-# Seeds of one automaton (about a kilobyte each in every Python worker), and q-gram lengths for more of them.
-MAX_AUTOMATON_SEEDS = 100_000
+# Seeds of one automaton and their characters (a million ids of one kind take some 150 MB in every Python worker, most a
+# character less than 60 bytes), and q-gram lengths for more of them.
+MAX_AUTOMATON_SEEDS, MAX_AUTOMATON_CHARS = 1_000_000, 16_000_000
 GRAM_LENGTHS = (12, 8, 4, 2, 1)
 
 
@@ -101,7 +102,7 @@ def extract_substring(edges: DataFrame, seeds: DataFrame, seed_col: str = "id",
     if not ids.where("_seed = ''").isEmpty():
         return edges
     few = [r[0] for r in ids.limit(max_automaton_seeds + 1).collect()]
-    if len(few) > max_automaton_seeds:
+    if len(few) > max_automaton_seeds or sum(map(len, few)) > MAX_AUTOMATON_CHARS:
         return _gram_join(edges, ids)
     if not few:
         return edges.limit(0)

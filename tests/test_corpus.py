@@ -1,4 +1,6 @@
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from graphspark.operators import corpus, subgraph
 
@@ -91,3 +93,16 @@ def test_any_column_plan_scans_edges_once(spark):
     # Seeds are probed by broadcast inside the scan; no join back to a second scan.
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert plan.count("Scan ExistingRDD") == 2   # the edges once, the seeds once
+
+
+def test_more_than_a_hundred_thousand_seeds_are_one_automaton(spark, edges, monkeypatch):
+    seeds = spark.range(100_500).select(F.concat(F.lit("D:"), "id").alias("id"))
+    want = rows(subgraph.extract_substring(edges, seeds, max_automaton_seeds=0), "id")
+    with monkeypatch.context() as m:
+        m.setattr(subgraph, "_gram_join", lambda *_: pytest.fail("the rows were cut into grams"))
+        assert rows(subgraph.extract_edges(edges, seeds, "substring"), "id") == want and want
+    monkeypatch.setattr(subgraph, "MAX_AUTOMATON_CHARS", 100)
+    joined = []
+    monkeypatch.setattr(subgraph, "_gram_join", lambda e, _: joined.append(1) or e)
+    subgraph.extract_edges(edges, seeds, "substring")
+    assert joined
