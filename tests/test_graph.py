@@ -93,3 +93,18 @@ def test_degree_without_proof_aggregates_before_the_join(spark, edges):
     # The pairs are met after the edges were counted (partially, per task): the
     # semi-join sits above the partial aggregation in the printed tree.
     assert semi < partial
+
+
+def test_keys_that_are_not_small_meet_filtered_edges(spark, edges):
+    """Edges without a key's node stay out of the shuffle; rows and counts are those of the broadcast plans."""
+    keys = spark.createDataFrame([("D:1", "kg:has_phenotype", 1), ("P:2", "kg:related_to", 2), ("P:2", "kg:has_phenotype", 3)],
+                                 "node string, predicate string, q int")
+    wide = graph.incident(edges, keys)
+    assert wide._jdf.queryExecution().optimizedPlan().toString().count("_words") >= 2
+    assert rows(wide, "node", "q", "other", "dir") == rows(graph.incident(edges, keys, True), "node", "q", "other", "dir")
+    counted = graph.degree_of(edges, keys)
+    assert "_words" in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(counted, "node", "predicate", "n") == rows(graph.degree_of(edges, keys, True), "node", "predicate", "n")
+    some = graph.degree(graph.incidence(edges), keys)
+    assert "_words" in some._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(some, "node", "predicate", "n") == rows(graph.degree(graph.incidence(edges), keys, True), "node", "predicate", "n")
