@@ -112,3 +112,13 @@ def test_any_node_of_a_shared_name_will_do(spark, nodes, relations):
     index = phrases.phrase_index(texts(twins).select("id", display_name("text").alias("n")), "n", "id")
     out = grounding.groundedness(*_context(spark), index, relations, "question_id")
     assert out.where("question_id = 1").first()["n_supported"] == 2
+
+
+def test_grams_are_filtered_before_they_meet_many_phrases(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "Loose joint and soft skin, soft"), (2, None), (3, "nothing")], "k int, t string")
+    index = phrases.phrase_index(spark.createDataFrame([("loose joint", "a"), ("soft", "b"), ("Soft", "c"), ("skin", "d")], "p string, i string"), "p", "i")
+    want = sorted(map(tuple, phrases.matches(texts, "t", index, "k").collect()))
+    monkeypatch.setattr(phrases, "MAX_BROADCAST_PHRASES", 0)
+    found = phrases.matches(texts, "t", index, "k")
+    assert "_words" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == want and len(want) == 4
